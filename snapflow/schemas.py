@@ -27,9 +27,12 @@ LANDED_RECORD = _fields(
     ("is_installed", S),
     ("is_renting", S),
     ("is_returning", S),
-    ("coordonnees_geo", _fields(("lon", D), ("lat", D))),
+    # Kept as raw JSON text and decoded afterwards: an object gives lat/lon,
+    # anything else (NULL, text, number) gives NULL coordinates.
+    ("coordonnees_geo", S),
     ("duedate", S),
 )
+COORDINATES = _fields(("lon", D), ("lat", D))
 
 # Bronze as stored (the ``date`` partition column is appended by the reader).
 BRONZE_FILE = _fields(

@@ -41,7 +41,8 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     if not path_exists(spark, root):
         return spark.createDataFrame([], SILVER)
-    return spark.read.schema(SILVER).option("basePath", root).parquet(root)
+    # The partition column comes back last; restore the table's column order.
+    return spark.read.schema(SILVER).option("basePath", root).parquet(root).select(*SILVER.fieldNames())
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:

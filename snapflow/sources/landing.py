@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.operators.flatten import flatten_structs, normalize_pair
-from snapflow.schemas import BRONZE, BRONZE_FILE, LANDED_RECORD
+from snapflow.schemas import BRONZE, BRONZE_FILE, COORDINATES, LANDED_RECORD
 
 
 def read_landed_json(spark: SparkSession, path: str, schema: T.StructType = LANDED_RECORD) -> DataFrame:
@@ -29,6 +29,8 @@ def read_landed_json(spark: SparkSession, path: str, schema: T.StructType = LAND
 
 def normalize_records(records: DataFrame) -> DataFrame:
     """Flatten nested objects to dotted names; coordinates nested or flat, never both."""
+    if "coordonnees_geo" in records.columns and isinstance(records.schema["coordonnees_geo"].dataType, T.StringType):
+        records = records.withColumn("coordonnees_geo", F.from_json("coordonnees_geo", COORDINATES))
     flat = flatten_structs(records)
     return normalize_pair(flat, "coordonnees_geo", ("lat", "lon"))
 

@@ -1,0 +1,118 @@
+"""Golden case: every result set of the 24-row fixture."""
+
+import datetime as dt
+
+import pytest
+from conftest import AS_OF
+
+from snapflow.config import PipelineConfig
+from snapflow.plans import gold, insights
+from snapflow.plans.quality import silver_quality_report
+from snapflow.plans.silver import build_silver
+
+D = dt.datetime
+
+
+@pytest.fixture()
+def silver(golden_bronze):
+    return build_silver(golden_bronze)
+
+
+def test_silver_rows(silver):
+    got = {
+        (r.station_code, r.last_reported, r.bikes_available, r.bikes_delta, r.minutes_since_last_snapshot,
+         r.depletion_rate_per_minute)
+        for r in silver.collect()
+    }
+    m1, m2 = (2024, 5, 1), (2024, 5, 2)
+    want = {
+        ("A", D(*m1, 23, 50), 12, None, None, None),
+        ("A", D(*m2, 8, 0, 30), 10, -2, 490, -0.0041),
+        ("A", D(*m2, 8, 10, 10), 4, -6, 10, -0.6),
+        ("B", D(*m2, 5, 31), 6, None, None, None),
+        ("B", D(*m2, 8, 0), 1, -5, 149, -0.0336),
+        ("B2", D(*m2, 8, 0), 4, None, None, None),
+        ("B2", D(*m2, 8, 10), 3, -1, 10, -0.1),
+        ("G", D(*m2, 7, 0), 2, None, None, None),
+        ("G", D(*m2, 7, 30), 0, -2, 30, -0.0667),
+        ("G", D(*m2, 8, 10), 0, 0, 40, 0.0),
+        ("H", D(*m2, 7, 10), 2, None, None, None),
+        ("H", D(*m2, 8, 10), 0, -2, 60, -0.0333),
+        ("I", D(*m1, 20, 0), 2, None, None, None),
+        ("I", D(*m2, 8, 10), 0, -2, 730, -0.0027),
+        ("J", D(*m2, 6, 0), 3, None, None, None),
+        ("J", D(*m2, 7, 5), 0, -3, 65, -0.0462),
+        ("J", D(*m2, 8, 10), 0, 0, 65, 0.0),
+        ("K", D(*m2, 8, 0), 5, None, None, None),
+        ("K", D(*m2, 8, 0), 4, -1, 0, None),
+        ("M", D(*m2, 8, 0), 7, None, None, None),
+    }
+    assert got == want
+    assert silver.count() == 20
+
+
+def test_silver_sliced_equals_plain(golden_bronze, silver):
+    sliced = build_silver(golden_bronze, PipelineConfig(root="", rows_per_slice=1))
+    assert sorted(map(tuple, sliced.collect()), key=repr) == sorted(map(tuple, silver.collect()), key=repr)
+
+
+def test_at_risk(silver):
+    got = {(r.station_code, r.bikes_available, r.depletion_rate_per_minute, r.minutes_until_empty)
+           for r in gold.stations_at_risk(silver, AS_OF).collect()}
+    assert got == {("A", 4, -0.6, 7.0), ("B", 1, -0.0336, 30.0)}
+
+
+def test_empty_duration(silver):
+    got = {(r.station_code, r.last_seen_with_bikes, r.checked_at, r.minutes_empty)
+           for r in gold.stations_empty_duration(silver, AS_OF).collect()}
+    m2 = (2024, 5, 2)
+    assert got == {("G", D(*m2, 7, 0), D(*m2, 8, 10), 70), ("J", D(*m2, 6, 0), D(*m2, 7, 5), 65)}
+
+
+def test_district_stats(silver):
+    got = {tuple(r) for r in gold.district_stats(silver, AS_OF).collect()}
+    assert got == {
+        ("Issy", 4, 0, 0, 0, 40, 40, 0.0, 4, 0),
+        ("Paris", 3, 8, 7, 1, 32, 40, 20.0, 0, 0),
+        (None, 2, 11, 2, 9, 1, 12, 91.7, 0, 1),
+    }
+
+
+def test_summary(silver):
+    (r,) = insights.network_summary(silver, AS_OF).collect()
+    assert (r.total_stations, r.inactive_stations, r.empty_stations, r.total_bikes, r.total_mechanical,
+            r.total_electric, r.total_docks_available) == (9, 2, 3, 19, 9, 10, 73)
+    assert r.active_stations == 7
+    assert r.pct_electric == 52.6
+
+
+def test_newest_ingest(golden_bronze, silver):
+    (r,) = insights.pipeline_metrics(insights.snapshots_from_rows(golden_bronze, AS_OF), silver, AS_OF).collect()
+    assert r.stations_per_snapshot == 6
+    assert r.date == "2024-05-02"
+
+
+def test_top_depletion(silver):
+    got = [(r.station_name, r.bikes_available, r.depletion_rate_per_minute)
+           for r in insights.top_depletion(silver, AS_OF).collect()]
+    assert got == [("a", 4, -0.6), ("b2", 3, -0.1), ("b", 1, -0.0336), ("h", 0, -0.0333), ("i", 0, -0.0027)]
+
+
+def test_top_lists(silver):
+    risk = [r.station_name for r in insights.top_at_risk(gold.stations_at_risk(silver, AS_OF)).collect()]
+    assert risk == ["a", "b"]
+    empty = [(r.station_name, r.minutes_empty, r.last_seen_with_bikes)
+             for r in insights.top_empty(gold.stations_empty_duration(silver, AS_OF)).collect()]
+    assert empty == [("g", 70, "2024-05-02 07:00:00"), ("j", 65, "2024-05-02 06:00:00")]
+
+
+def test_golden_passes_quality(silver):
+    assert all(r.failures == 0 for r in silver_quality_report(silver).collect())
+
+
+def test_empty_day(silver):
+    other = dt.date(2024, 6, 1)
+    assert gold.stations_at_risk(silver, other).count() == 0
+    assert gold.district_stats(silver, other).count() == 0
+    (r,) = insights.network_summary(silver, other).collect()
+    assert r.total_stations == 0 and r.total_bikes is None and r.pct_electric == 0.0
