@@ -4,6 +4,7 @@ from snapflow.functions.exprs import (
     guarded_pct,
     minute_boundaries,
     minute_index,
+    ntz_literal,
     pct_of_total,
     python_datetime_text,
     round_half_away,
@@ -18,6 +19,7 @@ __all__ = [
     "guarded_pct",
     "minute_boundaries",
     "minute_index",
+    "ntz_literal",
     "pct_of_total",
     "python_datetime_text",
     "round_half_away",

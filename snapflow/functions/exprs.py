@@ -18,6 +18,19 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive (or UTC-converted aware) datetime.
+
+    Built from ISO text, so neither the Python process zone nor the session
+    zone can shift it.
+    """
+    import datetime as _dt
+
+    if isinstance(value, _dt.datetime) and value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def round_half_away(x: ColumnOrName, digits: int) -> Column:
     """``ROUND(double, n)`` as a scaled round: round(x * 10^n) / 10^n.
 

@@ -129,7 +129,7 @@ def with_lag(
 
     out = windowed.join(carry, ["__k", "__s"], "left")
     return out.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(f"`{c}`") for c in df.columns],
         *[
             F.when(F.col("__rn") > 1, F.col("__l_" + c)).otherwise(F.col("__c_" + c)).alias(prefix + c)
             for c in columns
@@ -167,14 +167,11 @@ def with_delta_rate(
     )
     delta = F.col(value_col) - F.col("__p_" + value_col)
     minutes = minute_boundaries(F.col("__p_" + time_col), F.col(time_col))
-    staged = lagged.select(
-        *[F.col(c) for c in df.columns],
+    rate = F.when(minutes > 0, round_half_away(delta.cast("double") / minutes, rate_digits))
+    return lagged.select(
+        *[F.col(f"`{c}`") for c in df.columns],
         F.col("__p_" + value_col).alias(prev_col),
         delta.alias(delta_col),
         minutes.alias(minutes_col),
+        rate.alias(rate_col),
     )
-    rate = F.when(
-        F.col(minutes_col) > 0,
-        round_half_away(F.col(delta_col).cast("double") / F.col(minutes_col), rate_digits),
-    )
-    return staged.withColumn(rate_col, rate)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.config import PipelineConfig
+from snapflow.functions.exprs import ntz_literal
 from snapflow.sources.lake import list_files, partition_date
 
 
@@ -23,7 +24,7 @@ def _naive(now: dt.datetime) -> dt.datetime:
 
 def plan_partition_expiry(listing: DataFrame, now: dt.datetime, days: int) -> DataFrame:
     """path, partition_date, expired — expired when midnight(date) < now - days."""
-    cutoff = F.lit(_naive(now) - dt.timedelta(days=days)).cast("timestamp_ntz")
+    cutoff = ntz_literal(_naive(now) - dt.timedelta(days=days))
     d = partition_date("path")
     expired = F.coalesce(d.cast("timestamp_ntz") < cutoff, F.lit(False))
     return listing.select("path", d.alias("partition_date"), expired.alias("expired"))

@@ -64,6 +64,8 @@ def enrich(cleaned: DataFrame, cfg: PipelineConfig | None = None, extra: list[st
         rows_per_slice=rows_per_slice,
         broadcast_max_rows=broadcast_max,
     )
+    if out.columns == [*SILVER_COLUMNS, *(extra or [])]:
+        return out
     return out.select(*SILVER_COLUMNS, *(extra or []))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.flatten import flatten_structs, normalize_pair
 from snapflow.schemas import BRONZE, BRONZE_FILE, COORDINATES, LANDED_RECORD
 
@@ -38,7 +39,7 @@ def normalize_records(records: DataFrame) -> DataFrame:
 def stamp_ingestion(records: DataFrame, ingested_at: dt.datetime) -> DataFrame:
     """One ingest stamp for the whole batch, and the ``date`` partition taken from it
     (one clock, so the stamp and its partition never straddle midnight)."""
-    ts = F.lit(ingested_at.replace(tzinfo=None)).cast("timestamp_ntz")
+    ts = ntz_literal(ingested_at)
     return records.withColumn("ingested_at", ts).withColumn("date", ts.cast("date"))
 
 

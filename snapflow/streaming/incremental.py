@@ -7,7 +7,10 @@ micro-batch of new files to ``merge_batch``:
 2. per touched station take ``low`` = its earliest new position
    (``last_reported``, ``ingested_at``, NULLs last);
 3. from stored silver take that station's rows at or after ``low`` plus the
-   single row just before it (the predecessor that seeds LAG);
+   single row just before it (the predecessor that seeds LAG).  The read is
+   bounded by report time (pushed down to Parquet row-group statistics):
+   ``low - lookback`` onwards, and the full history only for stations with
+   no row in that window (new or long-silent stations);
 4. recompute LAG over predecessor + tail + new rows, drop the predecessor;
 5. rewrite only the ``date`` partitions holding recomputed rows: other rows
    of those partitions are copied through, and the result is staged and
@@ -21,18 +24,23 @@ no-op.  Cost per batch is the new rows plus the touched partitions.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.config import PipelineConfig
+from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.latest import latest_per_key
 from snapflow.plans.silver import clean, enrich
 from snapflow.schemas import BRONZE, SILVER, SILVER_COLUMNS
-from snapflow.session import scratch_path
+from snapflow.session import checkpoint_dir, scratch_path
 from snapflow.sources.lake import path_exists, read_silver
 from snapflow.sources.sinks import publish, stage
 
 ROW_ID = ["station_code", "last_reported", "ingested_at"]
+# How far before a batch's earliest report time the predecessor is first looked for.
+LOOKBACK = dt.timedelta(days=1)
 CLEANED_COLUMNS = SILVER_COLUMNS[:17]
 
 
@@ -51,7 +59,9 @@ def _same_row() -> Column:
     )
 
 
-def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame) -> None:
+def merge_batch(
+    spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame, lookback: dt.timedelta = LOOKBACK
+) -> None:
     """Merge one batch of bronze rows into stored silver (see module doc)."""
     new = clean(new_bronze).dropDuplicates(ROW_ID)
     if not path_exists(spark, cfg.silver_path):
@@ -62,24 +72,38 @@ def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame)
     existing = read_silver(spark, cfg.silver_path)
     # One row per touched station: bounded by the stations present in the batch.
     low = new.groupBy("station_code").agg(F.min(_position()).alias("__low"))
-    touched = existing.join(low, "station_code")
+    earliest = low.agg(F.min(F.col("__low")["b"])).first()[0]
+    lr = F.col("last_reported")
+    if earliest is None:  # every new row lacks a report time: only NULL-time tails exist
+        window = lr.isNull()
+        floor_ts = None
+    else:
+        floor_ts = earliest - lookback
+        # Pushed to the Parquet reader: row groups whose max report time is older are skipped.
+        window = (lr >= ntz_literal(floor_ts)) | lr.isNull()
+    touched = existing.where(window).join(low, "station_code")
     pos = _position()
     tail = touched.where(pos >= F.col("__low")).select(*CLEANED_COLUMNS)
-    before = touched.where(pos < F.col("__low"))
-    seed = latest_per_key(
-        before,
-        ["station_code"],
-        [F.col("last_reported").desc_nulls_first(), F.col("ingested_at").desc_nulls_first()],
-    ).select(*CLEANED_COLUMNS)
-
-    window_input = (
-        seed.withColumn("__seed", F.lit(True))
-        .unionByName(tail.unionByName(new.select(*CLEANED_COLUMNS)).dropDuplicates(ROW_ID).withColumn("__seed", F.lit(False)))
+    order = [F.col("last_reported").desc_nulls_first(), F.col("ingested_at").desc_nulls_first()]
+    seed = latest_per_key(touched.where(pos < F.col("__low")), ["station_code"], order).select(*CLEANED_COLUMNS)
+
+    # Stations with no row inside the look-back window: their predecessor, if any,
+    # is older.  Search the full history for those stations only (new or long-silent).
+    missing = low.join(seed.select("station_code"), "station_code", "left_anti")
+    if floor_ts is not None and missing.limit(1).count() > 0:
+        older = existing.where(lr < ntz_literal(floor_ts)).join(missing, "station_code", "left_semi")
+        seed = seed.unionByName(latest_per_key(older, ["station_code"], order).select(*CLEANED_COLUMNS))
+
+    window_input = seed.withColumn("__seed", F.lit(True)).unionByName(
+        tail.unionByName(new.select(*CLEANED_COLUMNS)).dropDuplicates(ROW_ID).withColumn("__seed", F.lit(False))
     )
     recomputed = enrich(window_input, cfg, extra=["__seed"]).where(~F.col("__seed")).drop("__seed")
+    checkpoint_dir(spark)
+    recomputed = recomputed.checkpoint()  # reused twice below; lineage ends in the shared folder
 
-    dates = recomputed.select("date").distinct()
-    in_dates = existing.join(dates, "date", "left_semi")
+    # Only the partitions holding recomputed rows are rewritten (a handful of dates).
+    dates = [r[0] for r in recomputed.select("date").distinct().collect()]
+    in_dates = existing.where(F.col("date").isin(dates))
     rid = recomputed.select(*[F.col(c).alias("__r_" + c) for c in ROW_ID])
     kept = in_dates.join(rid, _same_row(), "left_anti")
     merged = kept.select(*SILVER_COLUMNS).unionByName(recomputed.select(*SILVER_COLUMNS))
