@@ -87,18 +87,23 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def violations(df: DataFrame, checks: Sequence[Check], key_cols: Sequence[str]) -> DataFrame:
-    """Failing rows of every row-level check: check_name, severity, key columns."""
-    parts = [
-        df.where(c.failing()).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), *key_cols
-        )
-        for c in checks
-        if c.kind != "accepted_values"
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Failing rows of every row-level check: check_name, severity, key columns.
+
+    One pass over ``df``: each row carries the array of checks it fails,
+    which is exploded (a row failing two checks appears twice).
+    """
+    tags = F.array(
+        *[
+            F.when(c.failing(), F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity")))
+            for c in checks
+            if c.kind != "accepted_values"
+        ]
+    )
+    failing = F.filter(tags, lambda t: t.isNotNull())
+    return (
+        df.select(F.explode(failing).alias("__v"), *key_cols)
+        .select(F.col("__v.check_name").alias("check_name"), F.col("__v.severity").alias("severity"), *key_cols)
+    )
 
 
 def assert_passed(report: DataFrame) -> list[dict]:

@@ -20,7 +20,7 @@ from snapflow.plans.silver import build_silver
 from snapflow.schemas import SILVER
 from snapflow.sources.lake import list_files, read_bronze, read_silver, read_table
 from snapflow.sources.landing import read_landed_json, to_bronze
-from snapflow.sources.sinks import append_snapshot, publish, stage
+from snapflow.sources.sinks import append_snapshot, publish, stage, write_json
 
 
 def ingest(spark: SparkSession, cfg: PipelineConfig, landed_path: str, ingested_at: dt.datetime) -> None:
@@ -83,3 +83,13 @@ def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) ->
         "top_depletion": insights.top_depletion(silver, as_of, cfg.top_depletion),
         "empty_duration": insights.top_empty(read_gold(spark, cfg, "stations_empty_duration"), cfg.top_empty),
     }
+
+
+def export_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date, out_root: str) -> list[str]:
+    """Write every insight result as JSON lines under ``out_root/<name>`` (small, bounded outputs)."""
+    paths = []
+    for name, df in serve_insights(spark, cfg, as_of).items():
+        path = f"{out_root.rstrip('/')}/{name}"
+        write_json(df.coalesce(1), path)
+        paths.append(path)
+    return paths

@@ -8,7 +8,7 @@ import pytest
 
 from snapflow.config import PipelineConfig
 from snapflow.operators.quality import QualityGateError
-from snapflow.plans.pipeline import read_gold, run_pipeline, serve_insights
+from snapflow.plans.pipeline import export_insights, read_gold, run_pipeline, serve_insights
 from snapflow.plans.runlog import read_run_log, run_status, split_run_log
 from snapflow.sources.lake import list_files, read_silver
 from snapflow.sources.sinks import append_snapshot
@@ -61,6 +61,10 @@ def test_two_ticks_end_to_end(spark, golden_bronze, tmp_root):
     (st,) = run_status(runs, steps, cfg.job).collect()
     assert st.status == "SUCCESS" and set(st.assets) == {"bronze", "silver", "gold"}
 
+    paths = export_insights(spark, cfg, as_of, os.path.join(tmp_root, "api"))
+    summary = spark.read.json(next(p for p in paths if p.endswith("summary"))).first()
+    assert summary.total_stations == 10 and summary.pct_electric is not None
+
 
 def test_gate_keeps_previous_tables(spark, golden_bronze, tmp_root):
     cfg = PipelineConfig(root=os.path.join(tmp_root, "lake"))
