@@ -64,6 +64,29 @@ def publish(spark: SparkSession, staged: str, target: str, partitioned: bool = F
     fs.delete(src, True)
 
 
+def staged_dates(spark: SparkSession, staged: str) -> list:
+    """The ``date=`` partition values present in a staged folder (a listing, no job)."""
+    import datetime as dt
+
+    fs, src = _fs(spark, staged)
+    if not fs.exists(src):
+        return []
+    out = []
+    for status in fs.listStatus(src):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("date="):
+            value = name[len("date="):]
+            out.append(None if value == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(value))
+    return sorted(out, key=lambda d: (d is None, d or dt.date.min))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder once its content is published."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Write a (small) result as JSON lines, replacing the folder."""
     df.write.mode("overwrite").json(path)

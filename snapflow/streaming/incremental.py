@@ -34,9 +34,9 @@ from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.latest import latest_per_key
 from snapflow.plans.silver import clean, enrich
 from snapflow.schemas import BRONZE, SILVER, SILVER_COLUMNS
-from snapflow.session import checkpoint_dir, scratch_path
+from snapflow.session import scratch_path
 from snapflow.sources.lake import path_exists, read_silver
-from snapflow.sources.sinks import publish, stage
+from snapflow.sources.sinks import publish, remove, stage, staged_dates
 
 ROW_ID = ["station_code", "last_reported", "ingested_at"]
 # How far before a batch's earliest report time the predecessor is first looked for.
@@ -72,16 +72,16 @@ def merge_batch(
     existing = read_silver(spark, cfg.silver_path)
     # One row per touched station: bounded by the stations present in the batch.
     low = new.groupBy("station_code").agg(F.min(_position()).alias("__low"))
-    earliest = low.agg(F.min(F.col("__low")["b"])).first()[0]
     lr = F.col("last_reported")
-    if earliest is None:  # every new row lacks a report time: only NULL-time tails exist
-        window = lr.isNull()
-        floor_ts = None
-    else:
-        floor_ts = earliest - lookback
-        # Pushed to the Parquet reader: row groups whose max report time is older are skipped.
-        window = (lr >= ntz_literal(floor_ts)) | lr.isNull()
-    touched = existing.where(window).join(low, "station_code")
+    # The bound is a literal so it reaches the Parquet reader (PushedFilters):
+    # row groups whose newest report time is older are skipped.
+    earliest = low.agg(F.min(F.col("__low")["b"])).first()[0]
+    floor_ts = ntz_literal(earliest - lookback) if earliest is not None else F.lit(None).cast("timestamp_ntz")
+    window = (lr >= floor_ts) | lr.isNull()  # all-NULL batch: NULL bound, only NULL-time tails
+    # The bounded silver read happens once per batch: staged, then reused by the
+    # seed, the tail, the fallback test and the window below.
+    tpath = stage(existing.where(window).join(low, "station_code"), cfg.staging_path)
+    touched = spark.read.parquet(tpath)
     pos = _position()
     tail = touched.where(pos >= F.col("__low")).select(*CLEANED_COLUMNS)
     order = [F.col("last_reported").desc_nulls_first(), F.col("ingested_at").desc_nulls_first()]
@@ -90,25 +90,31 @@ def merge_batch(
     # Stations with no row inside the look-back window: their predecessor, if any,
     # is older.  Search the full history for those stations only (new or long-silent).
     missing = low.join(seed.select("station_code"), "station_code", "left_anti")
-    if floor_ts is not None and missing.limit(1).count() > 0:
-        older = existing.where(lr < ntz_literal(floor_ts)).join(missing, "station_code", "left_semi")
+    if missing.limit(1).count() > 0:
+        older = existing.where(lr < floor_ts).join(missing, "station_code", "left_semi")
         seed = seed.unionByName(latest_per_key(older, ["station_code"], order).select(*CLEANED_COLUMNS))
 
     window_input = seed.withColumn("__seed", F.lit(True)).unionByName(
         tail.unionByName(new.select(*CLEANED_COLUMNS)).dropDuplicates(ROW_ID).withColumn("__seed", F.lit(False))
     )
     recomputed = enrich(window_input, cfg, extra=["__seed"]).where(~F.col("__seed")).drop("__seed")
-    checkpoint_dir(spark)
-    recomputed = recomputed.checkpoint()  # reused twice below; lineage ends in the shared folder
+    # Written once to staging (lineage ends there; it is read twice below).  Its
+    # date folders name the partitions to rewrite, without another job.
+    rpath = stage(recomputed, cfg.staging_path, partition_by="date")
+    dates = staged_dates(spark, rpath)
+    recomputed = spark.read.schema(SILVER).option("basePath", rpath).parquet(rpath)
 
     # Only the partitions holding recomputed rows are rewritten (a handful of dates).
-    dates = [r[0] for r in recomputed.select("date").distinct().collect()]
-    in_dates = existing.where(F.col("date").isin(dates))
+    in_dates = existing.where(F.col("date").isin([d for d in dates if d is not None]))
+    if None in dates:
+        in_dates = existing.where(F.col("date").isin([d for d in dates if d is not None]) | F.col("date").isNull())
     rid = recomputed.select(*[F.col(c).alias("__r_" + c) for c in ROW_ID])
     kept = in_dates.join(rid, _same_row(), "left_anti")
     merged = kept.select(*SILVER_COLUMNS).unionByName(recomputed.select(*SILVER_COLUMNS))
     staged = stage(merged, cfg.staging_path, partition_by="date")
     publish(spark, staged, cfg.silver_path, partitioned=True)
+    remove(spark, rpath)
+    remove(spark, tpath)
 
 
 def start_incremental(spark: SparkSession, cfg: PipelineConfig, files_per_trigger: int | None = None):
