@@ -49,16 +49,27 @@ def run_pipeline(
     as_of: dt.date,
     landed_path: str | None = None,
     ingested_at: dt.datetime | None = None,
+    incremental: bool = False,
 ) -> list[dict]:
-    """Run one tick and append its record to the run log; re-raise any failure."""
+    """Run one tick and append its record to the run log; re-raise any failure.
+
+    ``incremental=True`` merges only the new bronze files into silver (same
+    result, same gate) instead of rebuilding it from all bronze.
+    """
     rec = RunRecorder(cfg.job)
     status = "FAILURE"
+    report: list[dict] = []
     try:
         if landed_path is not None:
             with rec.step("bronze"):
                 ingest(spark, cfg, landed_path, ingested_at or dt.datetime.now())
         with rec.step("silver"):
-            report = refresh_silver(spark, cfg)
+            if incremental:
+                from snapflow.streaming.incremental import start_incremental
+
+                start_incremental(spark, cfg)
+            else:
+                report = refresh_silver(spark, cfg)
         with rec.step("gold"):
             refresh_gold(spark, cfg, as_of)
         status = "SUCCESS"

@@ -13,8 +13,9 @@ micro-batch of new files to ``merge_batch``:
    no row in that window (new or long-silent stations);
 4. recompute LAG over predecessor + tail + new rows, drop the predecessor;
 5. rewrite only the ``date`` partitions holding recomputed rows: other rows
-   of those partitions are copied through, and the result is staged and
-   then published partition by partition.
+   of those partitions are copied through, and the result is staged, passed
+   through the silver data tests (the gate), then published partition by
+   partition.
 
 Late rows (an older report time in a newer file) lower ``low``, so their
 successors are recomputed too.  Re-delivered rows are de-duplicated on
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from snapflow.config import PipelineConfig
 from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.latest import latest_per_key
+from snapflow.plans.quality import gate_silver
 from snapflow.plans.silver import clean, enrich
 from snapflow.schemas import BRONZE, SILVER, SILVER_COLUMNS
 from snapflow.session import scratch_path
@@ -59,14 +61,28 @@ def _same_row() -> Column:
     )
 
 
+def _publish_tested(spark: SparkSession, cfg: PipelineConfig, staged: str, gate: bool) -> None:
+    """Run the silver data tests on the staged partitions, then publish them.
+
+    A failing error-severity test raises before anything is published, so the
+    stream stops on that batch and stored silver stays as it was.
+    """
+    if gate:
+        gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
+    publish(spark, staged, cfg.silver_path, partitioned=True)
+
+
 def merge_batch(
-    spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame, lookback: dt.timedelta = LOOKBACK
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    new_bronze: DataFrame,
+    lookback: dt.timedelta = LOOKBACK,
+    gate: bool = True,
 ) -> None:
     """Merge one batch of bronze rows into stored silver (see module doc)."""
     new = clean(new_bronze).dropDuplicates(ROW_ID)
     if not path_exists(spark, cfg.silver_path):
-        staged = stage(enrich(new, cfg), cfg.staging_path, partition_by="date")
-        publish(spark, staged, cfg.silver_path, partitioned=True)
+        _publish_tested(spark, cfg, stage(enrich(new, cfg), cfg.staging_path, partition_by="date"), gate)
         return
 
     existing = read_silver(spark, cfg.silver_path)
@@ -111,13 +127,14 @@ def merge_batch(
     rid = recomputed.select(*[F.col(c).alias("__r_" + c) for c in ROW_ID])
     kept = in_dates.join(rid, _same_row(), "left_anti")
     merged = kept.select(*SILVER_COLUMNS).unionByName(recomputed.select(*SILVER_COLUMNS))
-    staged = stage(merged, cfg.staging_path, partition_by="date")
-    publish(spark, staged, cfg.silver_path, partitioned=True)
+    _publish_tested(spark, cfg, stage(merged, cfg.staging_path, partition_by="date"), gate)
     remove(spark, rpath)
     remove(spark, tpath)
 
 
-def start_incremental(spark: SparkSession, cfg: PipelineConfig, files_per_trigger: int | None = None):
+def start_incremental(
+    spark: SparkSession, cfg: PipelineConfig, files_per_trigger: int | None = None, gate: bool = True
+):
     """Process every bronze file not yet seen, then stop (``availableNow``).
 
     Progress lives in the stream checkpoint under the lakehouse root, so a
@@ -128,7 +145,7 @@ def start_incremental(spark: SparkSession, cfg: PipelineConfig, files_per_trigge
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.parquet(cfg.bronze_path)
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _id: merge_batch(spark, cfg, batch))
+        stream.writeStream.foreachBatch(lambda batch, _id: merge_batch(spark, cfg, batch, gate=gate))
         .option("checkpointLocation", cfg.stream_checkpoint_path)
         .trigger(availableNow=True)
         .start()
