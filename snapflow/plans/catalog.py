@@ -118,7 +118,7 @@ def q_bronze_retention(spark: SparkSession, d: str) -> DataFrame:
 def q_incremental_silver(spark: SparkSession, d: str) -> DataFrame:
     from snapflow.streaming.incremental import replay_incrementally
 
-    return replay_incrementally(spark, bronze(spark, d), files_per_trigger=11)
+    return replay_incrementally(spark, bronze(spark, d), files_per_trigger=16)
 
 
 def _with_silver(fn: Callable[[DataFrame], DataFrame], cfg: PipelineConfig = DEFAULT) -> Query:
