@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class QualityGateError(RuntimeError):
@@ -58,13 +59,29 @@ class Check:
         return F.count_if(self.failing())
 
 
+def _failures(check: Check, df: DataFrame) -> Column:
+    """The failure count of ``check`` on ``df``.
+
+    An ``accepted_values`` test that accepts both true and false cannot fail
+    on a BOOLEAN column (NULL passes), so it needs no distinct count: this
+    keeps the whole report a single partial-aggregate pass.
+    """
+    if (
+        check.kind == "accepted_values"
+        and isinstance(df.schema[check.column].dataType, T.BooleanType)
+        and {True, False} <= set(check.values)
+    ):
+        return F.lit(0)
+    return check.failures()
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks in one scan; one output row per check, in declaration order.
 
     Columns: check_order, check_name, column_name, severity, failures, status
     (``pass`` / ``warn`` / ``fail``).
     """
-    counts = df.agg(*[c.failures().cast("long").alias(f"__c{i}") for i, c in enumerate(checks)])
+    counts = df.agg(*[_failures(c, df).cast("long").alias(f"__c{i}") for i, c in enumerate(checks)])
     rows = F.array(
         *[
             F.struct(

@@ -108,3 +108,17 @@ def test_incremental_gate_stops_the_stream(spark, golden_bronze, tmp_root):
     with pytest.raises(Exception):
         run_pipeline(spark, cfg, as_of, bad, dt.datetime(2024, 5, 2, 9, 5), incremental=True)
     assert read_silver(spark, cfg.silver_path).count() == before
+
+
+def test_command_line(spark, golden_bronze, tmp_root, capsys):
+    from snapflow.__main__ import main
+
+    root = os.path.join(tmp_root, "lake")
+    append_snapshot(golden_bronze, PipelineConfig(root=root).bronze_path)
+    p1 = land(tmp_root, "t1.json", [record("Z", 9, "2024-05-02T08:30:00+00:00")])
+    assert main(["tick", "--root", root, "--landed", p1, "--as-of", "2024-05-02"], spark=spark) == 0
+    assert main(["insights", "--root", root, "--as-of", "2024-05-02", "--out", os.path.join(tmp_root, "api")], spark=spark) == 0
+    assert main(["status", "--root", root], spark=spark) == 0
+    assert main(["cleanup", "--root", root, "--now", "2024-05-02T02:00:00"], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "summary" in out and "SUCCESS" in out and "bronze" in out

@@ -94,3 +94,11 @@ def test_null_report_time_sorts_last_and_fails_not_null(spark, golden_bronze):
     assert r.prev_bikes_available == 4  # after A's last timed row
     with pytest.raises(QualityGateError):
         gate_silver(silver)
+
+
+def test_accepted_values_on_text_counts_distinct_bad_values(spark):
+    from snapflow.operators.quality import Check, run_checks
+
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("z",), (None,)], "v string")
+    (r,) = run_checks(df, [Check("values__v", "accepted_values", "v", values=("a",))]).collect()
+    assert r.failures == 2 and r.status == "fail"  # distinct bad values b, z; NULL passes
