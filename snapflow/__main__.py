@@ -65,9 +65,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         runs, steps = split_run_log(read_run_log(spark, cfg))
         run_status(runs, steps, cfg.job).show(truncate=False)
     elif args.cmd == "cleanup":
-        from snapflow.plans.retention import run_cleanup
+        from snapflow.plans.retention import clean_staging, run_cleanup
 
-        run_cleanup(spark, cfg, args.now or dt.datetime.now(), dry_run=not args.apply).show()
+        now = args.now or dt.datetime.now()
+        run_cleanup(spark, cfg, now, dry_run=not args.apply).show()
+        print(f"staging folders expired: {clean_staging(spark, cfg, now, dry_run=not args.apply)}")
     return 0
 
 

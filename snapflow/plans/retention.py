@@ -77,3 +77,26 @@ def run_cleanup(spark: SparkSession, cfg: PipelineConfig, now: dt.datetime, dry_
         ("gold", apply_expiry(spark, gold, False, dry_run)),
     ]
     return spark.createDataFrame(counts, "layer string, deleted long")
+
+
+def clean_staging(
+    spark: SparkSession, cfg: PipelineConfig, now: dt.datetime, days: int = 1, dry_run: bool = True
+) -> int:
+    """Remove staging folders left by runs that died before publishing.
+
+    A staging folder lives for one publish; one older than ``days`` is
+    garbage.  Only the top-level folder names are listed (metadata, bounded
+    by the number of interrupted runs).
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(cfg.staging_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    aware = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)
+    cutoff_ms = (aware - dt.timedelta(days=days)).timestamp() * 1000
+    old = [st.getPath() for st in fs.listStatus(root) if st.getModificationTime() < cutoff_ms]
+    if not dry_run:
+        for path in old:
+            fs.delete(path, True)
+    return len(old)

@@ -5,7 +5,7 @@ import os
 import time
 
 from snapflow.config import PipelineConfig
-from snapflow.plans.retention import apply_expiry, plan_mtime_expiry, plan_partition_expiry, run_cleanup
+from snapflow.plans.retention import apply_expiry, clean_staging, plan_mtime_expiry, plan_partition_expiry, run_cleanup
 from snapflow.sources.lake import list_files
 
 
@@ -64,3 +64,16 @@ def test_run_cleanup_bronze_folders(spark, tmp_root):
     run_cleanup(spark, cfg, now, dry_run=False).collect()
     assert not os.path.exists(os.path.join(cfg.bronze_path, "date=2024-05-01"))
     assert os.path.exists(os.path.join(cfg.bronze_path, "date=2024-05-09"))
+
+
+def test_clean_staging(spark, tmp_root):
+    cfg = PipelineConfig(root=tmp_root)
+    old, fresh = os.path.join(cfg.staging_path, "dead"), os.path.join(cfg.staging_path, "live")
+    for d in (old, fresh):
+        os.makedirs(d)
+    past = time.time() - 3 * 86400
+    os.utime(old, (past, past))
+    now = dt.datetime.now(dt.timezone.utc)
+    assert clean_staging(spark, cfg, now) == 1 and os.path.exists(old)
+    assert clean_staging(spark, cfg, now, dry_run=False) == 1
+    assert not os.path.exists(old) and os.path.exists(fresh)
