@@ -132,7 +132,7 @@ QUERIES: dict[str, Query] = {
     "stations_empty_duration": _with_silver(lambda s: gold.stations_empty_duration(s, AS_OF)),
     "district_stats": _with_silver(lambda s: gold.district_stats(s, AS_OF)),
     "network_summary": _with_silver(lambda s: insights.network_summary(s, AS_OF)),
-    "pipeline_metrics": lambda spark, d: insights.pipeline_metrics(
+    "snapshot_metrics": lambda spark, d: insights.snapshot_metrics(
         insights.snapshots_from_rows(bronze(spark, d), AS_OF), silver(spark, d), AS_OF
     ),
     "top_at_risk": _with_silver(lambda s: insights.top_at_risk(gold.stations_at_risk(s, AS_OF))),

@@ -29,7 +29,7 @@ def snapshots_from_rows(bronze: DataFrame, as_of) -> DataFrame:
     return day(bronze, as_of).agg(F.count_distinct("ingested_at").alias("bronze_snapshots_today"))
 
 
-def pipeline_metrics(snapshots: DataFrame, silver: DataFrame, as_of=None) -> DataFrame:
+def snapshot_metrics(snapshots: DataFrame, silver: DataFrame, as_of=None) -> DataFrame:
     """One row: date, bronze_snapshots_today, stations_per_snapshot.
 
     ``stations_per_snapshot`` counts distinct stations in the day's newest

@@ -86,7 +86,7 @@ def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) ->
     """The insight queries over the stored layers (silver pruned to one date partition)."""
     silver = read_silver(spark, cfg.silver_path)
     return {
-        "pipeline_metrics": insights.pipeline_metrics(
+        "snapshot_metrics": insights.snapshot_metrics(
             insights.snapshots_from_listing(list_files(spark, cfg.bronze_path), as_of), silver, as_of
         ),
         "summary": insights.network_summary(silver, as_of),

@@ -87,7 +87,7 @@ def test_summary(silver):
 
 
 def test_newest_ingest(golden_bronze, silver):
-    (r,) = insights.pipeline_metrics(insights.snapshots_from_rows(golden_bronze, AS_OF), silver, AS_OF).collect()
+    (r,) = insights.snapshot_metrics(insights.snapshots_from_rows(golden_bronze, AS_OF), silver, AS_OF).collect()
     assert r.stations_per_snapshot == 6
     assert r.date == "2024-05-02"
 

@@ -50,7 +50,7 @@ def test_two_ticks_end_to_end(spark, golden_bronze, tmp_root):
     assert stats["Paris"] == 4
 
     out = serve_insights(spark, cfg, as_of)
-    (m,) = out["pipeline_metrics"].collect()
+    (m,) = out["snapshot_metrics"].collect()
     assert m.stations_per_snapshot == 1  # the newest ingest holds only Z
     assert m.bronze_snapshots_today == len(
         [r for r in list_files(spark, cfg.bronze_path).collect() if "date=2024-05-02/" in r.path]
