@@ -86,8 +86,11 @@ def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) ->
     """The insight queries over the stored layers (silver pruned to one date partition)."""
     silver = read_silver(spark, cfg.silver_path)
     return {
+        # Only the day's folder is listed, not the whole bronze tree.
         "snapshot_metrics": insights.snapshot_metrics(
-            insights.snapshots_from_listing(list_files(spark, cfg.bronze_path), as_of), silver, as_of
+            insights.snapshots_from_listing(list_files(spark, f"{cfg.bronze_path}/date={as_of.isoformat()}"), as_of),
+            silver,
+            as_of,
         ),
         "summary": insights.network_summary(silver, as_of),
         "at_risk": insights.top_at_risk(read_gold(spark, cfg, "stations_at_risk"), cfg.top_at_risk),
