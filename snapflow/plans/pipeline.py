@@ -24,8 +24,13 @@ from snapflow.sources.sinks import append_snapshot, publish, stage, write_json
 
 
 def ingest(spark: SparkSession, cfg: PipelineConfig, landed_path: str, ingested_at: dt.datetime) -> None:
-    """Landed JSON snapshot -> one bronze file under ``date=<ingested_at date>/``."""
-    append_snapshot(to_bronze(read_landed_json(spark, landed_path), ingested_at), cfg.bronze_path)
+    """Landed JSON snapshot -> one bronze file ``date=<day>/<HH-MM-SS>.parquet`` of the ingest stamp."""
+    append_snapshot(
+        to_bronze(read_landed_json(spark, landed_path), ingested_at),
+        cfg.bronze_path,
+        file_stem=ingested_at.strftime("%H-%M-%S"),
+        staging_root=cfg.staging_path,
+    )
 
 
 def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:

@@ -13,13 +13,44 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def append_snapshot(df: DataFrame, bronze_root: str, files: int = 1) -> None:
+def append_snapshot(
+    df: DataFrame,
+    bronze_root: str,
+    files: int = 1,
+    file_stem: str | None = None,
+    staging_root: str | None = None,
+) -> list[str]:
     """Append one polled snapshot under ``date=D/``.
 
     A snapshot is one poll of the feed (bounded by the number of stations),
-    so writing it as ``files`` file(s) keeps one file per snapshot.
+    so writing it as ``files`` file(s) keeps one file per snapshot.  With
+    ``file_stem`` (e.g. ``HH-MM-SS`` of the poll) the single file is written to
+    staging first and renamed to ``date=D/<file_stem>.parquet``.
     """
-    df.coalesce(files).write.mode("append").partitionBy("date").parquet(bronze_root)
+    if file_stem is None:
+        df.coalesce(files).write.mode("append").partitionBy("date").parquet(bronze_root)
+        return []
+    spark = df.sparkSession
+    staged = stage(df.coalesce(1), staging_root or f"{bronze_root.rstrip('/')}_staging", partition_by="date")
+    fs, src = _fs(spark, staged)
+    jvm = spark.sparkContext._jvm
+    placed = []
+    for part in fs.listStatus(src):
+        if not part.isDirectory() or not part.getPath().getName().startswith("date="):
+            continue
+        target_dir = jvm.org.apache.hadoop.fs.Path(f"{bronze_root.rstrip('/')}/{part.getPath().getName()}")
+        fs.mkdirs(target_dir)
+        for k, f in enumerate(x for x in fs.listStatus(part.getPath()) if x.getPath().getName().endswith(".parquet")):
+            name = f"{file_stem}.parquet" if k == 0 else f"{file_stem}-{k}.parquet"
+            target = jvm.org.apache.hadoop.fs.Path(target_dir, name)
+            n = 1
+            while fs.exists(target):  # two polls in the same second: keep both
+                target = jvm.org.apache.hadoop.fs.Path(target_dir, f"{file_stem}-{k}-{n}.parquet")
+                n += 1
+            fs.rename(f.getPath(), target)
+            placed.append(target.toString())
+    fs.delete(src, True)
+    return placed
 
 
 def stage(df: DataFrame, staging_root: str, partition_by: str | None = None) -> str:

@@ -52,3 +52,14 @@ def test_partitioned_publish_replaces_only_staged_days(spark, golden_bronze, tmp
     back = spark.read.parquet(cfg.silver_path)
     assert back.where("date = DATE'2024-05-01'").count() == 2  # untouched day kept
     assert back.where("date = DATE'2024-05-02'").count() == 1  # staged day replaced
+
+
+def test_snapshot_file_named_after_poll_time(spark, golden_bronze, tmp_root):
+    cfg = PipelineConfig(root=tmp_root)
+    snap = golden_bronze.where("ingested_at = TIMESTAMP_NTZ'2024-05-02 08:15:00'")
+    placed = append_snapshot(snap, cfg.bronze_path, file_stem="08-15-00", staging_root=cfg.staging_path)
+    again = append_snapshot(snap, cfg.bronze_path, file_stem="08-15-00", staging_root=cfg.staging_path)
+    assert [p.rsplit("/", 2)[-2:] for p in placed] == [["date=2024-05-02", "08-15-00.parquet"]]
+    assert again[0].endswith("08-15-00-0-1.parquet")  # same second twice: both kept
+    assert read_bronze(spark, cfg.bronze_path).count() == 2 * snap.count()
+    assert os.listdir(cfg.staging_path) == []  # staged folders are gone after the renames
