@@ -66,10 +66,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         run_status(runs, steps, cfg.job).show(truncate=False)
     elif args.cmd == "cleanup":
         from snapflow.plans.retention import clean_staging, run_cleanup
+        from snapflow.plans.runlog import compact_run_log
 
         now = args.now or dt.datetime.now()
         run_cleanup(spark, cfg, now, dry_run=not args.apply).show()
         print(f"staging folders expired: {clean_staging(spark, cfg, now, dry_run=not args.apply)}")
+        if args.apply:
+            print(f"run-log days compacted: {compact_run_log(spark, cfg, now.date())}")
     return 0
 
 

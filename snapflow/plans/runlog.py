@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapflow.config import STEP_SUFFIX, PipelineConfig
 from snapflow.functions.exprs import duration_seconds
 from snapflow.schemas import RUN_LOG
 from snapflow.sources.lake import path_exists
+from snapflow.sources.sinks import publish, stage
 
 
 class RunRecorder:
@@ -39,14 +42,59 @@ class RunRecorder:
         return _Step()
 
     def finish(self, spark: SparkSession, cfg: PipelineConfig, status: str) -> None:
-        row = (self.run_id, self.job, status, self.start_time, time.time(), [s for s in self.steps])
-        spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(cfg.runlog_path)
+        """Append this run as one row, in the folder of its (UTC) start day."""
+        day = dt.datetime.fromtimestamp(self.start_time, dt.timezone.utc).date()
+        row = (self.run_id, self.job, status, self.start_time, time.time(), [s for s in self.steps], day)
+        spark.createDataFrame([row], RUN_LOG_STORED).coalesce(1).write.mode("append").partitionBy("day").parquet(
+            cfg.runlog_path
+        )
 
 
-def read_run_log(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+# Stored form: the run-log record plus its start ``day`` (the partition column).
+RUN_LOG_STORED = T.StructType(RUN_LOG.fields + [T.StructField("day", T.DateType(), True)])
+
+
+def read_run_log(spark: SparkSession, cfg: PipelineConfig, since: dt.date | None = None) -> DataFrame:
+    """Run-log records; with ``since`` only day folders from that day on are read."""
     if not path_exists(spark, cfg.runlog_path):
         return spark.createDataFrame([], RUN_LOG)
-    return spark.read.schema(RUN_LOG).parquet(cfg.runlog_path)
+    log = spark.read.schema(RUN_LOG_STORED).option("basePath", cfg.runlog_path).parquet(cfg.runlog_path)
+    if since is not None:
+        log = log.where(F.col("day") >= F.lit(since))
+    return log.select(*RUN_LOG.fieldNames())
+
+
+def compact_run_log(spark: SparkSession, cfg: PipelineConfig, before: dt.date) -> int:
+    """Rewrite each finished day folder (day < ``before``) that holds several
+    files as a single file; already compacted days are left alone.
+
+    Each run appends one small file; compaction keeps the listing small.  A
+    day holds at most a few hundred runs, so one file per day is bounded.
+    Returns the number of day folders rewritten.
+    """
+    todo = [d for d, n in _day_file_counts(spark, cfg.runlog_path).items() if d < before and n > 1]
+    if not todo:
+        return 0
+    log = spark.read.schema(RUN_LOG_STORED).option("basePath", cfg.runlog_path).parquet(cfg.runlog_path)
+    staged = stage(log.where(F.col("day").isin(todo)).repartition("day"), cfg.staging_path, partition_by="day")
+    publish(spark, staged, cfg.runlog_path, partitioned=True)
+    return len(todo)
+
+
+def _day_file_counts(spark: SparkSession, root: str) -> dict[dt.date, int]:
+    """Parquet files per ``day=`` folder (a listing of metadata only)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(root)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return {}
+    out = {}
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("day="):
+            files = [f for f in fs.listStatus(st.getPath()) if f.getPath().getName().endswith(".parquet")]
+            out[dt.date.fromisoformat(name[len("day="):])] = len(files)
+    return out
 
 
 def split_run_log(run_log: DataFrame) -> tuple[DataFrame, DataFrame]:

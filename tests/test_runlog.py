@@ -1,6 +1,6 @@
 """Run status: newest run, durations, step map with last-wins, no runs."""
 
-from snapflow.plans.runlog import run_status, run_step_status, split_run_log
+from snapflow.plans.runlog import compact_run_log, read_run_log, run_status, run_step_status, split_run_log
 from snapflow.schemas import RUN_LOG
 
 
@@ -43,3 +43,29 @@ def test_suffix_removed_everywhere(spark):
     runs, steps = log(spark, rows)
     (r,) = run_status(runs, steps, "job").collect()
     assert list(r.assets) == ["a_b"]
+
+
+def test_run_log_partitioned_by_day_and_compacted(spark, tmp_root):
+    import datetime as dt
+    import os
+
+    from snapflow.config import PipelineConfig
+    from snapflow.plans.runlog import RunRecorder
+
+    cfg = PipelineConfig(root=tmp_root)
+    for start in (1714600000.0, 1714600600.0, 1714700000.0):  # two runs on 2024-05-01, one on 05-03
+        rec = RunRecorder(cfg.job)
+        rec.start_time = start
+        with rec.step("silver"):
+            pass
+        rec.finish(spark, cfg, "SUCCESS")
+    day1 = os.path.join(cfg.runlog_path, "day=2024-05-01")
+    assert len([f for f in os.listdir(day1) if f.endswith(".parquet")]) == 2
+    assert read_run_log(spark, cfg, since=dt.date(2024, 5, 2)).count() == 1
+    assert compact_run_log(spark, cfg, before=dt.date(2024, 5, 2)) == 1
+    assert len([f for f in os.listdir(day1) if f.endswith(".parquet")]) == 1
+    assert compact_run_log(spark, cfg, before=dt.date(2024, 5, 4)) == 0  # nothing left with several files
+    runs, steps = split_run_log(read_run_log(spark, cfg))
+    assert runs.count() == 3
+    (r,) = run_status(runs, steps, cfg.job).collect()
+    assert r.started_at == 1714700000.0 and set(r.assets) == {"silver"}
