@@ -86,9 +86,12 @@ def with_lag(
     if rows_per_slice is None:
         return plain
 
-    hot = hot_keys(df, keys, order[0], rows_per_slice)
+    # The hot-key table is small (at most rows / rows_per_slice rows); it is
+    # cached when counted so the plan below reuses it instead of re-aggregating.
+    hot = hot_keys(df, keys, order[0], rows_per_slice).cache()
     n_hot = hot.count()
     if n_hot == 0:
+        hot.unpersist()
         return plain
     side = F.broadcast(hot) if n_hot <= broadcast_max_rows else hot
 
