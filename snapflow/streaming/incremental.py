@@ -132,8 +132,13 @@ def merge_batch(
     remove(spark, tpath)
 
 
+# One day of 10-minute polls: a backlog after an outage is merged a day at a
+# time instead of in one unbounded micro-batch.
+FILES_PER_TRIGGER = 144
+
+
 def start_incremental(
-    spark: SparkSession, cfg: PipelineConfig, files_per_trigger: int | None = None, gate: bool = True
+    spark: SparkSession, cfg: PipelineConfig, files_per_trigger: int | None = FILES_PER_TRIGGER, gate: bool = True
 ):
     """Process every bronze file not yet seen, then stop (``availableNow``).
 
