@@ -41,7 +41,7 @@ WITH d AS (
          sum(weight) OVER () AS weights, sum(source_size) OVER () AS words
   FROM w
 ), share AS (
-  SELECT min((1.5 * words - filled) / (weights - spent)) AS share
+  SELECT arg_min((1.5 * words - filled) / (weights - spent), level) AS share
   FROM o WHERE (1.5 * words - filled) / (weights - spent) <= level
 ), t AS (
   SELECT source, source_size, least(cap, coalesce(share, 1e300) * weight) AS target FROM w, share
