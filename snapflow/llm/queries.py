@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, arc_warc, chat_format, mixing, simhash
+from snapflow.llm import ann, arc_warc, chat_format, decontaminate, line_dedup, mixing, simhash, toxicity
 from snapflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,10 +43,25 @@ def prefix_target_chat(spark: SparkSession, d: str) -> DataFrame:
     return chat_format.digests(chat_format.expand(turns)).drop("n_examples")
 
 
+def minhash_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, d, "documents"))
+
+
+def spaced_seed_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def counterfactual_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.7)
+
+
 LLM_QUERIES: dict[str, Query] = {
+    "op1_minhash_line_dedup": minhash_line_dedup,
+    "op2_spaced_seed_decontamination": spaced_seed_decontamination,
     "op3_arc_to_warc": arc_to_warc,
     "op4_posting_list_ann": posting_list_ann,
     "op5_simhash_near_duplicates": simhash_near_duplicates,
     "op6_systematic_mix": systematic_mix,
+    "op7_counterfactual_toxicity": counterfactual_toxicity,
     "op9_prefix_target_chat": prefix_target_chat,
 }
