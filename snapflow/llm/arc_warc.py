@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm.common import col
+from snapflow.llm.common import col, written
 from snapflow.session import scratch_path
 
 V1 = "URL IP-address Archive-date Content-type Archive-length"
@@ -77,6 +77,7 @@ def _write_records(df: DataFrame, path: str, separator: str) -> None:
         df.select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", separator)
         .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .text(path)
     )
 
@@ -256,24 +257,26 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------ WARC
 
 
-def convert(records: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
+def convert(records: DataFrame, min_revisit_bytes: int = 0, broadcast_rows: int = 100_000) -> DataFrame:
     """WARC records (column ``record``) of ``read_arc``'s rows.
 
     Per payload of at least ``min_revisit_bytes`` the record with the largest
     source id (NULL smallest; of equal ids the largest record id) is the
     response, the others revisit it.  Payload sharing is found from digests
-    and ids alone: partial maxima, no payload in that shuffle.  Only rows
-    whose payload occurs again are joined with the response's name.
+    and ids alone: partial maxima, no payload in that shuffle.  The table of
+    repeated payloads is broadcast if it has at most ``broadcast_rows`` rows;
+    beyond, records and table are joined by shuffle.
     """
-    best = (
+    best = written(
         records.where(F.col("payload_bytes") >= min_revisit_bytes)
         .groupBy("payload_digest")
         .agg(F.max(F.struct("source_id", "record_id", "url", "warc_date")).alias("kept"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select(F.col("payload_digest").alias("_digest"), "kept")
+        .select(F.col("payload_digest").alias("_digest"), "kept"),
+        "repeated-payloads",
     )
     joined = records.join(
-        best, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") >= min_revisit_bytes), "left"
+        F.broadcast(best) if best.count() <= broadcast_rows else best, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") >= min_revisit_bytes), "left"
     )
     revisit = F.col("kept").isNotNull() & (F.col("kept.record_id") != F.col("record_id"))
     rows = joined.select(

@@ -77,8 +77,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM n GROUP BY conv_id
 """
 
+AUTOMATON_SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), p AS (
+  SELECT rid, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM d
+), s AS (
+  SELECT rid, unnest(range(1, len(ws) - 33)) AS pos, ws FROM d WHERE len(ws) >= 35
+), w AS (
+  SELECT rid, pos, array_to_string(ws[pos : pos + 34], ' ') AS said FROM s
+), r AS (
+  SELECT rid, pos, count(*) OVER (PARTITION BY said) > 1 AS again FROM w
+), c AS (
+  SELECT p.rid, p.pos, p.word,
+         coalesce(bool_or(r.again) OVER (PARTITION BY p.rid ORDER BY p.pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM p LEFT JOIN r ON p.rid = r.rid AND p.pos = r.pos
+), k AS (
+  SELECT rid, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM c GROUP BY rid
+)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.rid = k.rid
+"""
+
 LLM_SQL = {
     "op3_arc_to_warc": ARC_TO_WARC,
     "op6_systematic_mix": SYSTEMATIC_MIX,
     "op9_prefix_target_chat": PREFIX_TARGET_CHAT,
+    "op10_automaton_substring_dedup": AUTOMATON_SUBSTRING_DEDUP,
 }

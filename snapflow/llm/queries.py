@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, arc_warc, chat_format, decontaminate, line_dedup, mixing, simhash, toxicity
+from snapflow.llm import (
+    ann,
+    arc_warc,
+    chat_format,
+    decontaminate,
+    line_dedup,
+    mixing,
+    ngram_lm,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from snapflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +66,14 @@ def counterfactual_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.7)
 
 
+def deleted_interpolation_lm(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_lm.score_texts(table(spark, d, "documents"))
+
+
+def automaton_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, d, "documents"), window=35).drop("kept")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_line_dedup": minhash_line_dedup,
     "op2_spaced_seed_decontamination": spaced_seed_decontamination,
@@ -63,5 +82,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_simhash_near_duplicates": simhash_near_duplicates,
     "op6_systematic_mix": systematic_mix,
     "op7_counterfactual_toxicity": counterfactual_toxicity,
+    "op8_deleted_interpolation_lm": deleted_interpolation_lm,
     "op9_prefix_target_chat": prefix_target_chat,
+    "op10_automaton_substring_dedup": automaton_substring_dedup,
 }

@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapflow.llm.common import col, written
@@ -66,16 +66,17 @@ def fingerprint(text: str | None, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``doc_id, text_hash, fp`` (signed 64-bit) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(x.as_py(), width) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], schema=schema)
+            fps = [fingerprint(x.as_py(), width) for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], schema=schema)
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
+    text = col(text_col)
+    return docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
+        run, "doc_id long, text_hash long, fp long"
     )
 
 
@@ -152,6 +153,17 @@ def links(fps: DataFrame, max_bits: int, crowd: int) -> DataFrame:
     return compared.union(_ball_links(written(around, "crowded"), max_bits // 2))
 
 
+def _grouped(docs: DataFrame, width: int, max_bits: int, crowd: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's fingerprint, and each fingerprint's component (both written)."""
+    marked = written(fingerprints(docs, width, id_col, text_col), "fingerprints")
+    distinct = written(marked.select("fp").distinct(), "distinct-fingerprints")
+    parts = connected_components(links(distinct, max_bits, crowd))
+    grouped = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component")
+    )
+    return marked, written(grouped, "components")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -173,15 +185,25 @@ def near_duplicates(
     * Repeated rows get a row each.  Other columns are not read.  An empty
       table gives no rows.
     """
-    marked = written(fingerprints(docs, width, id_col, text_col), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
-    parts = connected_components(links(distinct.select("fp"), max_bits, crowd))
-    grouped = written(
-        distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "fp", "least_id", F.coalesce("component", "fp").alias("component")
-        ),
-        "components",
-    )
-    named = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    marked, grouped = _grouped(docs, width, max_bits, crowd, id_col, text_col)
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")).join(grouped, "fp")
+    named = least.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_fp = grouped.join(named, "component").select("fp", "component_id")
     return marked.join(by_fp, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, *, width: int = 3, max_bits: int = 2, crowd: int = 64, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component, all columns unchanged: that with the smallest
+    doc_id (NULL largest), of equal ids with the smallest text hash, of equal
+    rows any one."""
+    marked, grouped = _grouped(docs, width, max_bits, crowd, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    least = marked.groupBy("fp").agg(F.min(order).alias("first")).join(grouped, "fp")
+    kept = least.groupBy("component").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("_llm_id"), F.col("first.text_hash").alias("_llm_hash"))
+    same = (F.xxhash64(col(text_col)) == F.col("_llm_hash")) & col(id_col).cast("long").eqNullSafe(F.col("_llm_id"))
+    twins = Window.partitionBy("_llm_hash", "_llm_id").orderBy("_llm_hash")
+    joined = docs.join(kept, same).withColumn("_llm_twin", F.row_number().over(twins))
+    return joined.where("_llm_twin = 1").select(*[col(c) for c in docs.columns])

@@ -18,11 +18,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.llm.common import col, written
@@ -247,26 +248,23 @@ def fit(
     return dict(zip(features, w.tolist())), b
 
 
-def score(docs: DataFrame, model: tuple[dict[str, float], float], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score`` of every row; NULL and empty texts get the intercept's score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+def scorer(spark: SparkSession, model: tuple[dict[str, float], float]) -> Callable[[Column], Column]:
+    """A function of the text column; NULL and empty texts get the intercept's score."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, b0 = shared.value
         vectors = Vectoriser({f: i for i, f in enumerate(weights)})
         w = list(weights.values())
-        for b in batches:
+        for texts in batches:
             out = []
-            for text in _rows(b.column("text")):
+            for text in texts:
                 at, values = vectors.vector(words_of(text))
                 z = b0 + math.fsum(w[i] * v for i, v in zip(at, values))
                 out.append(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z)))))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64())], schema=schema)
+            yield pd.Series(out, dtype="float64")
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, score double"
-    )
+    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
 
 
 def held_out(id_column: Column) -> Column:
@@ -281,10 +279,16 @@ def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, **op
     each; a NULL id is not held out.  Other columns are never read.  An empty
     table gives no rows.
     """
-    id_col = options.get("id_col", "doc_id")
-    model = fit(docs, labels.where(~held_out(col(id_col))), **options)
-    names = {k: options[k] for k in ("id_col", "text_col") if k in options}
-    scored = score(docs, model, **names)
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    score = scorer(docs.sparkSession, fit(docs, labels.where(~held_out(col(id_col))), **options))
+    scored = docs.select(col(id_col).alias("doc_id"), score(col(text_col)).alias("score"))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def remove_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, **options) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` does not predict toxic, all columns unchanged."""
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    score = scorer(docs.sparkSession, fit(docs, labels.where(~held_out(col(id_col))), **options))
+    return docs.where(score(col(text_col)) < threshold)
