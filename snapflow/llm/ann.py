@@ -138,14 +138,14 @@ def search(
     k: int = 20,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    list_size: int = 128,
+    lists: int | None = None,
     max_centroids: int = 4096,
     sample_per_list: int = 32,
     replicas: int = 4,
     boundary: float = 1.1,
-    ratio: float = 1.35,
-    min_lists: int = 24,
-    max_lists: int = 256,
+    ratio: float = 1.15,
+    min_lists: int = 48,
+    max_lists: int = 160,
 ) -> DataFrame:
     """The ``k`` nearest found of every row that ``is_query`` marks:
     ``query_id, rank, vec_id, score``.
@@ -183,7 +183,8 @@ def search(
     if width != narrow:
         raise ValueError("vectors differ in length")
     reach = math.sqrt(square)
-    lists = max(1, min(max_centroids, math.ceil(count / list_size)))
+    # As many lists as vectors in a list, so that neither side of the search outgrows the other.
+    lists = max(1, min(max_centroids, lists or math.ceil(math.sqrt(count))))
     picked = index.select("v").orderBy(F.xxhash64("v"), "v").limit(sample_per_list * lists).collect()
     sample = np.array([r[0] for r in picked], dtype=np.float64)
     centroids = fit_centroids(_extended(sample, reach), lists)
@@ -243,7 +244,7 @@ def search(
     def compare(vs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         """The k + 1 nearest vectors of a block for every query of a block."""
         if not len(vs) or not len(qs):
-            return pd.DataFrame({"q": [], "first_id": [], "score": []})
+            return pd.DataFrame({"q": [], "ids": [], "scores": []})
         x, ids = np.stack(vs["v"].to_numpy()), vs["first_id"].to_numpy()
         out = []
         for lo in range(0, len(qs), 256):
@@ -256,13 +257,14 @@ def search(
             slack = 1e-12 * (1.0 + np.abs(cut))
             at, j = np.nonzero(scores >= (cut - slack)[:, None])
             exact = (y[at] * x[j]).sum(axis=1)
-            out.append(pd.DataFrame({"q": part["first_id"].to_numpy()[at], "first_id": ids[j], "score": exact}))
+            cuts = np.searchsorted(at, np.arange(1, len(part)))
+            out.append(pd.DataFrame({"q": part["first_id"].to_numpy(), "ids": np.split(ids[j], cuts), "scores": np.split(exact, cuts)}))
         return pd.concat(out)
 
     keys = ["list", "vblock", "qblock"]
-    found = (
-        left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "q long, first_id long, score double")
-    ).distinct()
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "q long, ids array<long>, scores array<double>")
+    # A replicated vector is found in several lists.
+    found = best.select("q", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("q", F.col("x.ids").alias("first_id"), F.col("x.scores").alias("score")).distinct()
     nearest = Window.partitionBy("q").orderBy(F.col("score").desc(), "first_id")
     # k + 1 distinct vectors hold at least k answers besides the query itself.
     few = found.select("*", F.row_number().over(nearest).alias("n")).where(F.col("n") <= k + 1)

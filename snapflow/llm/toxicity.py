@@ -125,13 +125,13 @@ def count_features(sample: DataFrame) -> DataFrame:
     return counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def select_features(counts: DataFrame, toxic: int, clean: int, max_features: int, min_docs: int) -> list[str]:
+def select_features(counts: DataFrame, toxic: int, clean: int, max_features: int, min_docs: int, min_z: float = 3.0) -> list[str]:
     """The features whose share differs most between the classes, by a two-sample z score."""
     both = F.col("toxic") + F.col("clean")
     mean = both / F.lit(float(toxic + clean))
     gap = F.col("toxic") / F.lit(float(toxic)) - F.col("clean") / F.lit(float(clean))
     z = F.abs(gap) / F.sqrt(mean * (1 - mean) * F.lit(1.0 / toxic + 1.0 / clean) + F.lit(1e-12))
-    picked = counts.where(both >= min_docs).select("feature", z.alias("z")).where("z > 1").orderBy(F.desc("z"), "feature")
+    picked = counts.where(both >= min_docs).select("feature", z.alias("z")).where(F.col("z") > min_z).orderBy(F.desc("z"), "feature")
     return [r[0] for r in picked.limit(max_features).collect()]
 
 
@@ -252,6 +252,7 @@ def scorer(spark: SparkSession, model: tuple[dict[str, float], float]) -> Callab
     """A function of the text column; NULL and empty texts get the intercept's score."""
     shared = spark.sparkContext.broadcast(model)
 
+    @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, b0 = shared.value
         vectors = Vectoriser({f: i for i, f in enumerate(weights)})
@@ -264,7 +265,7 @@ def scorer(spark: SparkSession, model: tuple[dict[str, float], float]) -> Callab
                 out.append(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z)))))
             yield pd.Series(out, dtype="float64")
 
-    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
+    return run
 
 
 def held_out(id_column: Column) -> Column:

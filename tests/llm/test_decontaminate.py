@@ -1,0 +1,82 @@
+import random
+import re
+from itertools import combinations
+from math import ceil
+
+from snapflow.llm.decontaminate import MASKS, contamination, remove_contaminated
+
+DOCS = "doc_id long, text string, seed string, item_id long"
+ITEMS = "item_id long, text string, tokens string"
+
+
+def toks(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def brute(docs, items, window=16, share=0.8):
+    out = {}
+    for doc, text in docs:
+        a, found = toks(text), []
+        for item, said in items:
+            b = toks(said)
+            w = min(window, len(b))
+            if not b:
+                continue
+            ok = False
+            for shift in range(-len(b), len(a) + 1):
+                same = [0 <= j + shift < len(a) and a[j + shift] == b[j] for j in range(len(b))]
+                ok |= any(sum(same[s : s + w]) >= ceil(w * share) for s in range(len(b) - w + 1))
+            if ok:
+                found.append(item)
+        out[doc] = sorted(found)
+    return out
+
+
+def test_masks_meet_every_three_substitutions():
+    placed = [{o + i for i, bit in enumerate(m) if bit == "1"} for m in MASKS for o in range(16 - len(m) + 1)]
+    for wrong in combinations(range(16), 3):
+        assert any(not p & set(wrong) for p in placed)
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 8, 16, 30])))) for i in range(25)]
+    docs = []
+    for d in range(120):
+        text = [rng.choice(vocabulary) for _ in range(60)]
+        if d % 2:
+            said = toks(rng.choice(items)[1])
+            for _ in range(rng.randint(0, 4)):  # substitutions, more than tolerated too
+                said[rng.randrange(len(said))] = "other"
+            cut = rng.randrange(len(said)) if d % 6 == 1 else 0
+            text[20:20] = [x.upper() + rng.choice(["", ",", "."]) for x in said[cut:]]
+        docs.append((d, " ".join(text)))
+    rows = spark.createDataFrame([(d, t, "", 0) for d, t in docs], DOCS)
+    bench = spark.createDataFrame([(i, t, "") for i, t in items], ITEMS)
+    want = brute(docs, items)
+    for options in ({}, {"broadcast_seeds": 0}):
+        got = {r["doc_id"]: r["item_ids"] for r in contamination(rows, bench, **options).collect()}
+        # Items of 3 to 15 tokens have fewer places for a mask, so only whole windows are guaranteed.
+        sure = {d: [i for i in found if len(toks(items[i][1])) >= 16] for d, found in want.items()}
+        for d in want:
+            assert set(sure[d]) <= set(got[d]) <= set(want[d])
+    assert any(sure.values())
+    clean = {r["doc_id"] for r in remove_contaminated(rows, bench).collect()}
+    assert clean == {d for d in got if not got[d]}
+
+
+def test_nulls_empty_repeated_and_short(spark):
+    docs = [(1, None), (2, ""), (3, "...!"), (4, "Alpha beta, GAMMA delta"), (4, "Alpha beta, GAMMA delta"), (None, "alpha beta gamma")]
+    rows = spark.createDataFrame([(d, t, None, None) for d, t in docs], DOCS)
+    bench = spark.createDataFrame([(7, "beta gamma", None), (8, None, None), (9, "", None), (9, "delta", None)], ITEMS)
+    got = sorted(((r["doc_id"], r["contaminated"], r["item_ids"]) for r in contamination(rows, bench).collect()), key=str)
+    assert got == sorted([(1, False, []), (2, False, []), (3, False, []), (4, True, [7, 9]), (4, True, [7, 9]), (None, True, [7])], key=str)
+    assert {r["doc_id"] for r in remove_contaminated(rows, bench).collect()} == {1, 2, 3}
+
+
+def test_empty_tables(spark):
+    none, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b", None)], ITEMS)
+    assert contamination(none, bench).collect() == []
+    some = spark.createDataFrame([(1, "a b", None, None)], DOCS)
+    assert [tuple(r) for r in contamination(some, spark.createDataFrame([], ITEMS)).collect()] == [(1, False, [])]
