@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from snapflow.llm.common import ascii_lower, col, written
 
-BLOCK_WORDS = 2_000_000
-SHARD_KEYS = 2_000_000
+BLOCK_WORDS = 1_000_000
+SHARD_KEYS = 1_000_000
 BLOCKS = (
     "block string, n_docs long, n_words long, ids binary, no_id binary, flags binary, lengths binary, "
     "vocabulary binary, words binary"
