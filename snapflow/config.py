@@ -13,6 +13,8 @@ from dataclasses import dataclass
 #   top-k sizes (at-risk / depletion / empty)    : 10 / 5 / 10
 #   "yes" flag value in the source feed          : 'OUI'
 #   step-key suffix removed in run status        : '_1'
+#   plausible depletion rate (bikes per minute)  : -50 .. 50
+#   plausible change between snapshots (bikes)   : -100 .. 100
 # ---------------------------------------------------------------------------
 RISK_MINUTES = 30
 EMPTY_MINUTES = 60
@@ -24,6 +26,8 @@ TOP_DEPLETION = 5
 TOP_EMPTY = 10
 YES = "OUI"
 STEP_SUFFIX = "_1"
+RATE_RANGE = (-50, 50)
+DELTA_RANGE = (-100, 100)
 
 GOLD_TABLES = ("stations_at_risk", "stations_empty_duration", "district_stats")
 
@@ -60,10 +64,6 @@ class PipelineConfig:
     def bronze_path(self) -> str:
         return self._join("bronze")
 
-    @property
-    def landing_path(self) -> str:
-        return self._join("landing")
-
     @property
     def silver_path(self) -> str:
         return self._join("silver")

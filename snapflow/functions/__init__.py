@@ -9,7 +9,6 @@ from snapflow.functions.exprs import (
     python_datetime_text,
     round_half_away,
     round_half_even,
-    safe_ratio,
     yes_flag,
 )
 
@@ -24,6 +23,5 @@ __all__ = [
     "python_datetime_text",
     "round_half_away",
     "round_half_even",
-    "safe_ratio",
     "yes_flag",
 ]

@@ -6,6 +6,8 @@ codegen; none is a Python UDF.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,13 +26,16 @@ def ntz_literal(value) -> Column:
     Built from ISO text, so neither the Python process zone nor the session
     zone can shift it.
     """
-    import datetime as _dt
-
     if isinstance(value, _dt.datetime) and value.tzinfo is not None:
         value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def utc_now() -> _dt.datetime:
+    """The library's clock: the wall-clock time in UTC, naive."""
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def round_half_away(x: ColumnOrName, digits: int) -> Column:
     """``ROUND(double, n)`` as a scaled round: round(x * 10^n) / 10^n.
 
@@ -85,11 +90,6 @@ def yes_flag(c: ColumnOrName) -> Column:
     return _col(c) == F.lit(YES)
 
 
-def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """num / den as DOUBLE, NULL when den is 0 or NULL (never raises under ANSI)."""
-    return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
-
-
 def pct_of_total(part: ColumnOrName, total: ColumnOrName, digits: int = 1) -> Column:
     """``100 * part / NULLIF(total, 0)`` rounded like ``ROUND(x, n)``."""
     return round_half_away(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.exprs import minute_boundaries, round_half_away
-from snapflow.operators.latest import latest_per_key
 
 
 def time_to_zero(
@@ -35,7 +34,7 @@ def time_since_last(
     rows: DataFrame,
     keys: Sequence[str],
     time_col: str,
-    latest_order: Sequence[Column],
+    latest_by: Sequence[str],
     seen_when: Column,
     current_when: Column,
     threshold_minutes: int,
@@ -48,21 +47,23 @@ def time_since_last(
     """Keys whose latest row satisfies ``current_when`` and whose last row
     satisfying ``seen_when`` lies more than ``threshold`` minute boundaries back.
 
-    Both sides are one row per key and come out of an aggregate / window
-    partitioned on ``keys``, so the join reuses that partitioning.  Catalyst
-    prunes every column the output does not need before the shuffle.
+    One pass: a conditional maximum of the time and the latest row (largest
+    ``latest_by``, NULLs smallest) come out of the same partially combined
+    aggregate, so the input is read once, shuffled once and never joined.
     """
     keys = list(keys)
-    last_seen = rows.where(seen_when).groupBy(*keys).agg(F.max(time_col).alias(seen_col))
-    current = latest_per_key(rows, keys, latest_order).where(current_when)
-    minutes = minute_boundaries(F.col(seen_col), F.col(time_col))
-    joined = current.join(last_seen, keys, "left").where(
-        F.col(seen_col).isNotNull() & (minutes > F.lit(threshold_minutes))
+    shown = [c for c in output_cols if c not in keys]
+    order = F.struct(*[F.col(c) for c in latest_by], *[F.col(c) for c in shown])
+    latest = F.struct(*[F.col(c) for c in shown], F.col(time_col).alias("__t"), current_when.alias("__current"))
+    per_key = rows.groupBy(*keys).agg(
+        F.max(F.when(seen_when, F.col(time_col))).alias(seen_col), F.max_by(latest, order).alias("__latest")
     )
-    return joined.select(
+    minutes = minute_boundaries(F.col(seen_col), F.col("__latest.__t"))
+    due = F.col("__latest.__current") & F.col(seen_col).isNotNull() & (minutes > F.lit(threshold_minutes))
+    return per_key.where(due).select(
         *keys,
-        *[c for c in output_cols if c not in keys],
+        *[F.col("__latest")[c].alias(c) for c in shown],
         F.col(seen_col),
-        F.col(time_col).alias(checked_col),
+        F.col("__latest.__t").alias(checked_col),
         minutes.alias(minutes_col),
     )

@@ -4,69 +4,68 @@
 a key in one task.  With a hot key (say a third of all rows) that task is a
 straggler as large as the data.  ``with_lag`` therefore:
 
-1. counts rows per key (partial aggregation, only key + time columns read);
+1. counts rows per key (partial aggregation, only the key columns are read);
 2. if no key exceeds ``rows_per_slice`` it plans the plain window;
-3. otherwise it cuts each hot key into time slices of ~``rows_per_slice``
-   rows (slice width from the key's count and time span), runs the window
-   per (key, slice), and gives the first row of every slice the last row of
-   the key's previous non-empty slice.  That last row comes from a
-   (key, slice) aggregate, so nothing larger than one row per slice moves.
+3. otherwise the rows of the hot keys, and only those, are range partitioned
+   by (key, order, tie-break) into slices of about ``rows_per_slice`` rows and
+   written to the shared scratch folder.  The range bounds are quantiles of
+   the rows themselves, so an outlier time, many NULL times or one repeated
+   time still give even slices.  The window runs per (key, slice), and the
+   first row of every slice takes the last row of the key's previous slice,
+   found by a (key, slice) aggregate: one row per slice moves.
+
+The order always ends with a hash of the whole row, in both forms, so rows
+that tie on every order column are ordered the same way in both and the
+results are equal.  NULL keys are one group, NULL order values sort last.
 
 The hot-key table holds at most ``total_rows / rows_per_slice`` rows; it is
 broadcast only when its counted size is under ``broadcast_max_rows``,
 otherwise it is joined by shuffle (AQE splits the skewed side).
-The result equals the plain window exactly, including NULL keys (grouped
-together) and NULL order values (sorted last).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from snapflow.functions.exprs import epoch_micros, minute_boundaries, round_half_away
+from snapflow.functions.exprs import minute_boundaries, round_half_away
+from snapflow.session import scratch_path
 
-NULL_SLICE = 1 << 62  # rows whose time is NULL sort after every real slice
-
-
-def _numeric_time(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        return epoch_micros(name)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(name))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(name)).cast("long")
-    return F.col(name).cast("double")
+TIE = "__tie"
 
 
 def _ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], time_col: str, rows_per_slice: int
-) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows, with their slice origin and width."""
-    t = _numeric_time(df, time_col)
-    stats = (
-        df.select(F.struct(*[F.col(k) for k in keys]).alias("__k"), t.alias("__t"))
-        .groupBy("__k")
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.min("__t").alias("__lo"),
-            F.max("__t").alias("__hi"),
-        )
-    )
-    width = (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double") * F.lit(
-        float(rows_per_slice)
-    ) / F.col("__n").cast("double")
-    return stats.where(F.col("__n") > F.lit(rows_per_slice)).select(
-        "__k", F.col("__lo").cast("double").alias("__lo"), width.alias("__w")
-    )
+def _key(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys])
+
+
+def _quoted(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
+    """``__k`` (struct of the key) and ``__n`` of keys with more than ``rows_per_slice`` rows."""
+    counts = df.select(_key(keys).alias("__k")).groupBy("__k").agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > F.lit(rows_per_slice))
+
+
+def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:
+    """``df`` with its slice number ``__s``: ``rows`` rows cut into even ranges of (key, order)."""
+    ranges = [F.col(k).asc_nulls_last() for k in keys] + _ascending(order)
+    spread = df.repartitionByRange(max(1, math.ceil(rows / rows_per_slice)), *ranges)
+    return _written(spread.withColumn("__s", F.spark_partition_id()), "lag-slices")
 
 
 def with_lag(
@@ -78,66 +77,75 @@ def with_lag(
     prefix: str = "prev_",
     rows_per_slice: int | None = None,
     broadcast_max_rows: int = 1_000_000,
+    tie_cols: Sequence[str] | None = None,
+    drop_repeats: bool = False,
 ) -> DataFrame:
-    """Append ``prefix + c`` = LAG(c) per key, ordered ascending (NULLS LAST) by ``order``."""
-    keys, order, columns = list(keys), list(order), list(columns)
-    plain_window = Window.partitionBy(*keys).orderBy(*_ascending(order))
-    plain = df.select("*", *[F.lag(c).over(plain_window).alias(prefix + c) for c in columns])
-    if rows_per_slice is None:
-        return plain
+    """Append ``prefix + c`` = LAG(c) per key, ordered ascending (NULLS LAST) by ``order``.
 
-    # The hot-key table is small (at most rows / rows_per_slice rows); it is
-    # cached when counted so the plan below reuses it instead of re-aggregating.
-    hot = hot_keys(df, keys, order[0], rows_per_slice).cache()
-    n_hot = hot.count()
+    ``tie_cols`` (default: all columns) are hashed for the tie-break.  With
+    ``drop_repeats`` rows equal in all of them are one row.  They stand next to
+    each other, so no shuffle beyond the window's is needed, and a successor
+    sees the same value whichever copy precedes it.
+    """
+    keys, order, columns = list(keys), [*order, TIE], list(columns)
+    tied = df.withColumn(TIE, F.xxhash64(*([F.col(f"`{c}`") for c in tie_cols] if tie_cols else _quoted(df))))
+    if drop_repeats:
+        plus = _with_lag(tied, df, keys, order, [*columns, TIE], prefix, rows_per_slice, broadcast_max_rows)
+        return plus.where(F.col(prefix + TIE).isNull() | (F.col(prefix + TIE) != F.col(TIE))).drop(TIE, prefix + TIE)
+    return _with_lag(tied, df, keys, order, columns, prefix, rows_per_slice, broadcast_max_rows).drop(TIE)
+
+
+def _with_lag(
+    tied: DataFrame,
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    columns: list[str],
+    prefix: str,
+    rows_per_slice: int | None,
+    broadcast_max_rows: int,
+) -> DataFrame:
+    """``with_lag`` on rows that carry their tie-break."""
+    shown = [*_quoted(df), F.col(TIE)]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*_ascending(order))
+        return rows.select(*shown, *[F.lag(c).over(w).alias(prefix + c) for c in columns])
+
+    if rows_per_slice is None:
+        return plain(tied)
+    hot = _written(hot_keys(df, keys, rows_per_slice), "hot-keys")
+    n_hot, rows = hot.agg(F.count(F.lit(1)), F.sum("__n")).first()
     if n_hot == 0:
-        hot.unpersist()
-        return plain
-    side = F.broadcast(hot) if n_hot <= broadcast_max_rows else hot
-
-    t = _numeric_time(df, order[0])
-    slice_no = (
-        F.when(F.col("__t").isNull(), F.lit(NULL_SLICE))
-        .when(F.col("__w").isNull(), F.lit(0))
-        .otherwise(F.floor((F.col("__t") - F.col("__lo")) / F.col("__w")).cast("long"))
-    )
-    sliced = (
-        df.select("*", F.struct(*[F.col(k) for k in keys]).alias("__k"), t.alias("__t"))
-        .join(side, "__k", "left")
-        .withColumn("__s", slice_no)
-        .drop("__t", "__lo", "__w")
-    )
+        return plain(tied)
+    side = hot.select("__k")
+    side = F.broadcast(side) if n_hot <= broadcast_max_rows else side
+    keyed = tied.withColumn("__k", _key(keys))
+    parts = sliced(keyed.join(side, "__k", "left_semi"), keys, order, rows, rows_per_slice)
 
-    # In-slice LAG; row 1 of each slice is fixed up from the carry table.
     w = Window.partitionBy("__k", "__s").orderBy(*_ascending(order))
-    windowed = sliced.select(
-        "*",
-        F.row_number().over(w).alias("__rn"),
-        *[F.lag(c).over(w).alias("__l_" + c) for c in columns],
+    windowed = parts.select(
+        "*", F.row_number().over(w).alias("__rn"), *[F.lag(c).over(w).alias("__l_" + c) for c in columns]
     )
-
     # Last row of every slice: max over (is-null, value) pairs = last under ASC NULLS LAST.
-    sort_fields: list[Column] = []
+    fields: list[Column] = []
     for i, c in enumerate(order):
-        sort_fields += [F.col(c).isNull().alias(f"__o{i}n"), F.col(c).alias(f"__o{i}")]
-    last = sliced.groupBy("__k", "__s").agg(
-        F.max(F.struct(*sort_fields, *[F.col(c).alias("__v_" + c) for c in columns])).alias("__last")
+        fields += [F.col(c).isNull().alias(f"__o{i}n"), F.col(c).alias(f"__o{i}")]
+    last = parts.groupBy("__k", "__s").agg(
+        F.max(F.struct(*fields, *[F.col(c).alias("__v_" + c) for c in columns])).alias("__last")
     )
     per_key = Window.partitionBy("__k").orderBy("__s")
     carry = last.select(
-        "__k",
-        "__s",
-        *[F.lag(F.col("__last")["__v_" + c]).over(per_key).alias("__c_" + c) for c in columns],
+        "__k", "__s", *[F.lag(F.col("__last")["__v_" + c]).over(per_key).alias("__c_" + c) for c in columns]
     )
-
-    out = windowed.join(carry, ["__k", "__s"], "left")
-    return out.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+    hot_rows = windowed.join(carry, ["__k", "__s"], "left").select(
+        *shown,
         *[
             F.when(F.col("__rn") > 1, F.col("__l_" + c)).otherwise(F.col("__c_" + c)).alias(prefix + c)
             for c in columns
         ],
     )
+    return plain(keyed.join(side, "__k", "left_anti")).union(hot_rows)
 
 
 def with_delta_rate(
@@ -154,6 +162,8 @@ def with_delta_rate(
     rate_digits: int = 4,
     rows_per_slice: int | None = None,
     broadcast_max_rows: int = 1_000_000,
+    tie_cols: Sequence[str] | None = None,
+    drop_repeats: bool = False,
 ) -> DataFrame:
     """Previous value, change, minute boundaries crossed, and change per minute.
 
@@ -167,6 +177,8 @@ def with_delta_rate(
         prefix="__p_",
         rows_per_slice=rows_per_slice,
         broadcast_max_rows=broadcast_max_rows,
+        tie_cols=tie_cols,
+        drop_repeats=drop_repeats,
     )
     delta = F.col(value_col) - F.col("__p_" + value_col)
     minutes = minute_boundaries(F.col("__p_" + time_col), F.col(time_col))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +22,7 @@ class Check:
       ``not_null``        failures = rows where column IS NULL
       ``accepted_range``  failures = rows where NOT (min <= column <= max); NULL passes
       ``accepted_values`` failures = distinct column values not in ``values``; NULL passes
-      ``expression``      failures = rows where ``predicate`` (SQL) is true
+      ``expression``      failures = rows where ``predicate`` (SQL text, or a function giving a column) is true
     """
 
     name: str
@@ -32,7 +32,7 @@ class Check:
     min_value: float | None = None
     max_value: float | None = None
     values: tuple = ()
-    predicate: str | None = None
+    predicate: str | Callable[[], Column] | None = None
     show: tuple[str, ...] = field(default_factory=tuple)
 
     def failing(self) -> Column:
@@ -50,7 +50,7 @@ class Check:
         if self.kind == "accepted_values":
             return ~F.col(self.column).isin(*self.values)
         if self.kind == "expression":
-            return F.expr(self.predicate)
+            return self.predicate() if callable(self.predicate) else F.expr(self.predicate)
         raise ValueError(f"unknown check kind {self.kind!r}")
 
     def failures(self) -> Column:
@@ -104,7 +104,10 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def violations(df: DataFrame, checks: Sequence[Check], key_cols: Sequence[str]) -> DataFrame:
-    """Failing rows of every row-level check: check_name, severity, key columns.
+    """Failing rows of every check: check_name, severity, key columns.
+
+    An ``accepted_values`` check counts distinct bad values in the report; here
+    every row that holds one is shown.
 
     One pass over ``df``: each row carries the array of checks it fails,
     which is exploded (a row failing two checks appears twice).
@@ -113,7 +116,6 @@ def violations(df: DataFrame, checks: Sequence[Check], key_cols: Sequence[str])
         *[
             F.when(c.failing(), F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity")))
             for c in checks
-            if c.kind != "accepted_values"
         ]
     )
     failing = F.filter(tags, lambda t: t.isNotNull())

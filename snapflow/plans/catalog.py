@@ -22,9 +22,11 @@ from snapflow.operators.latest import latest_per_key
 from snapflow.plans import gold, insights
 from snapflow.plans.feeds import bronze_file_listing, conversations_as_runs, events_as_bronze
 from snapflow.plans.quality import silver_quality_report, silver_violations
-from snapflow.plans.retention import plan_partition_expiry
-from snapflow.plans.runlog import run_step_status
-from snapflow.plans.silver import build_silver
+from snapflow.plans.retention import plan_mtime_expiry, plan_partition_expiry
+from snapflow.plans.runlog import run_status, run_status_text, run_step_status
+from snapflow.plans.silver import build_silver, clean
+from snapflow.session import scratch_path
+from snapflow.sources.landing import read_landed_json, to_bronze
 
 AS_OF = dt.date(2024, 1, 30)
 CLEANUP_AT = dt.datetime(2024, 1, 30, 2, 0, 0)  # the daily 02:00 cleanup of AS_OF
@@ -94,7 +96,7 @@ def q_order_gap_alerts(spark: SparkSession, d: str) -> DataFrame:
         orders,
         ["o_custkey"],
         "o_orderdate",
-        [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc()],
+        ["o_orderdate", "o_orderkey"],
         seen_when=F.col("o_orderstatus") == "F",
         current_when=F.col("o_orderstatus") == "O",
         threshold_minutes=365 * 24 * 60,
@@ -121,6 +123,74 @@ def q_incremental_silver(spark: SparkSession, d: str) -> DataFrame:
     return replay_incrementally(spark, bronze(spark, d), files_per_trigger=16)
 
 
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows without their change columns, for reports that read none of these."""
+    return clean(bronze(spark, sf_dir))
+
+
+def q_snapshot_metrics_listing(spark: SparkSession, d: str) -> DataFrame:
+    """The served form: snapshots counted from the listing of bronze files."""
+    snapshots = insights.snapshots_from_listing(bronze_file_listing(bronze(spark, d)), AS_OF)
+    return insights.snapshot_metrics(snapshots, cleaned(spark, d), AS_OF)
+
+
+def q_run_status(spark: SparkSession, d: str) -> DataFrame:
+    """The nested run status (runs holding arrays of steps), and that of a job that never ran."""
+    runs, steps = conversations_as_runs(table(spark, d, "conversations"))
+    nested = run_status(runs, steps, "snapshot_pipeline").unionByName(run_status(runs, steps, "never_run"))
+    return run_status_text(nested)
+
+
+def q_mtime_retention(spark: SparkSession, d: str) -> DataFrame:
+    listing = bronze_file_listing(bronze(spark, d))
+    listing = listing.withColumn("modificationTime", F.col("modificationTime").cast("timestamp"))
+    plan = plan_mtime_expiry(listing, CLEANUP_AT, 20)
+    return plan.withColumn("modificationTime", F.col("modificationTime").cast("timestamp_ntz"))
+
+
+def q_landed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Land the feed as JSON, coordinates nested in half of the records and flat
+    in the others, with keys that bronze does not declare; read it back as bronze."""
+    rows = bronze(spark, d).drop("ingested_at", "date")
+    lat, lon = F.col("`coordonnees_geo.lat`"), F.col("`coordonnees_geo.lon`")
+    nested = F.floor(lon * 1000) % 2 == 0
+    landed = rows.withColumns(
+        {
+            "coordonnees_geo": F.when(nested, F.struct(lat.alias("lat"), lon.alias("lon"))),
+            "coordonnees_geo.lat": F.when(~nested, lat),
+            "coordonnees_geo.lon": F.when(~nested, lon),
+            "vendor": F.struct(
+                F.concat(F.lit("vendor "), F.col("code_insee_commune")).alias("name"),
+                F.struct(F.col("capacity").alias("size")).alias("zone"),
+            ),
+            "tags": F.array("is_renting", "is_returning"),
+        }
+    )
+    path = scratch_path(spark, "landed")
+    landed.write.json(path)
+    return to_bronze(read_landed_json(spark, path, layout="lines"), CLEANUP_AT)
+
+
+def q_stored_silver_after_expiry(spark: SparkSession, d: str) -> DataFrame:
+    """Stored tables through a retention cycle: build, publish, expire bronze, rebuild, read."""
+    from snapflow.plans.pipeline import refresh_silver
+    from snapflow.plans.retention import apply_expiry
+    from snapflow.sources.lake import list_files, read_silver
+
+    cfg = PipelineConfig(root=scratch_path(spark, "lake"))
+    rows = bronze(spark, d)
+    rows.hint("rebalance", "date").write.partitionBy("date").parquet(cfg.bronze_path)
+    refresh_silver(spark, cfg)
+    expiry = plan_partition_expiry(list_files(spark, cfg.bronze_path), CLEANUP_AT, cfg.bronze_days)
+    apply_expiry(spark, expiry, cfg.bronze_path, dry_run=False)
+    refresh_silver(spark, cfg)
+    return read_silver(spark, cfg.silver_path)
+
+
+def _with_cleaned(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: fn(cleaned(spark, d))
+
+
 def _with_silver(fn: Callable[[DataFrame], DataFrame], cfg: PipelineConfig = DEFAULT) -> Query:
     return lambda spark, d: fn(silver(spark, d, cfg))
 
@@ -129,15 +199,15 @@ QUERIES: dict[str, Query] = {
     "silver": _with_silver(lambda s: s),
     "silver_hot_key_slices": _with_silver(lambda s: s, SLICED),
     "stations_at_risk": _with_silver(lambda s: gold.stations_at_risk(s, AS_OF)),
-    "stations_empty_duration": _with_silver(lambda s: gold.stations_empty_duration(s, AS_OF)),
-    "district_stats": _with_silver(lambda s: gold.district_stats(s, AS_OF)),
-    "network_summary": _with_silver(lambda s: insights.network_summary(s, AS_OF)),
+    "stations_empty_duration": _with_cleaned(lambda s: gold.stations_empty_duration(s, AS_OF)),
+    "district_stats": _with_cleaned(lambda s: gold.district_stats(s, AS_OF)),
+    "network_summary": _with_cleaned(lambda s: insights.network_summary(s, AS_OF)),
     "snapshot_metrics": lambda spark, d: insights.snapshot_metrics(
-        insights.snapshots_from_rows(bronze(spark, d), AS_OF), silver(spark, d), AS_OF
+        insights.snapshots_from_rows(bronze(spark, d), AS_OF), cleaned(spark, d), AS_OF
     ),
     "top_at_risk": _with_silver(lambda s: insights.top_at_risk(gold.stations_at_risk(s, AS_OF))),
     "top_depletion": _with_silver(lambda s: insights.top_depletion(s, AS_OF)),
-    "top_empty": _with_silver(lambda s: insights.top_empty(gold.stations_empty_duration(s, AS_OF))),
+    "top_empty": _with_cleaned(lambda s: insights.top_empty(gold.stations_empty_duration(s, AS_OF))),
     "quality_report": _with_silver(silver_quality_report),
     "quality_violations": _with_silver(silver_violations),
     "bronze_retention": q_bronze_retention,
@@ -147,4 +217,18 @@ QUERIES: dict[str, Query] = {
     "order_gap_alerts": q_order_gap_alerts,
     "run_step_status": q_run_step_status,
     "incremental_silver": q_incremental_silver,
+    "stored_silver_after_expiry": q_stored_silver_after_expiry,
+    "landed_roundtrip": q_landed_roundtrip,
+    "snapshot_metrics_listing": q_snapshot_metrics_listing,
+    "run_status": q_run_status,
+    "mtime_retention": q_mtime_retention,
+    "district_list": _with_cleaned(lambda s: insights.ordered_districts(gold.district_stats(s, AS_OF))),
+    # Wide thresholds and small limits, so that the limit cuts and the order shows.
+    "top_at_risk_ranked": _with_silver(
+        lambda s: insights.top_at_risk(gold.stations_at_risk(s, AS_OF, 1e6), 10, with_rank=True)
+    ),
+    "top_depletion_ranked": _with_silver(lambda s: insights.top_depletion(s, AS_OF, 5, with_rank=True)),
+    "top_empty_ranked": _with_cleaned(
+        lambda s: insights.top_empty(gold.stations_empty_duration(s, AS_OF, 0), 2, with_rank=True)
+    ),
 }

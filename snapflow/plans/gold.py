@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.config import EMPTY_MINUTES, RISK_MINUTES
+from snapflow.config import EMPTY_MINUTES, RISK_MINUTES, PipelineConfig
 from snapflow.operators.alerts import time_since_last, time_to_zero
 from snapflow.operators.grouped import (
     count_rows,
@@ -18,6 +18,7 @@ from snapflow.operators.grouped import (
 )
 from snapflow.operators.latest import latest_per_key
 
+
 def latest_order() -> list[Column]:
     """Newest snapshot first; ``ingested_at`` breaks report-time ties."""
     return [F.col("last_reported").desc_nulls_last(), F.col("ingested_at").desc_nulls_last()]
@@ -75,7 +76,7 @@ def stations_empty_duration(
         renting,
         ["station_code"],
         "last_reported",
-        latest_order(),
+        ["last_reported", "ingested_at"],
         seen_when=F.col("bikes_available") > 0,
         current_when=F.col("bikes_available") == 0,
         threshold_minutes=empty_minutes,
@@ -107,11 +108,16 @@ def district_stats(silver: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-GOLD_BUILDERS = {
-    "stations_at_risk": stations_at_risk,
-    "stations_empty_duration": stations_empty_duration,
-    "district_stats": district_stats,
-}
+def build_gold(silver: DataFrame, name: str, as_of, cfg: PipelineConfig) -> DataFrame:
+    """One mart with the thresholds of ``cfg``."""
+    if name == "stations_at_risk":
+        return stations_at_risk(silver, as_of, cfg.risk_minutes)
+    if name == "stations_empty_duration":
+        return stations_empty_duration(silver, as_of, cfg.empty_minutes)
+    if name == "district_stats":
+        return district_stats(silver, as_of)
+    raise ValueError(f"unknown mart {name!r}")
+
 
 def gold_order(name: str) -> list[Column]:
     """Reading order of each mart (the stored files carry no order)."""

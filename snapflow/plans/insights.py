@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapflow.config import TOP_AT_RISK, TOP_DEPLETION, TOP_EMPTY
@@ -75,10 +77,15 @@ def network_summary(silver: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def top_at_risk(at_risk: DataFrame, n: int = TOP_AT_RISK) -> DataFrame:
-    """The ``n`` stations closest to running empty."""
-    best = top_k(at_risk, n, [F.col("minutes_until_empty").asc_nulls_last(), F.col("station_code")])
+def _position(with_rank: bool) -> list[str]:
+    return ["rank", "result_count"] if with_rank else []
+
+
+def top_at_risk(at_risk: DataFrame, n: int = TOP_AT_RISK, with_rank: bool = False) -> DataFrame:
+    """The ``n`` stations closest to running empty; ``with_rank`` adds position and number of results."""
+    best = ranked(at_risk, n, [F.col("minutes_until_empty").asc_nulls_last(), F.col("station_code")])
     return best.select(
+        *_position(with_rank),
         "station_name",
         "bikes_available",
         round_half_away("depletion_rate_per_minute", 4).alias("depletion_rate_per_minute"),
@@ -87,11 +94,12 @@ def top_at_risk(at_risk: DataFrame, n: int = TOP_AT_RISK) -> DataFrame:
     )
 
 
-def top_depletion(silver: DataFrame, as_of=None, n: int = TOP_DEPLETION) -> DataFrame:
+def top_depletion(silver: DataFrame, as_of=None, n: int = TOP_DEPLETION, with_rank: bool = False) -> DataFrame:
     """The ``n`` fastest-emptying stations (latest snapshot, rate < 0; bikes may be 0)."""
     latest = latest_of_day(silver, as_of).where(F.col("depletion_rate_per_minute") < 0)
-    best = top_k(latest, n, [F.col("depletion_rate_per_minute").asc_nulls_last(), F.col("station_code")])
+    best = ranked(latest, n, [F.col("depletion_rate_per_minute").asc_nulls_last(), F.col("station_code")])
     return best.select(
+        *_position(with_rank),
         "station_name",
         "bikes_available",
         round_half_away("depletion_rate_per_minute", 4).alias("depletion_rate_per_minute"),
@@ -99,12 +107,36 @@ def top_depletion(silver: DataFrame, as_of=None, n: int = TOP_DEPLETION) -> Data
     )
 
 
-def top_empty(empty: DataFrame, n: int = TOP_EMPTY) -> DataFrame:
+def top_empty(empty: DataFrame, n: int = TOP_EMPTY, with_rank: bool = False) -> DataFrame:
     """The ``n`` stations empty for longest; the timestamp rendered as text."""
-    best = top_k(empty, n, [F.col("minutes_empty").desc_nulls_last(), F.col("station_code")])
+    best = ranked(empty, n, [F.col("minutes_empty").desc_nulls_last(), F.col("station_code")])
     return best.select(
+        *_position(with_rank),
         "station_name",
         "arrondissement",
         "minutes_empty",
         python_datetime_text("last_seen_with_bikes").alias("last_seen_with_bikes"),
     )
+
+
+def ordered_districts(stats: DataFrame) -> DataFrame:
+    """District statistics with their reading position (``rank``), NULL district last.
+
+    One row per district, so the ordering window is small.
+    """
+    order = Window.orderBy(F.col("arrondissement").asc_nulls_last())
+    return stats.select(F.row_number().over(order).alias("rank"), *stats.columns)
+
+
+def ranked(rows: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    """The first ``n`` rows with their position (``rank``) and the number of rows shown (``result_count``).
+
+    The limit comes first (each task keeps its own best ``n``), so the windows
+    see at most ``n`` rows.
+    """
+    best = top_k(rows, n, order)
+    return best.select(
+        F.row_number().over(Window.orderBy(*order)).alias("rank"),
+        *best.columns,
+        F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))).alias("result_count"),
+    )

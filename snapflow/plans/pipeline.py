@@ -10,23 +10,28 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapflow.config import GOLD_TABLES, PipelineConfig
+from snapflow.functions.exprs import utc_now
 from snapflow.plans import gold as gold_plans
 from snapflow.plans import insights
 from snapflow.plans.quality import gate_silver
 from snapflow.plans.runlog import RunRecorder
-from snapflow.plans.silver import build_silver
-from snapflow.schemas import SILVER
-from snapflow.sources.lake import list_files, read_bronze, read_silver, read_table
+from snapflow.plans.silver import build_silver, build_silver_after
+from snapflow.schemas import GOLD_SCHEMAS, SILVER
+from snapflow.sources.lake import bronze_dates, list_files, read_bronze, read_silver
 from snapflow.sources.landing import read_landed_json, to_bronze
-from snapflow.sources.sinks import append_snapshot, publish, stage, write_json
+from snapflow.sources.sinks import append_snapshot, stage, write_json
+from snapflow.sources.tables import partitions, publish, read_table
 
 
-def ingest(spark: SparkSession, cfg: PipelineConfig, landed_path: str, ingested_at: dt.datetime) -> None:
+def ingest(
+    spark: SparkSession, cfg: PipelineConfig, landed_path: str, ingested_at: dt.datetime, layout: str = "array"
+) -> None:
     """Landed JSON snapshot -> one bronze file ``date=<day>/<HH-MM-SS>.parquet`` of the ingest stamp."""
     append_snapshot(
-        to_bronze(read_landed_json(spark, landed_path), ingested_at),
+        to_bronze(read_landed_json(spark, landed_path, layout), ingested_at),
         cfg.bronze_path,
         file_stem=ingested_at.strftime("%H-%M-%S"),
         staging_root=cfg.staging_path,
@@ -34,18 +39,28 @@ def ingest(spark: SparkSession, cfg: PipelineConfig, landed_path: str, ingested_
 
 
 def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
-    """Full rebuild of silver from all bronze, tested on the staged copy, then published."""
-    staged = stage(build_silver(read_bronze(spark, cfg.bronze_path), cfg), cfg.staging_path, partition_by="date")
-    report = gate_silver(spark.read.schema(SILVER).parquet(staged))
+    """Full rebuild of silver from all bronze, tested on the staged copy, then published.
+
+    Days whose bronze has expired keep their silver rows, and serve as
+    predecessors of the rebuilt days: expiry changes no LAG value.
+    """
+    bronze, days = read_bronze(spark, cfg.bronze_path), bronze_dates(spark, cfg.bronze_path)
+    silver = build_silver(bronze, cfg)
+    if days and any(p < f"date={days[0].isoformat()}" for p in partitions(spark, cfg.silver_path)):
+        history = read_silver(spark, cfg.silver_path).where(F.col("date") < F.lit(days[0]))
+        silver = build_silver_after(history, bronze, cfg)
+    staged = stage(silver, cfg.staging_path, partition_by="date", sort_by=["station_code"])
+    report = gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
     publish(spark, staged, cfg.silver_path, partitioned=True)
     return report
 
 
 def refresh_gold(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) -> None:
+    """Each mart has one row per station or district; a rebalance makes its files, after the work is done in parallel."""
     silver = read_silver(spark, cfg.silver_path)
     for name in GOLD_TABLES:
-        out = gold_plans.GOLD_BUILDERS[name](silver, as_of)
-        publish(spark, stage(out.coalesce(1), cfg.staging_path), cfg.gold_path(name))
+        out = gold_plans.build_gold(silver, name, as_of, cfg)
+        publish(spark, stage(out, cfg.staging_path), cfg.gold_path(name))
 
 
 def run_pipeline(
@@ -55,6 +70,7 @@ def run_pipeline(
     landed_path: str | None = None,
     ingested_at: dt.datetime | None = None,
     incremental: bool = False,
+    layout: str = "array",
 ) -> list[dict]:
     """Run one tick and append its record to the run log; re-raise any failure.
 
@@ -67,7 +83,7 @@ def run_pipeline(
     try:
         if landed_path is not None:
             with rec.step("bronze"):
-                ingest(spark, cfg, landed_path, ingested_at or dt.datetime.now())
+                ingest(spark, cfg, landed_path, ingested_at or utc_now(), layout)
         with rec.step("silver"):
             if incremental:
                 from snapflow.streaming.incremental import start_incremental
@@ -84,7 +100,13 @@ def run_pipeline(
 
 
 def read_gold(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
-    return read_table(spark, cfg.gold_path(name))
+    """One mart, with its declared schema; read it in ``gold_plans.gold_order``."""
+    return read_table(spark, cfg.gold_path(name), GOLD_SCHEMAS[name])
+
+
+def read_gold_ordered(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
+    """One mart in its reading order."""
+    return read_gold(spark, cfg, name).orderBy(*gold_plans.gold_order(name))
 
 
 def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) -> dict[str, DataFrame]:
@@ -98,9 +120,10 @@ def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) ->
             as_of,
         ),
         "summary": insights.network_summary(silver, as_of),
-        "at_risk": insights.top_at_risk(read_gold(spark, cfg, "stations_at_risk"), cfg.top_at_risk),
-        "top_depletion": insights.top_depletion(silver, as_of, cfg.top_depletion),
-        "empty_duration": insights.top_empty(read_gold(spark, cfg, "stations_empty_duration"), cfg.top_empty),
+        "at_risk": insights.top_at_risk(read_gold(spark, cfg, "stations_at_risk"), cfg.top_at_risk, with_rank=True),
+        "districts": insights.ordered_districts(read_gold(spark, cfg, "district_stats")),
+        "top_depletion": insights.top_depletion(silver, as_of, cfg.top_depletion, with_rank=True),
+        "empty_duration": insights.top_empty(read_gold(spark, cfg, "stations_empty_duration"), cfg.top_empty, with_rank=True),
     }
 
 

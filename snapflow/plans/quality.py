@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from snapflow.config import DELTA_RANGE, RATE_RANGE
 from snapflow.operators.quality import Check, assert_passed, run_checks, violations
 
 SHOW = ("station_code", "station_name", "last_reported")
@@ -25,16 +27,17 @@ SILVER_CHECKS: tuple[Check, ...] = (
         "accepted_range",
         "depletion_rate_per_minute",
         severity="warn",
-        min_value=-50,
-        max_value=50,
+        min_value=RATE_RANGE[0],
+        max_value=RATE_RANGE[1],
     ),
-    Check("range__bikes_delta", "accepted_range", "bikes_delta", severity="warn", min_value=-100, max_value=100),
-    Check("bikes_not_negative", "expression", predicate="bikes_available < 0"),
-    Check("capacity_positive", "expression", predicate="capacity <= 0"),
+    Check("range__bikes_delta", "accepted_range", "bikes_delta", severity="warn", min_value=DELTA_RANGE[0], max_value=DELTA_RANGE[1]),
+    Check("bikes_not_negative", "expression", predicate=lambda: F.col("bikes_available") < 0),
+    Check("capacity_positive", "expression", predicate=lambda: F.col("capacity") <= 0),
     Check(
         "rate_within_capacity",
         "expression",
-        predicate="depletion_rate_per_minute IS NOT NULL AND ABS(depletion_rate_per_minute) > capacity",
+        # A station cannot gain or lose more than it holds in a minute; NULL rates pass.
+        predicate=lambda: F.abs("depletion_rate_per_minute") > F.col("capacity"),
     ),
 )
 

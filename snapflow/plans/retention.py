@@ -2,20 +2,22 @@
 
 Bronze expires by the ``date=`` of its partition folder (midnight of that
 day older than now - 7 days), silver and gold by file modification time
-(older than now - 30 days).  Paths without ``date=`` are never expired by the
+(older than now - 30 days).  Naive times are UTC everywhere.  Paths without ``date=`` are never expired by the
 partition rule.  ``dry_run`` is the default everywhere.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.config import PipelineConfig
+from snapflow.config import GOLD_TABLES, PipelineConfig
 from snapflow.functions.exprs import ntz_literal
 from snapflow.sources.lake import list_files, partition_date
+from snapflow.sources.tables import drop_partitions, exists, manifest, partitions
 
 
 def _naive(now: dt.datetime) -> dt.datetime:
@@ -47,35 +49,65 @@ def _delete(spark: SparkSession, paths, recursive: bool) -> None:
         hpath.getFileSystem(conf).delete(hpath, recursive)
 
 
-def apply_expiry(spark: SparkSession, plan: DataFrame, by_partition: bool, dry_run: bool = True) -> int:
-    """Delete what ``plan`` marks expired; return the number of expired files.
+def expired_folders(plan: DataFrame, root: str) -> DataFrame:
+    """``folder, n``: folders right under ``root`` in which every file is expired, with their number of files.
 
-    By partition, whole ``date=`` folders go (one call per day, not per
-    file).  Only paths — bounded by the number of days or files listed —
-    reach the driver, streamed partition by partition.
+    One row per day (or table version), whatever the number of files.
     """
-    expired = plan.where("expired")
-    n = expired.count()
+    name = F.regexp_extract("path", re.escape(_bare(root)) + r"/([^/]+)/", 1)
+    per = plan.where(name != "").groupBy(name.alias("folder")).agg(F.min("expired").alias("all"), F.count(F.lit(1)).alias("n"))
+    return per.where("all").select("folder", "n")
+
+
+def _bare(root: str) -> str:
+    """A path without scheme and host, as far as they can differ between listing and configuration."""
+    return "/" + re.sub(r"^[a-z0-9]+:/*", "", root.rstrip("/")).lstrip("/")
+
+
+def apply_expiry(spark: SparkSession, plan: DataFrame, root: str, dry_run: bool = True) -> int:
+    """Delete what ``plan`` marks expired under ``root``; return the number of expired files.
+
+    A folder whose files have all expired goes with one call; the folder names
+    are all that reaches the driver.  A published table drops the partition
+    from its manifest first.  Expired files in folders that also hold younger
+    ones (left-overs of a replaced version) are deleted one by one.
+    """
+    n = plan.where("expired").count()
     if dry_run or n == 0:
         return n
-    if by_partition:
-        folders = expired.select(F.regexp_extract("path", r"^(.*/date=\d{4}-\d{2}-\d{2})/", 1).alias("dir")).distinct()
-        _delete(spark, (r["dir"] for r in folders.toLocalIterator() if r["dir"]), True)
-    else:
-        _delete(spark, (r["path"] for r in expired.select("path").toLocalIterator()), False)
+    folders = {r["folder"] for r in expired_folders(plan, root).collect()}
+    inside = F.regexp_extract("path", re.escape(_bare(root)) + r"/([^/]+)/", 1)
+    rest = plan.where("expired").where(~inside.isin(list(folders)) if folders else F.lit(True))
+    # The listing is lazy, so it is read to the end before any folder goes.
+    _delete(spark, (r["path"] for r in rest.select("path").toLocalIterator()), False)
+    current = set(partitions(spark, root))
+    drop_partitions(spark, root, {f for f in folders if f in current})
+    _delete(spark, (f"{root.rstrip('/')}/{f}" for f in folders), True)
     return n
 
 
 def run_cleanup(spark: SparkSession, cfg: PipelineConfig, now: dt.datetime, dry_run: bool = True) -> DataFrame:
-    """Apply all three rules; return (layer, deleted) rows."""
+    """Apply all three rules; return (layer, deleted) rows.
+
+    A mart is one folder per version, so an expired mart loses its current
+    version and reads as empty until the next tick.
+    """
     bronze = plan_partition_expiry(list_files(spark, cfg.bronze_path), now, cfg.bronze_days)
     silver = plan_mtime_expiry(list_files(spark, cfg.silver_path), now, cfg.silver_days)
-    gold = plan_mtime_expiry(list_files(spark, cfg.gold_path("")), now, cfg.gold_days)
     counts = [
-        ("bronze", apply_expiry(spark, bronze, True, dry_run)),
-        ("silver", apply_expiry(spark, silver, False, dry_run)),
-        ("gold", apply_expiry(spark, gold, False, dry_run)),
+        ("bronze", apply_expiry(spark, bronze, cfg.bronze_path, dry_run)),
+        ("silver", apply_expiry(spark, silver, cfg.silver_path, dry_run)),
     ]
+    gold = 0
+    for name in GOLD_TABLES:
+        path = cfg.gold_path(name)
+        plan = plan_mtime_expiry(list_files(spark, path), now, cfg.gold_days)
+        if not dry_run and exists(spark, path) and partitions(spark, path):
+            version = manifest(spark, path)["parts"][""]
+            if any(r["folder"] == version for r in expired_folders(plan, path).collect()):
+                drop_partitions(spark, path, {""})
+        gold += apply_expiry(spark, plan, path, dry_run)
+    counts.append(("gold", gold))
     return spark.createDataFrame(counts, "layer string, deleted long")
 
 

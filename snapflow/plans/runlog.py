@@ -14,7 +14,7 @@ from snapflow.config import STEP_SUFFIX, PipelineConfig
 from snapflow.functions.exprs import duration_seconds
 from snapflow.schemas import RUN_LOG
 from snapflow.sources.lake import path_exists
-from snapflow.sources.sinks import publish, stage
+from snapflow.sources.sinks import remove, replace_folder, stage
 
 
 class RunRecorder:
@@ -76,8 +76,10 @@ def compact_run_log(spark: SparkSession, cfg: PipelineConfig, before: dt.date) -
     if not todo:
         return 0
     log = spark.read.schema(RUN_LOG_STORED).option("basePath", cfg.runlog_path).parquet(cfg.runlog_path)
-    staged = stage(log.where(F.col("day").isin(todo)).repartition("day"), cfg.staging_path, partition_by="day")
-    publish(spark, staged, cfg.runlog_path, partitioned=True)
+    staged = stage(log.where(F.col("day").isin(todo)), cfg.staging_path, partition_by="day")
+    for day in todo:
+        replace_folder(spark, f"{staged}/day={day.isoformat()}", f"{cfg.runlog_path}/day={day.isoformat()}")
+    remove(spark, staged)
     return len(todo)
 
 
@@ -183,3 +185,10 @@ def run_status(runs: DataFrame, steps: DataFrame, job: str) -> DataFrame:
         duration_seconds("start_time", "end_time").alias("duration_seconds"),
         assets.alias("assets"),
     )
+
+
+def run_status_text(status: DataFrame) -> DataFrame:
+    """``run_status`` with its map as text, ``asset=status/seconds`` in asset order."""
+    entry = lambda e: F.concat_ws("", e["key"], F.lit("="), e["value"]["status"], F.lit("/"), e["value"]["duration_seconds"].cast("string"))
+    entries = F.array_sort(F.transform(F.map_entries("assets"), entry))
+    return status.withColumn("assets", F.concat_ws(";", entries))

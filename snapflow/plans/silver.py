@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.config import PipelineConfig
 from snapflow.functions.exprs import yes_flag
 from snapflow.operators.lag import with_delta_rate
+from snapflow.operators.latest import latest_per_key
 from snapflow.schemas import SILVER_COLUMNS
 
 # Snapshot order per station.  ``ingested_at`` breaks ties between two polls
@@ -16,6 +17,21 @@ TIME_COL = "last_reported"
 TIEBREAK = ("ingested_at",)
 
 
+CLEANED_COLUMNS = SILVER_COLUMNS[:17]
+
+
+def position() -> Column:
+    """Sort position of a row under ``ORDER BY last_reported, ingested_at`` (NULLS LAST)."""
+    lr, ing = F.col(TIME_COL), F.col("ingested_at")
+    return F.struct(lr.isNull().alias("a"), lr.alias("b"), ing.isNull().alias("c"), ing.alias("d"))
+
+
+def newest_first() -> list[Column]:
+    """The reverse of ``position``, with the tie-break of ``enrich``."""
+    tie = F.xxhash64(*CLEANED_COLUMNS)
+    return [F.col(TIME_COL).desc_nulls_first(), F.col("ingested_at").desc_nulls_first(), tie.desc()]
+
+
 def clean(bronze: DataFrame) -> DataFrame:
     """Keep installed stations with a code, a name and capacity; rename and type."""
     kept = bronze.where(
@@ -47,7 +63,11 @@ def clean(bronze: DataFrame) -> DataFrame:
 
 
 def enrich(cleaned: DataFrame, cfg: PipelineConfig | None = None, extra: list[str] | None = None) -> DataFrame:
-    """LAG over *all* rows of a station (across days), then change per minute."""
+    """LAG over *all* rows of a station (across days), then change per minute.
+
+    Rows equal in every cleaned column are one row: a record delivered twice,
+    in one file or in two, counts once, in a rebuild and in a merge alike.
+    """
     rows_per_slice = cfg.rows_per_slice if cfg else None
     broadcast_max = cfg.broadcast_max_rows if cfg else 1_000_000
     out = with_delta_rate(
@@ -63,6 +83,8 @@ def enrich(cleaned: DataFrame, cfg: PipelineConfig | None = None, extra: list[st
         rate_digits=4,
         rows_per_slice=rows_per_slice,
         broadcast_max_rows=broadcast_max,
+        tie_cols=CLEANED_COLUMNS,
+        drop_repeats=True,
     )
     if out.columns == [*SILVER_COLUMNS, *(extra or [])]:
         return out
@@ -73,3 +95,20 @@ def build_silver(bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFr
     """Full silver from every bronze row.  Filter ``date`` only on the result:
     a day's first snapshot takes its predecessor from the day before."""
     return enrich(clean(bronze), cfg)
+
+
+def build_silver_after(history: DataFrame, bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
+    """Silver of the bronze rows when earlier bronze has expired.
+
+    ``history`` holds the kept silver rows of the expired days.  They only
+    serve as predecessors (four of their columns are read, and of each station
+    only rows that can matter); they are not part of the result.
+    """
+    new = clean(bronze)
+    low = new.groupBy(F.col("station_code").alias("__station")).agg(F.min(position()).alias("__low"))
+    kept = history.select(*CLEANED_COLUMNS).join(low, F.col("station_code") == F.col("__station"))
+    before = latest_per_key(kept.where(position() < F.col("__low")), ["station_code"], newest_first())
+    after = kept.where(position() >= F.col("__low"))
+    old = before.select(*CLEANED_COLUMNS).unionByName(after.select(*CLEANED_COLUMNS))
+    both = old.withColumn("__old", F.lit(True)).unionByName(new.withColumn("__old", F.lit(False)))
+    return enrich(both, cfg, extra=["__old"]).where(~F.col("__old")).drop("__old")

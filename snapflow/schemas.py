@@ -12,30 +12,10 @@ def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in pairs])
 
 
-# Columns of one landed snapshot record as delivered by the station feed.
-# ``coordonnees_geo`` arrives nested; it is flattened to two dotted names.
-LANDED_RECORD = _fields(
-    ("stationcode", S),
-    ("name", S),
-    ("nom_arrondissement_communes", S),
-    ("code_insee_commune", S),
-    ("numbikesavailable", L),
-    ("mechanical", L),
-    ("ebike", L),
-    ("numdocksavailable", L),
-    ("capacity", L),
-    ("is_installed", S),
-    ("is_renting", S),
-    ("is_returning", S),
-    # Kept as raw JSON text and decoded afterwards: an object gives lat/lon,
-    # anything else (NULL, text, number) gives NULL coordinates.
-    ("coordonnees_geo", S),
-    ("duedate", S),
-)
 COORDINATES = _fields(("lon", D), ("lat", D))
 
-# Bronze as stored (the ``date`` partition column is appended by the reader).
-BRONZE_FILE = _fields(
+# Bronze (``date`` is the partition column).  Landed keys beyond these are stored as text.
+BRONZE = _fields(
     ("stationcode", S),
     ("name", S),
     ("nom_arrondissement_communes", S),
@@ -52,8 +32,8 @@ BRONZE_FILE = _fields(
     ("coordonnees_geo.lon", D),
     ("duedate", S),
     ("ingested_at", TS),
+    ("date", T.DateType()),
 )
-BRONZE = T.StructType(BRONZE_FILE.fields + [T.StructField("date", T.DateType(), True)])
 
 SILVER = _fields(
     ("station_code", S),
@@ -114,6 +94,12 @@ DISTRICT_STATS = _fields(
     ("full_stations", L),
 )
 
+GOLD_SCHEMAS = {
+    "stations_at_risk": AT_RISK,
+    "stations_empty_duration": EMPTY_DURATION,
+    "district_stats": DISTRICT_STATS,
+}
+
 RUN_STEP = _fields(("step_key", S), ("status", S), ("start_time", D), ("end_time", D))
 RUN_LOG = _fields(
     ("run_id", S),

@@ -55,10 +55,8 @@ def apply_defaults(spark: SparkSession) -> None:
     for key, value in SESSION_DEFAULTS.items():
         if key == "spark.ui.enabled":
             continue
-        try:
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-        except Exception:  # static conf on a running session: leave as is
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -74,10 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            configured = None
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError(

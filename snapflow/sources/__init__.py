@@ -5,12 +5,14 @@ from snapflow.sources.lake import (
     path_exists,
     read_bronze,
     read_silver,
-    read_table,
 )
-from snapflow.sources.landing import normalize_records, read_landed_json, stamp_ingestion, to_bronze
-from snapflow.sources.sinks import append_snapshot, publish, stage, write_json
+from snapflow.sources.landing import LandingError, normalize_records, read_landed_json, stamp_ingestion, to_bronze
+from snapflow.sources.sinks import append_snapshot, stage, write_json
+from snapflow.sources.tables import PublishError, publish, read_table
 
 __all__ = [
+    "LandingError",
+    "PublishError",
     "append_snapshot",
     "list_files",
     "normalize_records",

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snapflow.schemas import BRONZE, SILVER
+from snapflow.schemas import BRONZE, FILE_LISTING, SILVER
+from snapflow.sources.tables import read_table
 
 
 def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool = False) -> dict[str, str]:
@@ -27,29 +32,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, extra: Sequence[str] = ()) -> DataFrame:
     """All bronze snapshots under ``root`` (``date=YYYY-MM-DD`` partitions).
 
     Reading the root and filtering ``date`` prunes partitions and works on an
-    empty day, where a path glob would fail.
+    empty day, where a path glob would fail.  ``extra`` names further columns
+    of the feed, kept as text; snapshots without them give NULL.
     """
+    schema = T.StructType([*BRONZE.fields, *[T.StructField(n, T.StringType(), True) for n in extra]])
     if not path_exists(spark, root):
-        return spark.createDataFrame([], BRONZE)
-    return spark.read.schema(BRONZE).option("basePath", root).parquet(root)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(root).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
 
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame:
+def bronze_dates(spark: SparkSession, root: str) -> list[dt.date]:
+    """The days that have a bronze folder (a listing of metadata)."""
     if not path_exists(spark, root):
-        return spark.createDataFrame([], SILVER)
-    # The partition column comes back last; restore the table's column order.
-    return spark.read.schema(SILVER).option("basePath", root).parquet(root).select(*SILVER.fieldNames())
+        return []
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(root)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+    return sorted(dt.date.fromisoformat(n[5:]) for n in names if n.startswith("date=") and n[5:6].isdigit())
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+def read_silver(spark: SparkSession, root: str) -> DataFrame:
+    """The published silver table, in the table's column order."""
+    return read_table(spark, root, SILVER)
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
@@ -58,7 +67,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     ``binaryFile`` with only these columns selected never opens the files.
     """
     if not path_exists(spark, root):
-        return spark.createDataFrame([], "path string, modificationTime timestamp, length long")
+        return spark.createDataFrame([], FILE_LISTING)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

@@ -1,39 +1,100 @@
-"""Landed snapshot JSON -> bronze rows."""
+"""Landed snapshot JSON -> bronze rows, without losing anything of the feed."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.flatten import flatten_structs, normalize_pair
-from snapflow.schemas import BRONZE, BRONZE_FILE, COORDINATES, LANDED_RECORD
+from snapflow.schemas import BRONZE, COORDINATES
 
 
-def read_landed_json(spark: SparkSession, path: str, schema: T.StructType = LANDED_RECORD) -> DataFrame:
-    """Read files that each hold one JSON array of records (or one record per line).
+class LandingError(ValueError):
+    """A landed file does not have the announced layout."""
 
-    An explicit schema: no inference pass, and a missing key is NULL instead
-    of a failed job.  A malformed file fails the read (FAILFAST), as a failed
-    fetch would.
+
+def _root_values() -> Callable[[Column], Column]:
+    """Number of JSON values at the top level of a text; -1 if it is not JSON."""
+
+    # Nested, so that it travels with the task and workers need no copy of the library.
+    @F.pandas_udf("int")
+    def count(texts: pd.Series) -> pd.Series:
+        decoder = json.JSONDecoder()
+
+        def one(text: str) -> int:
+            at, n = 0, 0
+            try:
+                while rest := text[at:].lstrip():
+                    at = decoder.raw_decode(text, len(text) - len(rest))[1]
+                    n += 1
+            except ValueError:
+                return -1
+            return n
+
+        return texts.map(one)
+
+    return count
+
+
+def read_landed_json(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+    """Records of landed files, every key of the feed a column.
+
+    ``layout="array"``: a file is one JSON value, an array of records or one
+    record; a file with several values (one record per line, say) raises
+    ``LandingError``, since only the first would be read.  ``layout="lines"``:
+    one record per line.  Values are read as text, so a key whose type changes
+    between snapshots keeps every value; objects stay nested.  A malformed
+    file fails the read.
     """
+    if layout not in ("array", "lines"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if layout == "array":
+        # A landed file is one poll of the feed, so it is small.
+        roots = _root_values()
+        wrong = spark.read.text(path, wholetext=True).select(roots(F.col("value")).alias("n")).where("n != 1").count()
+        if wrong:
+            raise LandingError(f"{wrong} file(s) at {path} do not hold exactly one JSON value; one record per line is layout='lines'")
     return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
+        spark.read.option("multiLine", layout == "array")
+        .option("primitivesAsString", True)
         .option("mode", "FAILFAST")
         .json(path)
     )
 
 
+def _pair(records: DataFrame, parent: str, children: tuple[str, ...]) -> DataFrame:
+    """Coordinates nested, flat, or some records one way and some the other."""
+    flat = [f"{parent}.{c}" for c in children]
+    given = {name: F.col(f"`{name}`") for name in flat if name in records.columns}
+    kept = records.withColumns({f"__{i}": c for i, c in enumerate(given.values())}).drop(*given)
+    kind = kept.schema[parent].dataType if parent in kept.columns else None
+    if isinstance(kind, T.StructType):  # other fields of the object stay, too
+        kept = kept.withColumns(
+            {f"{parent}.{f}": F.col(parent)[f] for f in kind.fieldNames() if f not in children and f"{parent}.{f}" not in kept.columns}
+        )
+    out = normalize_pair(kept, parent, children)
+    merged = {}
+    for name in flat:
+        nested = F.col(f"`{name}`")
+        here = [F.col(f"__{i}").cast("double") for i, g in enumerate(given) if g == name]
+        merged[name] = F.coalesce(nested, *here)
+    return out.withColumns(merged).drop(*[f"__{i}" for i in range(len(given))])
+
+
 def normalize_records(records: DataFrame) -> DataFrame:
     """Flatten nested objects to dotted names; coordinates nested or flat, never both."""
-    if "coordonnees_geo" in records.columns and isinstance(records.schema["coordonnees_geo"].dataType, T.StringType):
-        records = records.withColumn("coordonnees_geo", F.from_json("coordonnees_geo", COORDINATES))
-    flat = flatten_structs(records)
-    return normalize_pair(flat, "coordonnees_geo", ("lat", "lon"))
+    parent = "coordonnees_geo"
+    if parent in records.columns and isinstance(records.schema[parent].dataType, T.StringType):
+        # Not an object in every record: the text of an object still gives its fields.
+        records = records.withColumn(parent, F.from_json(parent, COORDINATES))
+    return flatten_structs(_pair(records, parent, ("lat", "lon")))
 
 
 def stamp_ingestion(records: DataFrame, ingested_at: dt.datetime) -> DataFrame:
@@ -43,16 +104,24 @@ def stamp_ingestion(records: DataFrame, ingested_at: dt.datetime) -> DataFrame:
     return records.withColumn("ingested_at", ts).withColumn("date", ts.cast("date"))
 
 
+def _text(c: Column, kind: T.DataType) -> Column:
+    return c if isinstance(kind, T.StringType) else F.to_json(c)
+
+
 def to_bronze(records: DataFrame, ingested_at: dt.datetime) -> DataFrame:
-    """Landed records -> bronze columns in storage order (missing columns as NULL)."""
+    """Landed records -> bronze columns in storage order, then every other key of the feed.
+
+    Missing bronze columns are NULL.  Other keys keep their flattened name and
+    are text (lists as JSON), so snapshots of different days stay readable
+    together whatever the feed adds.
+    """
     stamped = stamp_ingestion(normalize_records(records), ingested_at)
-    cols = []
-    for f in BRONZE.fields:
-        if f.name in stamped.columns:
-            cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return stamped.select(*cols)
+    declared = {f.name: f.dataType for f in BRONZE.fields}
+    cols = [
+        (F.col(f"`{n}`") if n in stamped.columns else F.lit(None)).cast(kind).alias(n) for n, kind in declared.items()
+    ]
+    others = [f for f in stamped.schema.fields if f.name not in declared]
+    return stamped.select(*cols, *[_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in others])
 
 
-__all__ = ["BRONZE_FILE", "normalize_records", "read_landed_json", "stamp_ingestion", "to_bronze"]
+__all__ = ["LandingError", "normalize_records", "read_landed_json", "stamp_ingestion", "to_bronze"]

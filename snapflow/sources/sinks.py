@@ -1,11 +1,14 @@
-"""Writers: snapshot append, staged publish of whole tables, JSON output."""
+"""Writers: snapshot append, staging of whole tables, JSON output (publishing: ``tables``)."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapflow.sources.tables import rename
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -47,54 +50,29 @@ def append_snapshot(
             while fs.exists(target):  # two polls in the same second: keep both
                 target = jvm.org.apache.hadoop.fs.Path(target_dir, f"{file_stem}-{k}-{n}.parquet")
                 n += 1
-            fs.rename(f.getPath(), target)
+            rename(spark, fs, f.getPath(), target)
             placed.append(target.toString())
     fs.delete(src, True)
     return placed
 
 
-def stage(df: DataFrame, staging_root: str, partition_by: str | None = None) -> str:
-    """Write ``df`` to a fresh staging folder and return it (lineage ends there)."""
+def stage(df: DataFrame, staging_root: str, partition_by: str | None = None, sort_by: Sequence[str] = ()) -> str:
+    """Write ``df`` to a fresh staging folder and return it (lineage ends there).
+
+    Partitioned output is rebalanced by the partition column first, so a
+    partition gets files of the advisory size instead of one per shuffle task,
+    and a large one is still split.  ``sort_by`` orders the rows inside the
+    files (row-group statistics then prune by those columns).
+    """
     path = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        df = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
+        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.hint("rebalance").write.mode("overwrite").parquet(path)
     return path
 
 
-def publish(spark: SparkSession, staged: str, target: str, partitioned: bool = False) -> None:
-    """Move a staged table into place.
-
-    Unpartitioned: the target folder is replaced.  Partitioned: only the
-    partition folders present in the staged output replace their namesakes;
-    other partitions stay.  Renames are metadata operations on HDFS-like
-    stores (atomic per folder); on object stores they are copies.
-    """
-    fs, src = _fs(spark, staged)
-    _, dst = _fs(spark, target)
-    jvm = spark.sparkContext._jvm
-    if not partitioned:
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        parent = dst.getParent()
-        if parent is not None and not fs.exists(parent):
-            fs.mkdirs(parent)
-        fs.rename(src, dst)
-        return
-    if not fs.exists(dst):
-        fs.mkdirs(dst)
-    for status in fs.listStatus(src):
-        name = status.getPath().getName()
-        if not status.isDirectory() or "=" not in name:
-            continue
-        out = jvm.org.apache.hadoop.fs.Path(dst, name)
-        if fs.exists(out):
-            fs.delete(out, True)
-        fs.rename(status.getPath(), out)
-    fs.delete(src, True)
-
-
 def staged_dates(spark: SparkSession, staged: str) -> list:
     """The ``date=`` partition values present in a staged folder (a listing, no job)."""
     import datetime as dt
@@ -121,3 +99,21 @@ def remove(spark: SparkSession, path: str) -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """Write a (small) result as JSON lines, replacing the folder."""
     df.write.mode("overwrite").json(path)
+
+
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a staged folder in the place of another by two checked renames.
+
+    The old folder is set aside, not deleted, until the new one stands; if the
+    second rename fails the first is undone.
+    """
+    fs, src = _fs(spark, staged)
+    _, dst = _fs(spark, target)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst.getParent(), f"_old-{uuid.uuid4().hex}")
+    rename(spark, fs, dst, aside)
+    try:
+        rename(spark, fs, src, dst)
+    except BaseException:
+        rename(spark, fs, aside, dst)
+        raise
+    fs.delete(aside, True)

@@ -3,24 +3,26 @@
 A file-source stream over bronze (``trigger(availableNow=True)``) hands each
 micro-batch of new files to ``merge_batch``:
 
-1. clean the new rows (same filter and projection as the batch build);
-2. per touched station take ``low`` = its earliest new position
-   (``last_reported``, ``ingested_at``, NULLs last);
-3. from stored silver take that station's rows at or after ``low`` plus the
-   single row just before it (the predecessor that seeds LAG).  The read is
-   bounded by report time (pushed down to Parquet row-group statistics):
-   ``low - lookback`` onwards, and the full history only for stations with
-   no row in that window (new or long-silent stations);
-4. recompute LAG over predecessor + tail + new rows, drop the predecessor;
-5. rewrite only the ``date`` partitions holding recomputed rows: other rows
-   of those partitions are copied through, and the result is staged, passed
-   through the silver data tests (the gate), then published partition by
-   partition.
-
-Late rows (an older report time in a newer file) lower ``low``, so their
-successors are recomputed too.  Re-delivered rows are de-duplicated on
-(station_code, last_reported, ingested_at), which makes a replayed batch a
-no-op.  Cost per batch is the new rows plus the touched partitions.
+1. the new rows are cleaned (same filter and projection as the batch build)
+   and staged once;
+2. per touched station ``low`` is its earliest new position (``last_reported``,
+   ``ingested_at``, NULLs last);
+3. from stored silver come the station's rows from ``low`` on and the single
+   row before it (the predecessor that seeds LAG).  For stations whose ``low``
+   is near the newest one the read is bounded by report time, a literal that
+   reaches the Parquet reader.  Stations far behind (a stuck clock, a late
+   file, new or long silent) do not widen that bound: their rows are read by
+   station, which the reader prunes too, since silver files are sorted by it;
+4. LAG is recomputed over these few rows.  A stored row changes only if a new
+   row came in right before it, so the rows to write are the new ones and
+   those stored rows whose derived values differ;
+5. only the ``date`` partitions of the rows to write are rewritten: their other
+   rows are copied through, the result is staged, passed through the silver
+   data tests (the gate), then published.
+
+A row that is stored already, equal in every cleaned column, is not added
+again: a replayed batch or file is a no-op.  The full rebuild applies the same
+rule (``plans.silver.enrich``).
 """
 
 from __future__ import annotations
@@ -29,36 +31,35 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapflow.config import PipelineConfig
 from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.latest import latest_per_key
 from snapflow.plans.quality import gate_silver
-from snapflow.plans.silver import clean, enrich
+from snapflow.plans.silver import CLEANED_COLUMNS, clean, enrich, newest_first, position
 from snapflow.schemas import BRONZE, SILVER, SILVER_COLUMNS
 from snapflow.session import scratch_path
-from snapflow.sources.lake import path_exists, read_silver
-from snapflow.sources.sinks import publish, remove, stage, staged_dates
+from snapflow.sources.lake import read_silver
+from snapflow.sources.sinks import remove, stage
+from snapflow.sources.tables import exists, publish
 
-ROW_ID = ["station_code", "last_reported", "ingested_at"]
-# How far before a batch's earliest report time the predecessor is first looked for.
+# Stations whose earliest new report lies further back than this behind the
+# newest one are read by station; the others by time, this far back.
 LOOKBACK = dt.timedelta(days=1)
-CLEANED_COLUMNS = SILVER_COLUMNS[:17]
+# So many station codes at most become a pushed-down list; more are joined.
+LISTED_STATIONS = 1000
+DERIVED = SILVER_COLUMNS[len(CLEANED_COLUMNS) :]
+CLEANED = T.StructType([SILVER[c] for c in CLEANED_COLUMNS])
+SEED, STORED, NEW = 0, 1, 2
 
 
-def _position(prefix: str = "") -> Column:
-    """Sort position of a row under ``ORDER BY last_reported, ingested_at`` (NULLS LAST)."""
-    lr, ing = F.col(prefix + "last_reported"), F.col(prefix + "ingested_at")
-    return F.struct(lr.isNull().alias("a"), lr.alias("b"), ing.isNull().alias("c"), ing.alias("d"))
+def _row_id() -> Column:
+    return F.xxhash64(*CLEANED_COLUMNS)
 
 
-def _same_row() -> Column:
-    """Row identity against the ``__r_``-prefixed copy (NULL-safe on the times)."""
-    return (
-        (F.col("station_code") == F.col("__r_station_code"))
-        & F.col("last_reported").eqNullSafe(F.col("__r_last_reported"))
-        & F.col("ingested_at").eqNullSafe(F.col("__r_ingested_at"))
-    )
+def _stage_silver(cfg: PipelineConfig, silver: DataFrame) -> str:
+    return stage(silver.select(*SILVER_COLUMNS), cfg.staging_path, partition_by="date", sort_by=["station_code"])
 
 
 def _publish_tested(spark: SparkSession, cfg: PipelineConfig, staged: str, gate: bool) -> None:
@@ -72,68 +73,88 @@ def _publish_tested(spark: SparkSession, cfg: PipelineConfig, staged: str, gate:
     publish(spark, staged, cfg.silver_path, partitioned=True)
 
 
+def _around(existing: DataFrame, low: DataFrame) -> DataFrame:
+    """Stored rows from each station's ``low`` on, and the one before it, marked in ``__src``."""
+    rows = existing.join(low, "station_code")
+    before = latest_per_key(rows.where(position() < F.col("__low")), ["station_code"], newest_first())
+    after = rows.where(position() >= F.col("__low"))
+    columns = [*SILVER_COLUMNS]
+    return before.select(*columns, F.lit(SEED).alias("__src")).unionByName(after.select(*columns, F.lit(STORED).alias("__src")))
+
+
+def neighbours(spark: SparkSession, cfg: PipelineConfig, new: DataFrame, lookback: dt.timedelta) -> tuple[DataFrame, list[str]]:
+    """The stored rows that matter for a batch (see module doc, 3), and the staging folders they lie in."""
+    existing, lr = read_silver(spark, cfg.silver_path), F.col("last_reported")
+    low = new.groupBy("station_code").agg(F.min(position()).alias("__low"))
+    newest = low.agg(F.max(F.col("__low")["b"])).first()[0]
+    at = F.col("__low")["b"]
+    folders = []
+    near = None
+    far_low = low
+    if newest is not None:
+        current = at >= ntz_literal(newest - lookback)
+        bounded = existing.where((lr >= ntz_literal(newest - 2 * lookback)) | lr.isNull())
+        folders.append(stage(_around(bounded, low.where(current)), cfg.staging_path))
+        near = spark.read.parquet(folders[-1])
+        # No predecessor in the window: it is older, or there is none.
+        found = near.where(F.col("__src") == SEED).select("station_code")
+        far_low = low.join(found, "station_code", "left_anti")
+    listed = [r[0] for r in far_low.select("station_code").limit(LISTED_STATIONS + 1).collect()]
+    if not listed:
+        return near, folders
+    by_station = existing.where(F.col("station_code").isin(listed)) if len(listed) <= LISTED_STATIONS else existing
+    folders.append(stage(_around(by_station, far_low), cfg.staging_path))
+    far = spark.read.parquet(folders[-1])
+    if near is None:
+        return far, folders
+    return near.join(far_low.select("station_code"), "station_code", "left_anti").unionByName(far), folders
+
+
 def merge_batch(
     spark: SparkSession,
     cfg: PipelineConfig,
     new_bronze: DataFrame,
     lookback: dt.timedelta = LOOKBACK,
     gate: bool = True,
-) -> None:
-    """Merge one batch of bronze rows into stored silver (see module doc)."""
-    new = clean(new_bronze).dropDuplicates(ROW_ID)
-    if not path_exists(spark, cfg.silver_path):
-        _publish_tested(spark, cfg, stage(enrich(new, cfg), cfg.staging_path, partition_by="date"), gate)
-        return
-
-    existing = read_silver(spark, cfg.silver_path)
-    # One row per touched station: bounded by the stations present in the batch.
-    low = new.groupBy("station_code").agg(F.min(_position()).alias("__low"))
-    lr = F.col("last_reported")
-    # The bound is a literal so it reaches the Parquet reader (PushedFilters):
-    # row groups whose newest report time is older are skipped.
-    earliest = low.agg(F.min(F.col("__low")["b"])).first()[0]
-    floor_ts = ntz_literal(earliest - lookback) if earliest is not None else F.lit(None).cast("timestamp_ntz")
-    window = (lr >= floor_ts) | lr.isNull()  # all-NULL batch: NULL bound, only NULL-time tails
-    # The bounded silver read happens once per batch: staged, then reused by the
-    # seed, the tail, the fallback test and the window below.
-    tpath = stage(existing.where(window).join(low, "station_code"), cfg.staging_path)
-    touched = spark.read.parquet(tpath)
-    pos = _position()
-    tail = touched.where(pos >= F.col("__low")).select(*CLEANED_COLUMNS)
-    order = [F.col("last_reported").desc_nulls_first(), F.col("ingested_at").desc_nulls_first()]
-    seed = latest_per_key(touched.where(pos < F.col("__low")), ["station_code"], order).select(*CLEANED_COLUMNS)
-
-    # Stations with no row inside the look-back window: their predecessor, if any,
-    # is older.  Search the full history for those stations only (new or long-silent).
-    missing = low.join(seed.select("station_code"), "station_code", "left_anti")
-    if missing.limit(1).count() > 0:
-        older = existing.where(lr < floor_ts).join(missing, "station_code", "left_semi")
-        seed = seed.unionByName(latest_per_key(older, ["station_code"], order).select(*CLEANED_COLUMNS))
-
-    window_input = seed.withColumn("__seed", F.lit(True)).unionByName(
-        tail.unionByName(new.select(*CLEANED_COLUMNS)).dropDuplicates(ROW_ID).withColumn("__seed", F.lit(False))
+) -> list[dt.date | None]:
+    """Merge one batch of bronze rows into stored silver (see module doc).
+
+    Returns the ``date`` partitions that were rewritten.
+    """
+    npath = stage(clean(new_bronze), cfg.staging_path)
+    new = spark.read.schema(CLEANED).parquet(npath)
+    folders = [npath]
+    if not exists(spark, cfg.silver_path):
+        dates = [r[0] for r in new.select("date").distinct().collect()]
+        _publish_tested(spark, cfg, _stage_silver(cfg, enrich(new, cfg)), gate)
+        remove(spark, npath)
+        return dates
+    old, more = neighbours(spark, cfg, new, lookback)
+    folders += more
+    added = new.join(old.where(F.col("__src") == STORED).select(_row_id().alias("__id")), _row_id() == F.col("__id"), "left_anti")
+    kept_values = F.struct(*DERIVED)
+    rows = old.select(*CLEANED_COLUMNS, "__src", kept_values.alias("__was")).unionByName(
+        added.withColumns({"__src": F.lit(NEW), "__was": F.lit(None).cast(old.select(kept_values.alias("x")).schema["x"].dataType)})
     )
-    recomputed = enrich(window_input, cfg, extra=["__seed"]).where(~F.col("__seed")).drop("__seed")
-    # Written once to staging (lineage ends there; it is read twice below).  Its
-    # date folders name the partitions to rewrite, without another job.
-    rpath = stage(recomputed, cfg.staging_path, partition_by="date")
-    dates = staged_dates(spark, rpath)
-    recomputed = spark.read.schema(SILVER).option("basePath", rpath).parquet(rpath)
-
-    # Only the partitions holding recomputed rows are rewritten (a handful of dates).
-    in_dates = existing.where(F.col("date").isin([d for d in dates if d is not None]))
-    if None in dates:
-        in_dates = existing.where(F.col("date").isin([d for d in dates if d is not None]) | F.col("date").isNull())
-    rid = recomputed.select(*[F.col(c).alias("__r_" + c) for c in ROW_ID])
-    kept = in_dates.join(rid, _same_row(), "left_anti")
-    merged = kept.select(*SILVER_COLUMNS).unionByName(recomputed.select(*SILVER_COLUMNS))
-    _publish_tested(spark, cfg, stage(merged, cfg.staging_path, partition_by="date"), gate)
-    remove(spark, rpath)
-    remove(spark, tpath)
+    changed = (F.col("__src") == NEW) | ((F.col("__src") == STORED) & ~F.struct(*DERIVED).eqNullSafe(F.col("__was")))
+    out = enrich(rows, cfg, extra=["__src", "__was"]).where(changed)
+    # Written once to staging (lineage ends there; it is read three times below).
+    folders.append(stage(out, cfg.staging_path))
+    out = spark.read.parquet(folders[-1])
+    dates = [r[0] for r in out.select("date").distinct().collect()]  # a handful
+    if dates:
+        days = F.col("date").isin([d for d in dates if d is not None])
+        touched = read_silver(spark, cfg.silver_path).where(days | F.col("date").isNull() if None in dates else days)
+        replaced = out.where(F.col("__src") == STORED).select(_row_id().alias("__id"))
+        kept = touched.join(replaced, _row_id() == F.col("__id"), "left_anti")
+        _publish_tested(spark, cfg, _stage_silver(cfg, kept.unionByName(out.select(*SILVER_COLUMNS))), gate)
+    for folder in folders:
+        remove(spark, folder)
+    return dates
 
 
 # One day of 10-minute polls: a backlog after an outage is merged a day at a
-# time instead of in one unbounded micro-batch.
+# time instead of in one unbounded micro-batch; ``availableNow`` drains it all.
 FILES_PER_TRIGGER = 144
 
 
@@ -160,14 +181,17 @@ def start_incremental(
 
 
 def replay_incrementally(spark: SparkSession, bronze: DataFrame, files_per_trigger: int = 8) -> DataFrame:
-    """Land ``bronze`` as one file per date under a fresh folder of the shared
-    checkpoint area, build silver incrementally from it, return that silver."""
+    """Land ``bronze`` as files per date under a fresh folder of the shared
+    checkpoint area, build silver incrementally from it, return that silver.
+
+    The folder is scratch: the result is read from it, so it goes with the
+    checkpoint area, not here.
+    """
     cfg = PipelineConfig(root=scratch_path(spark, "incremental"))
-    bronze.select(*[F.col(f"`{f.name}`") for f in BRONZE.fields]).repartition("date").write.partitionBy("date").parquet(
-        cfg.bronze_path
-    )
+    landed = bronze.select(*[F.col(f"`{f.name}`") for f in BRONZE.fields]).hint("rebalance", "date")
+    landed.write.partitionBy("date").parquet(cfg.bronze_path)
     start_incremental(spark, cfg, files_per_trigger)
     return read_silver(spark, cfg.silver_path)
 
 
-__all__ = ["merge_batch", "replay_incrementally", "start_incremental", "SILVER"]
+__all__ = ["merge_batch", "neighbours", "replay_incrementally", "start_incremental"]

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapflow.operators.lag import hot_keys, with_lag
+from snapflow.operators.lag import hot_keys, sliced, with_lag
 
 SCHEMA = "k string, t timestamp_ntz, tb long, v long"
 
@@ -58,7 +58,7 @@ def test_lag_matches_brute_force(spark, seed, rows_per_slice):
 def test_hot_keys_bounded(spark):
     rows = make_rows(9, 900)
     df = spark.createDataFrame(rows, SCHEMA)
-    hot = hot_keys(df, ["k"], "t", 100).collect()
+    hot = hot_keys(df, ["k"], 100).collect()
     # only the key with a third of the rows exceeds 100 rows
     assert [r["__k"]["k"] for r in hot] == ["hot"]
 
@@ -75,3 +75,29 @@ def test_hot_key_spread_over_tasks(spark):
     out = with_lag(df, ["k"], ["t", "tb"], ["v"], rows_per_slice=30)
     parts = out.where(F.col("k") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_slices_stay_even_on_uneven_times(spark):
+    """One outlier time, many equal times and many NULL times: no slice above twice the aim."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(seconds=i), i, i) for i in range(6000)]
+    rows += [("hot", dt.datetime(2014, 1, 1), 6000, 0)]
+    rows += [("hot", base, 7000 + i, i) for i in range(3000)] + [("hot", None, 10_000 + i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    parts = sliced(df, ["k"], ["t", "tb"], len(rows), 1000)
+    assert max(r["count"] for r in parts.groupBy("__s").count().collect()) <= 2000
+    got = with_lag(df, ["k"], ["t", "tb"], ["v", "t"], rows_per_slice=1000)
+    assert {(r.k, r.tb): (r.prev_v, r.prev_t) for r in got.collect()} == brute_lag(rows)
+
+
+def test_full_ties_are_ordered_alike_in_both_forms(spark):
+    rows = [("hot", dt.datetime(2024, 1, 1), 1, i % 7) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    forms = [with_lag(df, ["k"], ["t", "tb"], ["v"], rows_per_slice=n) for n in (None, 20)]
+    a, b = ([tuple(r) for r in f.collect()] for f in forms)
+    assert sorted(a, key=repr) == sorted(b, key=repr)
+
+
+def test_no_cached_tables_stay_behind(spark):
+    with_lag(spark.createDataFrame(make_rows(5), SCHEMA), ["k"], ["t", "tb"], ["v"], rows_per_slice=20).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

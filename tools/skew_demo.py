@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import functions as F  # noqa: E402
 
 from snapflow.config import PipelineConfig  # noqa: E402
-from snapflow.operators.lag import hot_keys  # noqa: E402
+from snapflow.operators.lag import hot_keys, sliced  # noqa: E402
 from snapflow.plans.feeds import events_as_bronze  # noqa: E402
 from snapflow.plans.silver import build_silver, clean  # noqa: E402
 from snapflow.session import build_session  # noqa: E402
@@ -45,22 +45,11 @@ def main() -> None:
     sliced_rows = sorted(map(tuple, sliced.collect()), key=repr)
     t2 = time.perf_counter()
 
-    hk = hot_keys(cleaned, ["station_code"], "last_reported", rows_per_slice).collect()
-    width = {r["__k"]["station_code"]: (r["__lo"], r["__w"]) for r in hk}
-    from snapflow.functions.exprs import epoch_micros
-
-    lo, w = width.get(hot["station_code"], (None, None))
-    if w is not None:
-        per_slice = (
-            cleaned.where(F.col("station_code") == hot["station_code"])
-            .select(F.floor((epoch_micros("last_reported") - F.lit(lo)) / F.lit(w)).alias("s"))
-            .groupBy("s")
-            .count()
-        )
-        largest_sliced = per_slice.agg(F.max("count")).first()[0]
-        n_slices = per_slice.count()
-    else:
-        largest_sliced, n_slices = hot["count"], 1
+    hk = hot_keys(cleaned, ["station_code"], rows_per_slice).collect()
+    hot_rows = cleaned.where(F.col("station_code") == hot["station_code"])
+    parts = sliced(hot_rows, ["station_code"], ["last_reported", "ingested_at"], hot["count"], rows_per_slice)
+    per_slice = [r["count"] for r in parts.groupBy("__s").count().collect()]
+    largest_sliced, n_slices = max(per_slice), len(per_slice)
     print(f"rows={total} hot_station={hot['station_code']} hot_rows={hot['count']} ({hot['count'] / total:.0%})")
     print(f"plain window : largest group = {hot['count']} rows in one task, {t1 - t0:.1f}s")
     print(
