@@ -1,7 +1,9 @@
 """Incremental silver equals the full rebuild, whatever order the files arrive in."""
 
+import datetime as dt
 import os
 import random
+import shutil
 import time
 
 import pytest
@@ -9,10 +11,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapflow.config import PipelineConfig
-from snapflow.plans.silver import build_silver
+from snapflow.plans import gold
+from snapflow.plans.pipeline import read_gold, read_gold_ordered, refresh_gold, refresh_silver
+from snapflow.plans.silver import build_silver, clean
 from snapflow.schemas import BRONZE
 from snapflow.sources.lake import read_silver
-from snapflow.streaming.incremental import merge_batch, start_incremental
+from snapflow.sources.sinks import append_snapshot
+from snapflow.streaming.incremental import merge_batch, neighbours, start_incremental
+
+D, H, DAY = dt.datetime, dt.timedelta(hours=1), dt.timedelta(days=1)
 
 
 def rows_of(df):
@@ -88,3 +95,88 @@ def test_random_splits_equal_rebuild(spark, golden_bronze, tmp_root, seed):
     for chunk in chunks:
         merge_batch(spark, cfg, spark.createDataFrame(chunk, BRONZE))
     assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(golden_bronze))
+
+
+def station(code, due, bikes, ingested, name=None):
+    text = due.strftime("%Y-%m-%dT%H:%M:%S") if due else None
+    return (code, name or code, "Paris", "75056", bikes, bikes, 0, 20 - bikes, 20, "OUI", "OUI", "OUI", 1.0, 2.0, text, ingested, ingested.date())
+
+
+def test_repeated_records_count_once_in_both_paths(spark, tmp_root):
+    """Equal records are one row; records that differ in anything stay, ties included."""
+    t = D(2024, 5, 2, 8)
+    rows = [station("A", t, 5, t), station("A", t, 5, t), station("A", t, 9, t), station("A", t + H, 7, t + H)]
+    full = build_silver(spark.createDataFrame(rows, BRONZE))
+    assert full.count() == 3
+    cfg = PipelineConfig(root=tmp_root)
+    for chunk in (rows[:1], rows[1:3], rows[2:]):
+        merge_batch(spark, cfg, spark.createDataFrame(chunk, BRONZE))
+    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(full)
+
+
+def test_late_row_rewrites_two_days_at_most(spark, tmp_root):
+    start = D(2024, 5, 1, 12)
+    rows = [station(c, start + k * DAY, 10 - k % 3, start + k * DAY) for k in range(20) for c in ("A", "B")]
+    cfg = PipelineConfig(root=tmp_root)
+    merge_batch(spark, cfg, spark.createDataFrame(rows, BRONZE))
+    late = station("A", start + H, 3, start + 20 * DAY)  # reported on day 1, delivered on day 21
+    dates = merge_batch(spark, cfg, spark.createDataFrame([late], BRONZE))
+    assert len(dates) <= 2
+    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame([*rows, late], BRONZE)))
+
+
+def test_stuck_clock_does_not_widen_the_read(spark, tmp_root):
+    start, old = D(2024, 5, 1, 12), D(2018, 1, 1)
+    codes = [f"s{i}" for i in range(8)]
+    rows = [station(c, start + k * DAY, 9, start + k * DAY) for k in range(20) for c in codes]
+    rows += [station("stuck", old, 4 + k % 2, start + k * DAY) for k in range(20)]
+    cfg = PipelineConfig(root=tmp_root)
+    merge_batch(spark, cfg, spark.createDataFrame(rows, BRONZE))
+    now = start + 20 * DAY
+    batch = [station(c, now, 8, now) for c in codes] + [station("stuck", old, 6, now)]
+    new = clean(spark.createDataFrame(batch, BRONZE))
+    held, _ = neighbours(spark, cfg, new, dt.timedelta(days=1))
+    assert held.count() == len(codes) + 1  # one predecessor each
+    merge_batch(spark, cfg, spark.createDataFrame(batch, BRONZE))
+    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame(rows + batch, BRONZE)))
+
+
+def test_backlog_is_drained_in_capped_batches(spark, golden_bronze, tmp_root):
+    rows = [tuple(r) for r in golden_bronze.collect()]
+    cfg = PipelineConfig(root=tmp_root)
+    land_files(spark, golden_bronze, cfg, [rows[i::5] for i in range(5)])
+    query = start_incremental(spark, cfg, files_per_trigger=2)
+    files = sum(len([x for x in f if x.endswith(".parquet")]) for _, _, f in os.walk(cfg.bronze_path))
+    batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(set(batches)) >= files // 2
+    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(golden_bronze))
+
+
+def test_expired_bronze_leaves_silver_unchanged(spark, tmp_root):
+    """Three days stored, two expired, rebuilt: every kept value is as before."""
+    start = D(2024, 5, 1, 12)
+    rows = [station(c, start + k * DAY, 11 - 3 * k, start + k * DAY) for k in range(3) for c in ("A", "B")]
+    rows.append(station("A", start + 2 * DAY, 1, start + 2 * DAY + H))  # a tie in the report time
+    cfg = PipelineConfig(root=tmp_root)
+    append_snapshot(spark.createDataFrame(rows, BRONZE), cfg.bronze_path)
+    refresh_silver(spark, cfg)
+    before = rows_of(read_silver(spark, cfg.silver_path))
+    for day in ("2024-05-01", "2024-05-02"):
+        shutil.rmtree(os.path.join(cfg.bronze_path, f"date={day}"))
+    refresh_silver(spark, cfg)
+    assert rows_of(read_silver(spark, cfg.silver_path)) == before
+
+
+def test_thresholds_of_the_configuration_reach_gold(spark, golden_bronze, tmp_root):
+    for minutes, empty in ((1e6, 10**6), (0, 0)):
+        cfg = PipelineConfig(root=os.path.join(tmp_root, str(empty)), risk_minutes=minutes, empty_minutes=empty)
+        append_snapshot(golden_bronze, cfg.bronze_path)
+        refresh_silver(spark, cfg)
+        refresh_gold(spark, cfg, dt.date(2024, 5, 2))
+        silver = read_silver(spark, cfg.silver_path)
+        for name, want in (
+            ("stations_at_risk", gold.stations_at_risk(silver, dt.date(2024, 5, 2), minutes)),
+            ("stations_empty_duration", gold.stations_empty_duration(silver, dt.date(2024, 5, 2), empty)),
+        ):
+            assert rows_of(read_gold(spark, cfg, name)) == rows_of(want)
+    assert read_gold_ordered(spark, cfg, "district_stats").first()["arrondissement"] == "Issy"

@@ -1,4 +1,4 @@
-"""Landed JSON -> bronze: nested or flat coordinates, NULL objects, bad input."""
+"""Landed JSON -> bronze: every key kept, coordinates in any form, both file layouts, bad input."""
 
 import datetime as dt
 import json
@@ -8,36 +8,97 @@ import pytest
 from pyspark.sql import types as T
 
 from snapflow.operators.flatten import flatten_structs, normalize_pair
-from snapflow.sources.landing import read_landed_json, to_bronze
+from snapflow.schemas import BRONZE
+from snapflow.sources.lake import read_bronze
+from snapflow.sources.landing import LandingError, read_landed_json, to_bronze
+from snapflow.sources.sinks import append_snapshot
 
-TS = dt.datetime(2024, 5, 2, 8, 15, 3)
+TS = dt.datetime(2023, 11, 9, 17, 42, 30)
+POINT = {"lat": 50.25, "lon": -3.5}
+NESTED = {"stationcode": "n1", "capacity": 12, "coordonnees_geo": POINT}
+FLAT = {"stationcode": "f1", "capacity": 12, "coordonnees_geo.lat": 50.25, "coordonnees_geo.lon": -3.5}
 
 
-def write(tmp_root, name, payload):
-    path = os.path.join(tmp_root, name)
+def land(tmp_root, payload):
+    path = os.path.join(tmp_root, f"feed-{len(os.listdir(tmp_root))}.json")
     with open(path, "w") as f:
         f.write(payload if isinstance(payload, str) else json.dumps(payload))
     return path
 
 
-def test_nested_coordinates_become_flat(spark, tmp_root):
-    recs = [
-        {"stationcode": "abc", "coordonnees_geo": {"lat": 48.8566, "lon": 2.3522}},
-        {"stationcode": "def", "coordonnees_geo": {"lat": 48.8600, "lon": 2.3400}},
-    ]
-    df = to_bronze(read_landed_json(spark, write(tmp_root, "a.json", recs)), TS)
-    assert "coordonnees_geo.lat" in df.columns and "coordonnees_geo.lon" in df.columns
-    assert "coordonnees_geo" not in df.columns
-    got = {(r["stationcode"], r["coordonnees_geo.lat"], r["coordonnees_geo.lon"]) for r in df.collect()}
-    assert got == {("abc", 48.8566, 2.3522), ("def", 48.86, 2.34)}
-    (r,) = df.select("ingested_at", "date").distinct().collect()
-    assert r.ingested_at == TS and r.date == TS.date()
+def bronze(spark, tmp_root, payload, layout="array"):
+    return to_bronze(read_landed_json(spark, land(tmp_root, payload), layout), TS)
 
 
-def test_null_or_non_object_coordinates(spark, tmp_root):
-    recs = '[{"stationcode": "a", "coordonnees_geo": null}, {"stationcode": "b", "coordonnees_geo": "n/a"}]'
-    df = to_bronze(read_landed_json(spark, write(tmp_root, "b.json", recs)), TS)
-    assert {(r["coordonnees_geo.lat"], r["coordonnees_geo.lon"]) for r in df.collect()} == {(None, None)}
+def places(df):
+    return {r["stationcode"]: (r["coordonnees_geo.lat"], r["coordonnees_geo.lon"]) for r in df.collect()}
+
+
+def test_nested_and_flat_coordinates_give_equal_rows(spark, tmp_root):
+    nested = bronze(spark, tmp_root, [NESTED]).drop("stationcode")
+    flat = bronze(spark, tmp_root, [FLAT]).drop("stationcode")
+    assert nested.columns == flat.columns and nested.collect() == flat.collect()
+    assert "coordonnees_geo" not in nested.columns
+
+
+def test_both_forms_in_one_file(spark, tmp_root):
+    got = places(bronze(spark, tmp_root, [NESTED, FLAT, {"stationcode": "none"}]))
+    assert got == {"n1": (50.25, -3.5), "f1": (50.25, -3.5), "none": (None, None)}
+
+
+def test_objects_next_to_other_values(spark, tmp_root):
+    rows = [NESTED, {"stationcode": "t", "coordonnees_geo": "unknown"}, {"stationcode": "z", "coordonnees_geo": None}]
+    assert places(bronze(spark, tmp_root, rows)) == {"n1": (50.25, -3.5), "t": (None, None), "z": (None, None)}
+
+
+def test_one_stamp_for_the_batch(spark, tmp_root):
+    rows = bronze(spark, tmp_root, [NESTED, FLAT]).select("ingested_at", "date").distinct().collect()
+    assert [tuple(r) for r in rows] == [(TS, TS.date())]
+
+
+def test_undeclared_keys_reach_stored_bronze(spark, tmp_root):
+    first = [NESTED | {"kiosk": True, "operator": {"name": "velo", "zone": {"id": 7}}, "tags": ["a", "b"]}]
+    later = [FLAT | {"kiosk": "broken", "note": 3.5}]
+    root = os.path.join(tmp_root, "bronze")
+    for k, payload in enumerate((first, later)):
+        append_snapshot(bronze(spark, tmp_root, payload), root, file_stem=f"10-0{k}-00", staging_root=os.path.join(tmp_root, "s"))
+    extra = ["kiosk", "operator.name", "operator.zone.id", "tags", "note"]
+    got = {r["stationcode"]: tuple(r[c] for c in extra) for r in read_bronze(spark, root, extra).collect()}
+    assert got == {"n1": ("true", "velo", "7", '["a","b"]', None), "f1": ("broken", None, None, None, "3.5")}
+    assert read_bronze(spark, root).columns == BRONZE.fieldNames()
+
+
+def test_declared_types(spark, tmp_root):
+    df = bronze(spark, tmp_root, [NESTED])
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in BRONZE.fields]
+    (r,) = df.collect()
+    assert r["capacity"] == 12 and r["duedate"] is None
+
+
+def test_lines_layout_reads_every_line(spark, tmp_root):
+    text = "\n".join(json.dumps(NESTED | {"stationcode": f"s{i}"}) for i in range(5))
+    assert bronze(spark, tmp_root, text, layout="lines").count() == 5
+
+
+def test_lines_read_as_array_fail_loudly(spark, tmp_root):
+    for text in ("\n".join(json.dumps(NESTED) for _ in range(5)), json.dumps([NESTED]) + json.dumps([FLAT])):
+        with pytest.raises(LandingError):
+            read_landed_json(spark, land(tmp_root, text))
+
+
+def test_single_record_is_an_array_of_one(spark, tmp_root):
+    assert bronze(spark, tmp_root, NESTED).count() == 1
+
+
+@pytest.mark.parametrize("text", ["[{not json", "[] trailing"])
+def test_malformed_input_fails(spark, tmp_root, text):
+    with pytest.raises(Exception):
+        read_landed_json(spark, land(tmp_root, text)).collect()
+
+
+def test_unknown_layout(spark, tmp_root):
+    with pytest.raises(ValueError):
+        read_landed_json(spark, land(tmp_root, [NESTED]), "csv")
 
 
 def test_flat_input_unchanged(spark):
@@ -55,15 +116,3 @@ def test_flatten_keeps_arrays_and_drops_parent(spark):
     out = flatten_structs(df)
     assert out.columns == ["a.b", "a.c.d", "tags"]
     assert [tuple(r) for r in out.collect()] == [(1, "x", ["t"]), (None, None, None)]
-
-
-def test_missing_columns_are_null(spark, tmp_root):
-    df = to_bronze(read_landed_json(spark, write(tmp_root, "c.json", [{"stationcode": "a"}])), TS)
-    (r,) = df.collect()
-    assert r["capacity"] is None and r["duedate"] is None
-
-
-def test_malformed_input_fails(spark, tmp_root):
-    path = write(tmp_root, "bad.json", "[{not json")
-    with pytest.raises(Exception):
-        read_landed_json(spark, path).collect()

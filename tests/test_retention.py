@@ -44,9 +44,9 @@ def test_mtime_expiry_and_apply(spark, tmp_root):
     plan = plan_mtime_expiry(list_files(spark, root), now, 30)
     marked = {os.path.basename(r.path): r.expired for r in plan.collect()}
     assert marked == {"old.parquet": True, "new.parquet": False}
-    assert apply_expiry(spark, plan, by_partition=False, dry_run=True) == 1
+    assert apply_expiry(spark, plan, root, dry_run=True) == 1
     assert os.path.exists(old)
-    assert apply_expiry(spark, plan, by_partition=False, dry_run=False) == 1
+    assert apply_expiry(spark, plan, root, dry_run=False) == 1
     assert not os.path.exists(old) and os.path.exists(new)
 
 
@@ -77,3 +77,28 @@ def test_clean_staging(spark, tmp_root):
     assert clean_staging(spark, cfg, now) == 1 and os.path.exists(old)
     assert clean_staging(spark, cfg, now, dry_run=False) == 1
     assert not os.path.exists(old) and os.path.exists(fresh)
+
+
+def test_expired_silver_days_leave_the_manifest(spark, golden_bronze, tmp_root):
+    from snapflow.plans.pipeline import refresh_silver
+    from snapflow.sources.lake import read_silver
+    from snapflow.sources.sinks import append_snapshot
+
+    cfg = PipelineConfig(root=tmp_root)
+    append_snapshot(golden_bronze, cfg.bronze_path)
+    refresh_silver(spark, cfg)
+    past = time.time() - 40 * 86400
+    for base, _, files in os.walk(os.path.join(cfg.silver_path, "date=2024-05-01")):
+        for f in files:
+            os.utime(os.path.join(base, f), (past, past))
+    now = dt.datetime.now(dt.timezone.utc)
+    counts = {r.layer: r.deleted for r in run_cleanup(spark, cfg, now, dry_run=False).collect()}
+    assert counts["silver"] >= 1
+    assert {r["date"] for r in read_silver(spark, cfg.silver_path).select("date").distinct().collect()} == {dt.date(2024, 5, 2)}
+
+
+def test_naive_now_is_utc(spark):
+    listing_ = spark.sql("SELECT 'a/b.parquet' AS path, TIMESTAMP '2024-05-01 00:00:00' AS modificationTime, 1L AS length")
+    for now in (dt.datetime(2024, 5, 31, 0, 0, 1), dt.datetime(2024, 5, 31, 2, 0, 1, tzinfo=dt.timezone(dt.timedelta(hours=2)))):
+        assert plan_mtime_expiry(listing_, now, 30).first().expired is True
+    assert plan_mtime_expiry(listing_, dt.datetime(2024, 5, 31), 30).first().expired is False

@@ -20,3 +20,23 @@ def test_defaults_applied(spark):
     apply_defaults(spark)
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.mapKeyDedupPolicy"):
         assert spark.conf.get(key) == SESSION_DEFAULTS[key]
+
+
+def test_object_store_settings_reach_the_session():
+    from snapflow.__main__ import _parser, store_settings
+
+    args = _parser().parse_args(["status", "--root", "s3a://b/x", "--store-endpoint", "objects.local:9000", "--store-ssl"])
+    conf = store_settings(args)
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "objects.local:9000"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+    assert store_settings(_parser().parse_args(["status", "--root", "x"])) == {}
+
+
+def test_unknown_defaults_are_not_swallowed(spark, monkeypatch):
+    import pytest
+
+    from snapflow import session
+
+    monkeypatch.setitem(session.SESSION_DEFAULTS, "spark.sql.warehouse.dir", "elsewhere")
+    with pytest.raises(Exception):
+        apply_defaults(spark)

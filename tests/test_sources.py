@@ -3,10 +3,14 @@
 import datetime as dt
 import os
 
+import pytest
+
 from snapflow.config import PipelineConfig
 from snapflow.schemas import BRONZE, SILVER
 from snapflow.sources.lake import list_files, object_store_conf, partition_date, read_bronze, read_silver
-from snapflow.sources.sinks import append_snapshot, publish, stage
+from snapflow.sources import tables
+from snapflow.sources.sinks import append_snapshot, stage
+from snapflow.sources.tables import PublishError, drop_partitions, publish, read_table
 
 
 def test_missing_roots_read_as_empty(spark, tmp_root):
@@ -49,7 +53,7 @@ def test_partitioned_publish_replaces_only_staged_days(spark, golden_bronze, tmp
     publish(spark, stage(golden_bronze, cfg.staging_path, "date"), cfg.silver_path, partitioned=True)
     only_day2 = golden_bronze.where("date = DATE'2024-05-02'").limit(1)
     publish(spark, stage(only_day2, cfg.staging_path, "date"), cfg.silver_path, partitioned=True)
-    back = spark.read.parquet(cfg.silver_path)
+    back = read_table(spark, cfg.silver_path, BRONZE)
     assert back.where("date = DATE'2024-05-01'").count() == 2  # untouched day kept
     assert back.where("date = DATE'2024-05-02'").count() == 1  # staged day replaced
 
@@ -63,3 +67,69 @@ def test_snapshot_file_named_after_poll_time(spark, golden_bronze, tmp_root):
     assert again[0].endswith("08-15-00-0-1.parquet")  # same second twice: both kept
     assert read_bronze(spark, cfg.bronze_path).count() == 2 * snap.count()
     assert os.listdir(cfg.staging_path) == []  # staged folders are gone after the renames
+
+
+def test_failed_rename_leaves_table_and_staged_copy(spark, golden_bronze, tmp_root, monkeypatch):
+    cfg = PipelineConfig(root=tmp_root)
+    publish(spark, stage(golden_bronze, cfg.staging_path, "date"), cfg.silver_path, partitioned=True)
+    staged = stage(golden_bronze.limit(3), cfg.staging_path, "date")
+    before = sorted(os.listdir(staged))
+    real, calls = tables.rename, []
+
+    def failing(spark, fs, src, dst):
+        calls.append(src)
+        if len(calls) == 2:  # the second partition; the first has moved by then
+            raise PublishError("no")
+        real(spark, fs, src, dst)
+
+    monkeypatch.setattr(tables, "rename", failing)
+    two_days = stage(golden_bronze, cfg.staging_path, "date")
+    with pytest.raises(PublishError):
+        publish(spark, two_days, cfg.silver_path, partitioned=True)
+    assert len(calls) == 2 and spark.read.parquet(two_days).count() == golden_bronze.count()
+    monkeypatch.setattr(tables, "rename", real)
+    assert read_table(spark, cfg.silver_path, BRONZE).count() == golden_bronze.count()
+    assert sorted(os.listdir(staged)) == before
+
+
+def test_rename_that_reports_false_is_an_error(spark, tmp_root):
+    class Store:
+        def exists(self, path):
+            return False
+
+        def rename(self, a, b):
+            return False
+
+    with pytest.raises(PublishError):
+        tables.rename(spark, Store(), "a", "b")
+
+
+def test_reader_of_the_previous_version_can_finish(spark, golden_bronze, tmp_root):
+    path = os.path.join(tmp_root, "t")
+    stage_root = os.path.join(tmp_root, "s")
+    publish(spark, stage(golden_bronze.limit(5), stage_root), path)
+    old = read_table(spark, path, BRONZE)
+    publish(spark, stage(golden_bronze.limit(2), stage_root), path)
+    assert old.count() == 5 and read_table(spark, path, BRONZE).count() == 2
+    publish(spark, stage(golden_bronze.limit(1), stage_root), path)
+    versions = [d for d in os.listdir(path) if not d.startswith(("_", "."))]
+    assert len(versions) == 2 and read_table(spark, path, BRONZE).count() == 1
+
+
+def test_dropped_partition_is_gone(spark, golden_bronze, tmp_root):
+    path = os.path.join(tmp_root, "t")
+    publish(spark, stage(golden_bronze, os.path.join(tmp_root, "s"), "date"), path, partitioned=True)
+    drop_partitions(spark, path, {"date=2024-05-01"})
+    assert {r["date"] for r in read_table(spark, path, BRONZE).select("date").distinct().collect()} == {dt.date(2024, 5, 2)}
+    assert not os.path.exists(os.path.join(path, "date=2024-05-01"))
+
+
+def test_few_files_per_day_whatever_the_shuffle_width(spark, golden_bronze, tmp_root):
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        wide = golden_bronze.repartition(40, "stationcode")
+        staged = stage(wide, os.path.join(tmp_root, "s"), "date", sort_by=["stationcode"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for day in ("date=2024-05-01", "date=2024-05-02"):
+        assert len([f for f in os.listdir(os.path.join(staged, day)) if f.endswith(".parquet")]) <= 2
