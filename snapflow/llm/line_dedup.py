@@ -4,8 +4,7 @@ Distinct lines are cut into character shingles (over UTF-16 code units, so a
 shingle is a slice of constant cost).  One hash per shingle serves a one
 permutation MinHash: the hash picks a bin, and each bin keeps its minimum.
 ``bands`` keys of ``rows`` bins each make high-recall buckets.  In a bucket
-every line is compared with a leader, which differs from bucket to bucket;
-pairs are verified by their exact Jaccard similarity of shingle sets, and a
+every line is compared with a leader; pairs are verified by their exact Jaccard similarity of shingle sets, and a
 distributed union-find joins the verified links.  Lines of a bucket that are
 still in another component than its leader are then compared with the
 bucket's other components, so a leader that happens to be far from a line
@@ -27,19 +26,26 @@ from snapflow.llm.common import col, written
 from snapflow.llm.components import connected_components
 
 
+BROADCAST_ROWS = 1_000_000  # of two or three numbers each
+
+
 def _wide(line: Column) -> Column:
     return F.encode(line, "UTF-16BE")
 
 
-def shingle_hashes(line: Column, size: int) -> Column:
-    """The set of hashes of a line's shingles, as an array."""
-    wide = _wide(line)
+def _shingle_set(wide: str, size: int) -> Column:
+    """The set of hashes of a line's shingles; ``wide`` is a stored column, so each slice costs the same."""
     last = (F.length(wide) / 2).cast("int") - size
     return F.array_distinct(
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(wide, i * 2 + 1, F.lit(2 * size))))
+        F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(F.col(wide), i * 2 + 1, F.lit(2 * size))))
     )
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a written table behind a check of its size; a larger one is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text_hash, line_no, line, id`` of every line that is not blank."""
     rows = docs.select(
@@ -59,7 +65,8 @@ def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     shingles = wide.select(
         "id", "wide", F.explode(F.sequence(F.lit(0), (F.length("wide") / 2).cast("int") - size)).alias("i")
     ).select("id", F.xxhash64(F.substring(F.col("wide"), F.col("i") * 2 + 1, F.lit(2 * size))).alias("h"))
-    placed = shingles.select("id", "h", F.pmod("h", F.lit(bins)).cast("int").alias("bin"))
+    # First one minimum per (line, bin), then one row per line: cheaper than all bins' minima per shingle.
+    placed = shingles.groupBy("id", F.pmod("h", F.lit(bins)).cast("int").alias("bin")).agg(F.min("h").alias("h"))
     least = placed.groupBy("id").agg(*[F.min(F.when(F.col("bin") == j, F.col("h"))).alias(f"m{j}") for j in range(bins)])
     keys = []
     for b in range(bands):
@@ -71,16 +78,15 @@ def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, lines: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` of line ids whose shingle sets are similar enough."""
-    text = lambda name: lines.select(F.col("id").alias(name), F.col("line").alias(f"{name}_line"))
+    """The pairs ``a, b`` of line ids whose shingle sets are similar enough.  ``lines``: ``id, wide``."""
+    text = lambda name: lines.select(F.col("id").alias(name), F.col("wide").alias(f"{name}_wide"))
     both = pairs.join(text("a"), "a").join(text("b"), "b")
-    # Sets of very different size cannot reach the similarity.
-    short, long = F.least(F.length("a_line"), F.length("b_line")), F.greatest(F.length("a_line"), F.length("b_line"))
-    sets = both.select(
-        "a", "b", shingle_hashes(F.col("a_line"), size).alias("x"), shingle_hashes(F.col("b_line"), size).alias("y")
+    sets = F.struct(_shingle_set("a_wide", size).alias("x"), _shingle_set("b_wide", size).alias("y"))
+    # Generated, so that each set is made once however often it is used below.
+    sets = both.select("a", "b", F.explode(F.array(sets)).alias("s")).select(
+        "a", "b", F.size("s.x").alias("nx"), F.size("s.y").alias("ny"), F.size(F.array_intersect("s.x", "s.y")).alias("shared")
     )
-    shared = F.size(F.array_intersect("x", "y"))
-    return sets.where(shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return sets.where(F.col("shared") >= F.lit(similarity) * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
 
 
 def similar_lines(
@@ -91,14 +97,17 @@ def similar_lines(
     ``keys``: band keys per line id; ``lines``: ``id, line``, repeats allowed.
     """
     entries = keys.select("id", F.explode("keys").alias("band"))
-    order = F.xxhash64("band", "id")
+    # Two orders of the lines, one per half of the buckets: a line meets few leaders, but not always the same.
+    order = F.xxhash64(F.pmod("band", F.lit(2)), "id")
     leaders = entries.groupBy("band").agg(
         F.min(F.struct(order.alias("o"), F.col("id").alias("leader"))).alias("first"), F.count(F.lit(1)).alias("n")
     )
-    crowded = leaders.where("n > 1").select("band", "first.leader")
-    shared = written(entries.join(crowded, "band").select("band", "id", "leader"), "shared-bands")
-    candidates = lines.join(shared.select("id").distinct(), "id", "left_semi")
-    texts = written(candidates.groupBy("id").agg(F.min("line").alias("line")), "candidates")
+    crowded = written(leaders.where("n > 1").select("band", "first.leader"), "crowded-bands")
+    shared = written(entries.join(_small(crowded), "band").select("band", "id", "leader"), "shared-bands")
+    ids = written(shared.select("id").distinct(), "candidate-ids")
+    candidates = lines.join(_small(ids), "id", "left_semi")
+    texts = candidates.groupBy("id").agg(F.min("line").alias("line")).select("id", _wide(F.col("line")).alias("wide"))
+    texts = written(texts, "candidates")
 
     def pairs(x: Column, y: Column, rows: DataFrame) -> DataFrame:
         return rows.where(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
@@ -129,7 +138,7 @@ def line_verdicts(
     *,
     size: int = 8,
     similarity: float = 0.8,
-    bands: int = 10,
+    bands: int = 8,
     rows: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -158,6 +167,9 @@ def line_verdicts(
 
 def _with_verdicts(docs: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
     verdicts = written(line_verdicts(docs, id_col=id_col, text_col=text_col, **options), "line-verdicts")
+    figures = verdicts.agg(F.count(F.lit(1)), F.sum(F.size("removed"))).first()
+    few = figures[0] + (figures[1] or 0) <= 4 * BROADCAST_ROWS  # single numbers
+    verdicts = F.broadcast(verdicts) if few else verdicts
     named = verdicts.select(F.col("doc_id").alias("_llm_id"), F.col("text_hash").alias("_llm_hash"), F.col("removed").alias("_llm_removed"))
     same = (F.xxhash64(col(text_col)) == F.col("_llm_hash")) & col(id_col).eqNullSafe(F.col("_llm_id"))
     return docs.join(named, same, "left")
