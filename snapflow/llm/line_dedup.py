@@ -4,11 +4,11 @@ Distinct lines are cut into character shingles (over UTF-16 code units, so a
 shingle is a slice of constant cost).  One hash per shingle serves a one
 permutation MinHash: the hash picks a bin, and each bin keeps its minimum.
 ``bands`` keys of ``rows`` bins each make high-recall buckets.  In a bucket
-every line is compared with a leader; pairs are verified by their exact Jaccard similarity of shingle sets, and a
-distributed union-find joins the verified links.  Lines of a bucket that are
-still in another component than its leader are then compared with the
-bucket's other components, so a leader that happens to be far from a line
-hides no link; lines already joined are never paired again.
+every line is compared with a leader; pairs are verified by their exact Jaccard similarity of shingle sets.  The lines
+that a leader leaves out choose a leader among themselves, and so on until a
+round finds no link: the work of a round is at most one pair per line and
+bucket, never all pairs of a bucket.  A distributed union-find joins the
+verified links.
 
 Of each component, exact copies included, the first line by (doc_id, line
 number) stays.
@@ -97,40 +97,35 @@ def similar_lines(
     ``keys``: band keys per line id; ``lines``: ``id, line``, repeats allowed.
     """
     entries = keys.select("id", F.explode("keys").alias("band"))
-    # Two orders of the lines, one per half of the buckets: a line meets few leaders, but not always the same.
-    order = F.xxhash64(F.pmod("band", F.lit(2)), "id")
-    leaders = entries.groupBy("band").agg(
-        F.min(F.struct(order.alias("o"), F.col("id").alias("leader"))).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    crowded = written(leaders.where("n > 1").select("band", "first.leader"), "crowded-bands")
-    shared = written(entries.join(_small(crowded), "band").select("band", "id", "leader"), "shared-bands")
-    ids = written(shared.select("id").distinct(), "candidate-ids")
+    counts = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    crowded = written(counts, "crowded-bands")
+    open_ = written(entries.join(_small(crowded), "band"), "shared-bands")
+    ids = written(open_.select("id").distinct(), "candidate-ids")
     candidates = lines.join(_small(ids), "id", "left_semi")
     texts = candidates.groupBy("id").agg(F.min("line").alias("line")).select("id", _wide(F.col("line")).alias("wide"))
     texts = written(texts, "candidates")
 
-    def pairs(x: Column, y: Column, rows: DataFrame) -> DataFrame:
-        return rows.where(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
-
-    compared = pairs(F.col("id"), F.col("leader"), shared)
-    first = written(verified(compared, texts, size, similarity), "first-links")
-    parts = connected_components(first)
-    # What is still apart inside a bucket: its lines outside the leader's component against the rest.
-    of = lambda name: parts.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
-    placed = written(
-        shared.join(of("id"), "id", "left").join(of("leader"), "leader", "left").select(
-            "band", "id", F.coalesce("id_part", "id").alias("part"), F.coalesce("leader_part", "leader").alias("main")
-        ),
-        "placed",
-    )
-    apart = placed.where("part != main").select("band", F.col("id").alias("x"), F.col("part").alias("x_part"), "main")
-    others = placed.select("band", F.col("id").alias("y"), F.col("part").alias("y_part"))
-    rest = apart.join(others, "band").where("x_part != y_part and (y_part = main or x < y)")
-    tried = pairs(F.col("x"), F.col("y"), rest).join(compared, ["a", "b"], "left_anti")
-    second = written(verified(tried, texts, size, similarity), "second-links")
-    if second.isEmpty():
-        return parts
-    return connected_components(first.union(second))
+    links = compared = None
+    turn = 0
+    while True:
+        # Two orders of the lines, one per half of the buckets: a line meets few leaders, but not always the same.
+        order = F.xxhash64(F.pmod("band", F.lit(2)), F.lit(turn), F.col("id"))
+        leaders = open_.groupBy("band").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("leader"))).alias("first"))
+        led = open_.join(leaders.select("band", "first.leader"), "band").where("id != leader")
+        led = written(led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")}), "led")
+        pairs = led.select("a", "b").distinct()
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        found = written(verified(pairs, texts, size, similarity), "links")
+        compared = pairs if compared is None else compared.union(pairs)
+        links = found if links is None else links.union(found)
+        if found.isEmpty():
+            break
+        # Lines that their leader left out lead one another in the next round.
+        open_ = written(led.join(links, ["a", "b"], "left_anti").select("band", "id"), "left-out")
+        turn += 1
+    return connected_components(links)
 
 
 def line_verdicts(
