@@ -14,6 +14,7 @@ one entry per block, not one per row.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,6 +36,19 @@ BLOCKS = (
 )
 
 
+def release() -> None:
+    """Hand freed memory back to the system.
+
+    Python workers are used again by later tasks, and the allocators of Arrow
+    and of the C library keep what a block has needed; without this a worker's
+    size is its largest block ever, not its current one.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pack(a: np.ndarray) -> bytes:
     """An integer array, its bytes grouped by significance and deflated."""
     a = np.ascontiguousarray(a)
@@ -93,8 +107,10 @@ def make_blocks(docs: DataFrame, *, flag: Column, lower: bool, id_col: str, text
                 ids.append(doc_id), flags.append(mark), lengths.append(len(words))
                 if len(numbers) >= BLOCK_WORDS:
                     yield flush()
+                    release()
         if ids:
             yield flush()
+        release()
 
     return written(rows.mapInArrow(run, BLOCKS), "blocks")
 
@@ -166,12 +182,14 @@ def ask(
                             out.append((s, kind, block.name, pack_keys(keys[lo:hi]), cells))
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                release()
 
     def answered(pdf: pd.DataFrame) -> pd.DataFrame:
         kind = int(pdf["kind"].iloc[0])
         keys = [unpack_keys(k) for k in pdf["keys"]]
         values = [[unpack(c, t) for c, t in zip(cells, value_types)] for cells in pdf["values"]]
         answers, total = answer(kind, keys, values)
+        release()
         return pd.DataFrame(
             {"block": pdf["block"], "kind": kind, "shard": pdf["shard"], "answer": [pack(a.astype(answer_type)) for a in answers],
              "total": [total] + [0] * (len(pdf) - 1)}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, pack, shard_count, unpack
+from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, pack, release, shard_count, unpack
 from snapflow.llm.common import col, written
 
 END, START = 1, 2  # stand-ins for word hashes
@@ -149,6 +149,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         c1 = gathered(right, WORD, "<u4")[g.word]
         c2 = gathered(right, PAIR, "<u4")[g.pair]
         own1, own2 = g.own(g.word, len(g.word_keys)), g.own(g.pair, len(g.pair_keys))
+        release()
         return pd.DataFrame(
             {"ids": [row["ids"]], "no_id": [row["no_id"]], "flags": [row["flags"]],
              "lengths": [pack(g.lengths.astype(np.int32))], "c1": [pack(c1.astype(np.uint32))], "c2": [pack(c2.astype(np.uint32))],

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, pack, shard_count, unpack
+from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, pack, release, shard_count, unpack
 from snapflow.llm.common import written
 
 ALONE, REPEATED, CONTESTED, CROWDED = 0, 1, 2, 4  # flags of a run
@@ -266,6 +266,7 @@ def remove_repeats(
                     out.append((key % groups, block.name, i, f & REPEATED, runs.h[i : i + window].tobytes()))
             else:
                 out.append((int(runs.anchor[r]) % groups, block.name, start, f & REPEATED, runs.h[start : start + n + window - 1].tobytes()))
+        release()
         return pd.DataFrame(out, columns=names)
 
     sent = written(
@@ -286,6 +287,7 @@ def remove_repeats(
         for block, start, done, s in zip(pdf["block"], pdf["start"], pdf["least"], sequences):
             if not done:  # a repeated content is removed whole by its own flag
                 out += [(block, start + lo, start + hi) for lo, hi in maximal_spans(found.matches(s), window)]
+        release()
         return pd.DataFrame(out, columns=["block", "lo", "hi"])
 
     spans = written(sent.groupBy("shard").applyInPandas(shared, "block string, lo long, hi long"), "spans")
@@ -316,6 +318,7 @@ def remove_repeats(
             digests.append(hashlib.sha256(text).hexdigest())
             texts.append(text.decode())
             removed.append(int(n) - len(own))
+        release()
         return pd.DataFrame(
             {"ids": [row["ids"]], "no_id": [row["no_id"]], "lengths": [row["lengths"]],
              "removed": [pack(np.array(removed, np.int32))], "digest": ["".join(digests)], "kept": [texts]}
