@@ -108,8 +108,8 @@ def similar_lines(
     links = compared = None
     turn = 0
     while True:
-        # Two orders of the lines, one per half of the buckets: a line meets few leaders, but not always the same.
-        order = F.xxhash64(F.pmod("band", F.lit(2)), F.lit(turn), F.col("id"))
+        # Every bucket has an order of its own: a line that shares several buckets meets several leaders.
+        order = F.xxhash64(F.col("band"), F.lit(turn), F.col("id"))
         leaders = open_.groupBy("band").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("leader"))).alias("first"))
         led = open_.join(leaders.select("band", "first.leader"), "band").where("id != leader")
         led = written(led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")}), "led")
