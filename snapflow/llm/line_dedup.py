@@ -118,8 +118,11 @@ def similar_lines(
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, texts, size, similarity), "links")
-        compared = pairs if compared is None else compared.union(pairs)
-        links = found if links is None else links.union(found)
+        if found.isEmpty() and links is not None:
+            break
+        # One table each, whatever the number of rounds.
+        compared = pairs if compared is None else written(compared.union(pairs).distinct(), "compared")
+        links = found if links is None else written(links.union(found).distinct(), "all-links")
         if found.isEmpty():
             break
         # Lines that their leader left out lead one another in the next round.
