@@ -3,12 +3,17 @@
 Distinct lines are cut into character shingles (over UTF-16 code units, so a
 shingle is a slice of constant cost).  One hash per shingle serves a one
 permutation MinHash: the hash picks a bin, and each bin keeps its minimum.
-``bands`` keys of ``rows`` bins each make high-recall buckets.  In a bucket
-every line is compared with a leader; pairs are verified by their exact Jaccard similarity of shingle sets.  The lines
-that a leader leaves out choose a leader among themselves, and so on until a
-round finds no link: the work of a round is at most one pair per line and
-bucket, never all pairs of a bucket.  A distributed union-find joins the
-verified links.
+``bands`` keys of ``rows`` bins each make high-recall buckets.  Pairs are
+verified by their exact Jaccard similarity of shingle sets, and a distributed
+union-find joins the verified links.
+
+The result is that of all pairs of every bucket.  First every line of a bucket
+is compared with a leader, and the lines left out choose a leader among
+themselves while leaders take a fair part of their bucket: this joins large
+families with one pair per line.  Then all pairs of a bucket that are in
+different components are compared, block by block, so no task holds a bucket.
+Pairs whose set sizes rule the similarity out are not verified.  A bucket of
+many lines that are not similar costs all its pairs.
 
 Of each component, exact copies included, the first line by (doc_id, line
 number) stays.
@@ -27,6 +32,8 @@ from snapflow.llm.components import connected_components
 
 
 BROADCAST_ROWS = 1_000_000  # of two or three numbers each
+BLOCK = 64  # lines of a bucket per block
+FAIR = 8  # a leader that takes less than 1/FAIR of its bucket is the bucket's last
 
 
 def _wide(line: Column) -> Column:
@@ -89,6 +96,24 @@ def verified(pairs: DataFrame, lines: DataFrame, size: int, similarity: float) -
     return sets.where(F.col("shared") >= F.lit(similarity) * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
 
 
+def open_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: the pairs of each bucket that are in different parts and whose set sizes allow the similarity.
+
+    ``members``: ``band, id, part, n``.  A bucket is cut into blocks and every two blocks meet under a key of their own.
+    """
+    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("lines"), F.min("part").alias("p"), F.max("part").alias("q"))
+    buckets = buckets.where("p != q").select("band", F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(buckets, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    side = lambda i: [F.col(c).alias(f"{c}_{i}") for c in ("id", "part", "n")]
+    x = placed.select("band", *side("x"), F.col("block").alias("u"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("v"))
+    y = placed.select("band", *side("y"), F.explode(F.sequence(F.lit(0), "block")).alias("u"), F.col("block").alias("v"))
+    once = F.expr("part_x != part_y and (u < v or id_x < id_y)")
+    # The similarity is at most the smaller set's size by the larger's.
+    possible = F.least("n_x", "n_y") >= F.lit(similarity) * F.greatest("n_x", "n_y")
+    pairs = x.join(y, ["band", "u", "v"]).where(once & possible)
+    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+
+
 def similar_lines(
     keys: DataFrame, lines: DataFrame, *, size: int, similarity: float
 ) -> DataFrame:
@@ -99,13 +124,13 @@ def similar_lines(
     entries = keys.select("id", F.explode("keys").alias("band"))
     counts = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     crowded = written(counts, "crowded-bands")
-    open_ = written(entries.join(_small(crowded), "band"), "shared-bands")
-    ids = written(open_.select("id").distinct(), "candidate-ids")
+    shared = written(entries.join(_small(crowded), "band"), "shared-bands")
+    ids = written(shared.select("id").distinct(), "candidate-ids")
     candidates = lines.join(_small(ids), "id", "left_semi")
     texts = candidates.groupBy("id").agg(F.min("line").alias("line")).select("id", _wide(F.col("line")).alias("wide"))
-    texts = written(texts, "candidates")
+    texts = written(texts.withColumn("n", F.size(_shingle_set("wide", size))), "candidates")
 
-    links = compared = None
+    open_, links, compared = shared, None, None
     turn = 0
     while True:
         # Every bucket has an order of its own: a line that shares several buckets meets several leaders.
@@ -118,17 +143,27 @@ def similar_lines(
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, texts, size, similarity), "links")
-        if found.isEmpty() and links is not None:
-            break
         # One table each, whatever the number of rounds.
         compared = pairs if compared is None else written(compared.union(pairs).distinct(), "compared")
         links = found if links is None else written(links.union(found).distinct(), "all-links")
-        if found.isEmpty():
+        # Lines that their leader left out lead one another in the next round, in buckets whose leader took a fair part.
+        out = led.join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
+        fair = out.groupBy("band").agg(F.count(F.lit(1)).alias("all"), F.count("linked").alias("taken"))
+        fair = fair.where((F.col("taken") * FAIR >= F.col("all")) & (F.col("all") - F.col("taken") > FAIR)).select("band")
+        open_ = written(out.where("linked is null").join(fair, "band", "left_semi").select("band", "id"), "left-out")
+        if open_.isEmpty():
             break
-        # Lines that their leader left out lead one another in the next round.
-        open_ = written(led.join(links, ["a", "b"], "left_anti").select("band", "id"), "left-out")
         turn += 1
-    return connected_components(links)
+
+    parts = written(connected_components(links), "parts")
+    members = shared.join(texts.select("id", "n"), "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
+    members = written(members.select("band", "id", F.coalesce("component", "id").alias("part"), "n"), "members")
+    pairs = written(open_pairs(members, similarity).join(compared, ["a", "b"], "left_anti"), "open-pairs")
+    found = written(verified(pairs, texts, size, similarity), "open-links")
+    if found.isEmpty():
+        return parts
+    joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)
+    return connected_components(joined)
 
 
 def line_verdicts(

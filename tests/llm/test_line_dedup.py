@@ -3,7 +3,7 @@ from itertools import combinations
 
 import pytest
 
-from snapflow.llm.line_dedup import dedup_lines, dedup_report
+from snapflow.llm.line_dedup import dedup_lines, dedup_report, similar_lines
 
 SCHEMA = "doc_id long, text string, id string, first long"
 
@@ -106,3 +106,30 @@ def test_nulls_empty_long_and_repeated(spark):
 def test_empty_table(spark):
     rows = spark.createDataFrame([], SCHEMA)
     assert dedup_report(rows).collect() == [] and dedup_lines(rows).collect() == []
+
+
+def test_lines_of_one_template_equal_all_pairs(spark):
+    """One bucket of lines that share a template; only a few of them are near copies of one another."""
+    rng = random.Random(4)
+    template = words(rng, 60).split()
+
+    def changed(parts, n):
+        parts = list(parts)
+        for i in rng.sample(range(len(parts)), n):
+            parts[i] = words(rng, 1)
+        return parts
+
+    single = [changed(template, 5) for _ in range(130)]
+    lines = [" ".join(x) for x in single + [changed(x, 3) for x in single[:25]] + [changed(single[0], 1) for _ in range(15)]]
+    sets = [shingles(x) for x in lines]
+    part = list(range(len(lines)))
+    n_links = 0
+    for i, j in combinations(range(len(lines)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            n_links += 1
+            part = [min(part[i], part[j]) if p in (part[i], part[j]) else p for p in part]
+    assert 40 <= n_links < 400
+    keys = spark.createDataFrame([(i, [7]) for i in range(len(lines))], "id long, keys array<long>")
+    rows = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    got = {r["node"]: r["component"] for r in similar_lines(keys, rows, size=8, similarity=0.8).collect()}
+    assert got == {i: p for i, p in enumerate(part) if part.count(p) > 1}
