@@ -9,8 +9,10 @@ of the item (the whole item if shorter) at least ``share`` of the aligned
 tokens agree.
 
 The default masks meet every pattern of up to three substitutions in a window
-of 16 (shown by enumeration in the tests), so with ``share`` = 0.8 no such
-overlap is missed.  Items shorter than a mask are seeded as a whole.
+of 16, so with ``share`` = 0.8 no such overlap is missed.  Items shorter than
+the window have masks made for their length and the substitutions it allows
+(``short_masks``); they meet every pattern of these too.  Both are shown by
+enumeration in the tests.
 
 Seeds are made by code-generated expressions over one array of tokens per
 text; only hits leave the scan.  The seed table of the benchmark is broadcast
@@ -19,7 +21,8 @@ if it has at most ``broadcast_seeds`` rows, and joined by shuffle otherwise.
 
 from __future__ import annotations
 
-
+from itertools import combinations
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,21 @@ def seeds(texts: DataFrame, key: str, masks: list[str]) -> DataFrame:
     return at.select(key, "at", F.explode(F.array(*hashed)).alias("seed")).where(F.col("seed").isNotNull())
 
 
+def short_masks(n: int, share: float) -> set[str]:
+    """Masks that meet every allowed pattern of substitutions in an item of ``n`` tokens.
+
+    ``wrong`` substitutions touch at most ``wrong`` of ``wrong + 2`` pieces of the item; for every choice of these the
+    other pieces are a mask.
+    """
+    wrong = min(n - ceil(n * share), n - 1)
+    pieces = min(wrong + 2, n)
+    ends = [n * i // pieces for i in range(pieces + 1)]
+    masks = set()
+    for touched in combinations(range(pieces), wrong):
+        masks.add("".join(("0" if i in touched else "1") * (ends[i + 1] - ends[i]) for i in range(pieces)).strip("0"))
+    return masks
+
+
 def _agreement(window: int, share: float) -> Column:
     """Whether some window of the item agrees with the text at offset ``shift``."""
     same = F.transform(
@@ -87,18 +105,20 @@ def overlaps(
         benchmark.select(col(item_col).alias("item_id"), tokens(col(item_text_col)).alias("tokens")).where(F.size("tokens") > 0),
         "benchmark",
     )
-    shortest = min(len(m) for m in masks)
-    # Items too short for any mask: one contiguous seed of their own length (fewer lengths than a mask has places).
-    short = [r[0] for r in items.where(F.size("tokens") < shortest).select(F.size("tokens")).distinct().collect()]
+    # Fewer lengths than the window has tokens.
+    short = [r[0] for r in items.where(F.size("tokens") < window).select(F.size("tokens")).distinct().collect()]
     numbered = items.withColumn("item_key", F.xxhash64("item_id", F.concat_ws(" ", "tokens")))
-    marks = seeds(numbered, "item_key", list(masks))
+    marks = seeds(numbered.where(F.size("tokens") >= window), "item_key", list(masks))
+    tried_masks = set(masks)
     for n in sorted(short):
-        marks = marks.union(seeds(numbered.where(F.size("tokens") == n), "item_key", ["1" * n]))
+        own = short_masks(n, share)
+        marks = marks.union(seeds(numbered.where(F.size("tokens") == n), "item_key", sorted(own)))
+        tried_masks |= own
     marks = written(marks.select("item_key", F.col("at").alias("item_at"), "seed").distinct(), "benchmark-seeds")
     few = marks.count() <= broadcast_seeds
 
     texts = docs.select(F.xxhash64(col(text_col)).alias("text_hash"), tokens(col(text_col)).alias("tokens"))
-    tried = seeds(texts, "text_hash", [*masks, *("1" * n for n in sorted(short))])
+    tried = seeds(texts, "text_hash", sorted(tried_masks))
     hits = tried.join(F.broadcast(marks) if few else marks, "seed")
     hits = written(hits.select("text_hash", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
 

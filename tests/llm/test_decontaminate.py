@@ -3,7 +3,7 @@ import re
 from itertools import combinations
 from math import ceil
 
-from snapflow.llm.decontaminate import MASKS, contamination, remove_contaminated
+from snapflow.llm.decontaminate import MASKS, contamination, remove_contaminated, short_masks
 
 DOCS = "doc_id long, text string, seed string, item_id long"
 ITEMS = "item_id long, text string, tokens string"
@@ -38,6 +38,31 @@ def test_masks_meet_every_three_substitutions():
         assert any(not p & set(wrong) for p in placed)
 
 
+def test_short_masks_meet_every_allowed_substitution():
+    for n in range(1, 16):
+        placed = [{o + i for i, bit in enumerate(m) if bit == "1"} for m in short_masks(n, 0.8) for o in range(n - len(m) + 1)]
+        for wrong in combinations(range(n), n - ceil(n * 0.8)):
+            assert any(not p & set(wrong) for p in placed), (n, wrong)
+
+
+def test_short_items_equal_brute_force(spark):
+    """Every length below 16, every allowed pattern of substitutions and items cut by a text's ends."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(200)]
+    items = [(n, " ".join(rng.choice(vocabulary) for _ in range(n))) for n in range(1, 16)]
+    texts = []
+    for n, text in items:
+        for wrong in combinations(range(n), n - ceil(n * 0.8)):
+            said = ["other" if j in wrong else t for j, t in enumerate(toks(text))]
+            texts.append(" ".join(["before", *said, "after"]))
+        texts += [" ".join(toks(text)[1:] + ["after"]), " ".join(["before"] + toks(text)[:-1])]
+    docs = list(enumerate(texts))
+    rows = spark.createDataFrame([(d, t, "", 0) for d, t in docs], DOCS)
+    bench = spark.createDataFrame([(i, t, "") for i, t in items], ITEMS)
+    got = {r["doc_id"]: r["item_ids"] for r in contamination(rows, bench).collect()}
+    assert got == brute(docs, items)
+
+
 def test_equals_brute_force(spark):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(300)]
