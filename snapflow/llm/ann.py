@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapflow.llm.blocks import no_rows
 from snapflow.llm.common import col, written
 
 BLOCK = 4096  # vectors, and queries, that one task compares at a time
@@ -244,7 +245,7 @@ def search(
     def compare(vs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         """The k + 1 nearest vectors of a block for every query of a block."""
         if not len(vs) or not len(qs):
-            return pd.DataFrame({"q": [], "ids": [], "scores": []})
+            return no_rows("q", "ids", "scores")
         x, ids = np.stack(vs["v"].to_numpy()), vs["first_id"].to_numpy()
         out = []
         for lo in range(0, len(qs), 256):

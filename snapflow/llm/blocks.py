@@ -202,6 +202,11 @@ def ask(
     return written(replies, "answers")
 
 
+def no_rows(*names: str) -> pd.DataFrame:
+    """An empty frame that Arrow takes for columns of any type."""
+    return pd.DataFrame(columns=list(names), dtype=object)
+
+
 def gathered(pdf: pd.DataFrame, kind: int, dtype) -> np.ndarray:
     """A block's answers of one kind, in the order of its question."""
     rows = pdf[pdf["kind"] == kind].sort_values("shard")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, pack, release, shard_count, unpack
+from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, no_rows, pack, release, shard_count, unpack
 from snapflow.llm.common import col, written
 
 END, START = 1, 2  # stand-ins for word hashes
@@ -142,7 +142,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Per token: counts of the word, the bigram and the context; for training tokens also without their document."""
         if not len(left):
-            return pd.DataFrame({c: [] for c in ("ids", "no_id", "flags", "lengths", "c1", "c2", "own1", "own2")})
+            return no_rows("ids", "no_id", "flags", "lengths", "c1", "c2", "own1", "own2")
         row = left.iloc[0]
         block = Block(row)
         g = Grams(block)

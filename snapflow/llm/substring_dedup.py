@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, pack, release, shard_count, unpack
+from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, no_rows, pack, release, shard_count, unpack
 from snapflow.llm.common import written
 
 ALONE, REPEATED, CONTESTED, CROWDED = 0, 1, 2, 4  # flags of a run
@@ -240,6 +240,8 @@ def remove_repeats(
     * Documents shorter than ``window`` words lose nothing.
     * Repeated rows are documents of their own, so their windows repeat.
     * Windows are judged on the input; both (all) occurrences are removed.
+    * A text is one cell of a table and so below 2 GB; a block takes up to 2^28
+      words, more than fit in one.
     * Other columns are not read.  An empty table gives no rows.
     """
     blocks = make_blocks(docs, flag=F.lit(False), lower=False, id_col=id_col, text_col=text_col)
@@ -252,7 +254,7 @@ def remove_repeats(
         """Contents to compare: where they stand and their words."""
         names = ["shard", "block", "start", "least", "words"]
         if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in names})
+            return no_rows(*names)
         block = Block(left.iloc[0])
         runs = Runs(block, window, seed)
         flags = gathered(right, RUNS, "<u1")
@@ -267,7 +269,7 @@ def remove_repeats(
             else:
                 out.append((int(runs.anchor[r]) % groups, block.name, start, f & REPEATED, runs.h[start : start + n + window - 1].tobytes()))
         release()
-        return pd.DataFrame(out, columns=names)
+        return pd.DataFrame(out, columns=names) if out else no_rows(*names)
 
     sent = written(
         blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
@@ -288,16 +290,15 @@ def remove_repeats(
             if not done:  # a repeated content is removed whole by its own flag
                 out += [(block, start + lo, start + hi) for lo, hi in maximal_spans(found.matches(s), window)]
         release()
-        return pd.DataFrame(out, columns=["block", "lo", "hi"])
+        return pd.DataFrame(out, columns=["block", "lo", "hi"]) if out else no_rows("block", "lo", "hi")
 
     spans = written(sent.groupBy("shard").applyInPandas(shared, "block string, lo long, hi long"), "spans")
     notes = answers.select("block", "kind", "shard", "answer", F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"))
     notes = notes.union(spans.select("block", F.lit(0), F.lit(0), F.lit(None).cast("binary"), "lo", "hi"))
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["ids", "no_id", "lengths", "removed", "digest", "kept"]
         if not len(left):
-            return pd.DataFrame({c: [] for c in names})
+            return no_rows("ids", "no_id", "lengths", "removed", "digest", "kept")
         row = left.iloc[0]
         block = Block(row)
         runs = Runs(block, window, seed)

@@ -73,6 +73,16 @@ def test_automaton_counts_places():
             assert list(found.matches(t)) == want
 
 
+@pytest.mark.parametrize("texts", [["a b", "c d"], [None, ""], ["a b", "c d", "w " * 60, "x y z", "w " * 60]])
+def test_blocks_without_a_window(spark, texts):
+    """Blocks of short texts only, alone and beside others (one document a partition)."""
+    df = spark.createDataFrame([(i, t, 0, "") for i, t in enumerate(texts)], SCHEMA).repartitionByRange(len(texts), "doc_id")
+    got = sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in remove_repeats(df).collect())
+    assert got == brute(list(enumerate(texts)), 35)
+
+
 def test_spans():
-    assert list(maximal_spans(iter([1, 2, 3, 4, 0, 1, 3, 3]), 3)) == [(0, 4), (4, 8)]
+    # Touching spans are one stretch.
+    assert list(maximal_spans(iter([1, 2, 3, 4, 0, 1, 3, 3]), 3)) == [(0, 8)]
+    assert list(maximal_spans(iter([1, 2, 3, 0, 1, 2, 3, 4]), 3)) == [(0, 3), (4, 8)]
     assert list(maximal_spans(iter([]), 3)) == []
