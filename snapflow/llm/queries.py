@@ -15,6 +15,7 @@ from snapflow.llm import (
     line_dedup,
     mixing,
     ngram_lm,
+    sentence_pieces,
     simhash,
     substring_dedup,
     toxicity,
@@ -74,6 +75,18 @@ def automaton_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, d, "documents"), window=35).drop("kept")
 
 
+def sentencepiece_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    read = sentence_pieces.round_trip(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return read.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_line_dedup": minhash_line_dedup,
     "op2_spaced_seed_decontamination": spaced_seed_decontamination,
@@ -85,4 +98,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_deleted_interpolation_lm": deleted_interpolation_lm,
     "op9_prefix_target_chat": prefix_target_chat,
     "op10_automaton_substring_dedup": automaton_substring_dedup,
+    "op11_sentencepiece_rounds": sentencepiece_round_trip,
 }

@@ -1,0 +1,141 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from snapflow.llm import queries, sentence_pieces
+from snapflow.llm.sentence_pieces import by_heap, decode_ids, encode_texts, load, round_trip
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def model():
+    with open(PATH, "rb") as f:
+        return load(f.read())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def random_texts(rng, n):
+    alphabets = [
+        "abcdefghij ", "the and ing tion er", "aab ", "   \n\t a", "éèçñüß ", "0123456789.,-:;", "日本語中文字国的 ", "абвгдежз ", "😀🎉‍﻿\x00\x01 ",
+        "▁ a", "<unk><s></s><0x41>", "zzzzyyx", "\U0010ffff ̀e",
+    ]
+    for _ in range(n):
+        parts = ["".join(rng.choice(a) for _ in range(rng.randint(0, 30))) for a in rng.choices(alphabets, k=rng.randint(0, 6))]
+        yield rng.choice(["", " ", "\n"]).join(parts)
+
+
+def same_as_library(model, library, texts):
+    ids, counts = encode_texts(model, texts)
+    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    want = library.encode(texts)
+    for t, a, b in zip(texts, got, want):
+        assert a == b, (t, a, b)
+    assert [x.decode() for x in decode_ids(model, ids, counts)] == [library.decode(x) for x in want]
+
+
+def test_random_texts(model, library):
+    same_as_library(model, library, ["", " ", "  ", "a", *random_texts(random.Random(3), 1500)])
+
+
+def test_words_of_many_kinds(model, library):
+    rng = random.Random(4)
+    pieces = [p for p in model.id_of]
+    same_as_library(model, library, ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(3000)])
+
+
+@pytest.mark.parametrize("long", [3, 1000])
+def test_long_segments(model, library, monkeypatch, long):
+    """Runs of blanks (pieces of equal score), of one letter, and words without a cut."""
+    monkeypatch.setattr(sentence_pieces, "LONG", long)
+    rng = random.Random(5)
+    texts = [" " * n for n in range(1, 60)] + [" " * 5000 + "x" + " " * 333, "a" * 3000, "ab" * 2000, "\n" * 700]
+    texts += ["".join(rng.choice("etaoinshr") for _ in range(n)) for n in (50, 500, 1500, 4000)]
+    same_as_library(model, library, texts)
+
+
+def test_heap_and_rounds_agree(model):
+    rng = random.Random(6)
+    for _ in range(300):
+        text = "".join(rng.choice("aabno ▁") for _ in range(rng.randint(1, 40)))
+        symbols = model.symbol[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        got = sentence_pieces.merge_rounds(model, symbols, np.zeros(len(symbols), np.int64))[0]
+        assert got.tolist() == by_heap(model, symbols.tolist())
+
+
+def test_decoding_any_ids(model, library):
+    rng = random.Random(7)
+    rows = [[rng.choice([rng.randrange(3), rng.randrange(3, 259), rng.randrange(259, 32000)]) for _ in range(rng.randint(0, 12))] for _ in range(2000)]
+    flat = np.array([i for r in rows for i in r], np.int32)
+    got = decode_ids(model, flat, np.array([len(r) for r in rows]))
+    for r, t in zip(rows, got):
+        assert t.decode() == library.decode(r), r
+    with pytest.raises(ValueError):
+        decode_ids(model, np.array([32000]), np.array([1]))
+
+
+def test_merges_that_open_an_earlier_one():
+    """A vocabulary in which a merge makes a pair that ranks before it, and pieces of equal score."""
+    import struct
+
+    def field(n, value):
+        body = value if isinstance(value, bytes) else b""
+        return bytes([n << 3 | 2, len(body)]) + body if isinstance(value, bytes) else bytes([n << 3, value])
+
+    def piece(p, score, kind=1):
+        return field(1, field(1, p.encode()) + bytes([2 << 3 | 5]) + struct.pack("<f", score) + field(3, kind))
+
+    rng = random.Random(8)
+    for turn in range(40):
+        letters = "abc"
+        strings = {"".join(rng.choice(letters) for _ in range(rng.randint(2, 5))) for _ in range(12)}
+        proto = piece("<unk>", 0, 2) + b"".join(piece(f"<0x{b:02X}>", 0, 6) for b in range(256))
+        proto += b"".join(piece(c, -50) for c in letters) + b"".join(piece(s, float(-rng.randint(1, 6))) for s in sorted(strings))
+        trainer = field(3, 2) + bytes([(35 << 3) & 127 | 128, 35 << 3 >> 7, 1])
+        proto += field(2, trainer) + field(3, field(3, 0) + field(4, 0))
+        own = sentence_pieces.Model(proto)
+        library = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(60)]
+        ids, counts = encode_texts(own, texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library.encode(texts)
+
+
+def test_unsuitable_model(model):
+    with pytest.raises(ValueError):
+        sentence_pieces.Model(b"")
+
+
+def test_table(spark, library, monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "CHUNK", 40)
+    rows = [(1, "Hello  world é😀", 5, "x"), (1, "Hello  world é😀", 5, "x"), (2, None, None, None), (None, "", 1, ""), (3, "word " * 4000, 0, ""), (4, " ▁x\n", 0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string").repartition(2)
+    got = sorted((str(r["doc_id"]), r["ids"], r["decoded"]) for r in round_trip(docs, PATH).collect())
+    want = sorted((str(i), library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t, *_ in rows)
+    assert got == want
+    assert round_trip(docs.limit(0), PATH).collect() == []
+
+
+def test_null_ids(spark):
+    df = spark.createDataFrame([([306, None, 278],), (None,), ([],)], "ids array<int>")
+    got = [r[0] for r in df.select(sentence_pieces.decode(spark, df["ids"], PATH).alias("t")).collect()]
+    assert got[1:] == [None, ""] and got[0]
+
+
+def test_query(spark, library, tmp_path):
+    rows = [(i, t) for i, t in enumerate(random_texts(random.Random(9), 50))] + [(90, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    hexed = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    got = {tuple(r) for r in queries.sentencepiece_round_trip(spark, str(tmp_path)).collect()}
+    want = set()
+    for i, t in rows:
+        ids = library.encode(t or "")
+        want.add((i, len(ids), hexed(",".join(map(str, ids))), hexed(library.decode(ids))))
+    assert got == want
