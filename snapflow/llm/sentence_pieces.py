@@ -5,8 +5,8 @@ symbols whose join is a piece, the pair with the best score, of equal ones the
 leftmost.  Here many words are merged at once:
 
 1. A text is cut into words where no piece can reach across (before a blank
-   that follows another character, checked against the vocabulary).  Each
-   distinct word of a batch is encoded once.
+   that follows another character, checked against the vocabulary).  A task
+   remembers the ids of a bounded number of words, so most are merged once.
 2. The words' characters lie in one flat array, cut further wherever two
    neighbouring characters stand side by side in no piece.
 3. A round finds the best rank of each segment (a segmented minimum), merges
@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ BLANK = "▁"  # stands for a space
 SHIFT = 21  # bits of a symbol in a pair
 NONE = np.iinfo(np.int32).max  # the rank of a pair that is no piece
 LONG = 1000  # symbols of a segment
-CHUNK = 2_000_000  # characters, or ids, worked on at once
+CHUNK = 1_000_000  # characters, or ids, worked on at once
+KNOWN_WORDS = 300_000  # whose ids a task remembers
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # kinds of pieces
 
 
@@ -208,7 +211,9 @@ def merge_rounds(model: Model, sym: np.ndarray, seg: np.ndarray) -> tuple[np.nda
             merged[take] = into[take]
             new_sym, new_seg = merged[keep], seg[keep]
             here = take - np.arange(len(take))  # the merged symbols' new places
-            around = np.unique(np.concatenate([here, here[here > 0] - 1]))
+            near = np.zeros(len(new_sym), bool)
+            near[here] = near[np.maximum(here - 1, 0)] = True
+            around = np.flatnonzero(near)
             new_rank, new_into = pairs(new_sym, new_seg, around)
             # The pair that stands between two merges that touch.
             touch = np.flatnonzero((take[1:] == take[:-1] + 2) & (seg[take[1:]] == seg[take[:-1]]))
@@ -275,23 +280,42 @@ def encode_words(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray
     return out.astype(np.int32), np.bincount(word, n_bytes, minlength=len(words)).astype(np.int64)
 
 
+class Encoder:
+    """Encodes texts and remembers up to about ``KNOWN_WORDS`` distinct words of earlier ones."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and each text's number of ids."""
+        model = self.model
+        if len(self.number) > KNOWN_WORDS or len(self.flat) > 10 * KNOWN_WORDS:
+            self._forget()
+        before, number = len(self.number), self.number.__getitem__
+        numbers: list[int] = []
+        counts = []
+        for t in texts:
+            # An empty text gets no prefix either.
+            words = model.words.findall(model.prefix + t.replace(" ", BLANK)) if t else ()
+            numbers.extend(map(number, words))
+            counts.append(len(words))
+        flat, sizes = encode_words(model, list(islice(self.number, before, None)))
+        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        own_words, ends = np.array(numbers, np.int64), np.cumsum(np.array(counts, np.int64))
+        own = self.sizes[own_words]
+        total = np.concatenate([[0], np.cumsum(own)])
+        starts = np.cumsum(self.sizes) - self.sizes
+        return self.flat[_ragged(starts[own_words], own)], np.diff(total[np.concatenate([[0], ends])])
+
+
 def encode_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, one behind the other, and each text's number of ids."""
-    known: dict[str, int] = {}
-    number = known.setdefault
-    numbers: list[int] = []
-    counts = []
-    for t in texts:
-        # An empty text gets no prefix either.
-        words = model.words.findall(model.prefix + t.replace(" ", BLANK)) if t else ()
-        numbers.extend([number(w, len(known)) for w in words])
-        counts.append(len(words))
-    flat, sizes = encode_words(model, list(known))
-    numbers_, counts_ = np.array(numbers, np.int64), np.array(counts, np.int64)
-    own = sizes[numbers_]
-    total = np.concatenate([[0], np.cumsum(own)])
-    ends = np.cumsum(counts_)
-    return flat[_ragged((np.cumsum(sizes) - sizes)[numbers_], own)], total[ends] - total[ends - counts_]
+    return Encoder(model)(texts)
 
 
 def _spelled(run: bytes) -> str:
@@ -382,12 +406,12 @@ def encode(spark: SparkSession, text: Column, model_path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = load(shared.value)
+        encoded = Encoder(load(shared.value))
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
             flat, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
             for lo, hi in _chunks(sizes):
-                ids, n = encode_texts(model, [t or "" for t in batch.slice(lo, hi - lo).to_pylist()])
+                ids, n = encoded([t or "" for t in batch.slice(lo, hi - lo).to_pylist()])
                 flat.append(ids), counts.append(n)
             ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
