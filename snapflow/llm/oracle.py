@@ -100,9 +100,42 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed
 FROM d LEFT JOIN k ON d.rid = k.rid
 """
 
+NORM_BUCKET_SEARCH = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents
+), q AS (
+  SELECT row_number() OVER () AS qid, item_id,
+         list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts
+  FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark) x
+), s AS (
+  SELECT count(*) FILTER (len(ts) > 0) AS docs, CAST(sum(len(ts)) AS BIGINT) AS terms FROM d
+), t AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) u GROUP BY rid, term
+), f AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term) c, s
+), m AS (
+  SELECT rid, doc_id, CAST(100 - 90 + (90 * len(ts) * docs) // terms AS BIGINT) AS m FROM d, s WHERE len(ts) > 0
+), p AS (
+  SELECT qid, item_id, rid, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM (SELECT qid, item_id, unnest(ts) AS term FROM q) a JOIN f USING (term) JOIN t USING (term) JOIN m USING (rid)
+  GROUP BY qid, item_id, rid
+), r AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id ASC NULLS LAST) AS INT) AS rank
+  FROM p JOIN m USING (rid) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 LLM_SQL = {
     "op3_arc_to_warc": ARC_TO_WARC,
     "op6_systematic_mix": SYSTEMATIC_MIX,
     "op9_prefix_target_chat": PREFIX_TARGET_CHAT,
     "op10_automaton_substring_dedup": AUTOMATON_SUBSTRING_DEDUP,
+    "op12_norm_bucket_search": NORM_BUCKET_SEARCH,
 }

@@ -15,6 +15,7 @@ from snapflow.llm import (
     line_dedup,
     mixing,
     ngram_lm,
+    norm_buckets,
     sentence_pieces,
     simhash,
     substring_dedup,
@@ -87,6 +88,10 @@ def sentencepiece_round_trip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def norm_bucket_search(spark: SparkSession, d: str) -> DataFrame:
+    return norm_buckets.search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_line_dedup": minhash_line_dedup,
     "op2_spaced_seed_decontamination": spaced_seed_decontamination,
@@ -99,4 +104,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_prefix_target_chat": prefix_target_chat,
     "op10_automaton_substring_dedup": automaton_substring_dedup,
     "op11_sentencepiece_rounds": sentencepiece_round_trip,
+    "op12_norm_bucket_search": norm_bucket_search,
 }
