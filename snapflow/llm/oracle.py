@@ -132,10 +132,47 @@ WITH d AS (
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
 
+MISRA_GRIES_COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         regexp_extract_all(unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+  FROM documents
+), z AS (
+  SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang
+), g AS (
+  SELECT lang, unnest(ws) AS phrase, 1 AS size FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])), 2 FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])), 3 FROM p
+), f AS (
+  SELECT lang, phrase, size, count(*) AS a, string_split(phrase, ' ') AS w FROM g GROUP BY lang, phrase, size HAVING count(*) >= 10
+), k AS (
+  SELECT lang, phrase, size, a, array_to_string(w[1:k], ' ') AS one, array_to_string(w[k + 1:size], ' ') AS two, k
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1) c
+), s AS (
+  SELECT k.lang, k.phrase, k.size, k.a, x.a AS l, y.a AS r, k.k,
+         CAST((1000000::HUGEINT * k.a * k.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.one JOIN f y ON y.lang = k.lang AND y.phrase = k.two
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), o AS (
+  SELECT lang, sub, max(a) AS around FROM (
+    SELECT lang, a, array_to_string(w[1:2], ' ') AS sub FROM f WHERE size = 3
+    UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM f WHERE size = 3
+  ) t GROUP BY lang, sub
+), r AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.sub = b.phrase
+  WHERE o.around IS NULL OR 100 * o.around < 50 * b.a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM r JOIN z USING (lang) WHERE rank <= 2000
+"""
+
 LLM_SQL = {
     "op3_arc_to_warc": ARC_TO_WARC,
     "op6_systematic_mix": SYSTEMATIC_MIX,
     "op9_prefix_target_chat": PREFIX_TARGET_CHAT,
     "op10_automaton_substring_dedup": AUTOMATON_SUBSTRING_DEDUP,
     "op12_norm_bucket_search": NORM_BUCKET_SEARCH,
+    "op13_misra_gries_collocations": MISRA_GRIES_COLLOCATIONS,
 }

@@ -11,6 +11,7 @@ from snapflow.llm import (
     ann,
     arc_warc,
     chat_format,
+    collocations,
     decontaminate,
     line_dedup,
     mixing,
@@ -92,6 +93,10 @@ def norm_bucket_search(spark: SparkSession, d: str) -> DataFrame:
     return norm_buckets.search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
 
 
+def misra_gries_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.mine(table(spark, d, "documents"), least=10, cover_percent=50, top=2000)
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_line_dedup": minhash_line_dedup,
     "op2_spaced_seed_decontamination": spaced_seed_decontamination,
@@ -105,4 +110,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_automaton_substring_dedup": automaton_substring_dedup,
     "op11_sentencepiece_rounds": sentencepiece_round_trip,
     "op12_norm_bucket_search": norm_bucket_search,
+    "op13_misra_gries_collocations": misra_gries_collocations,
 }
