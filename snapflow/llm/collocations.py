@@ -4,20 +4,25 @@ Phrases are two or three words of one piece of a text, counted per language.
 Only phrases with at least ``least`` occurrences are candidates, a small share
 of all that occur:
 
-1. Tasks cut texts into words and count the phrases of a chunk of documents.
-   A phrase is the 64-bit hashes of its words (a word's hash covers its
-   language).  A chunk's counts are a summary from which nothing was taken, so
-   a phrase that a third of all rows hold moves as one row per chunk.
-2. Phrases are dealt out to hash partitions of about ``PARTITION_MASS``
+1. Tasks cut texts into words and count the words, then the pairs, then the
+   triples of a chunk of documents.  A phrase is the 64-bit hashes of its words
+   (a word's hash covers its language).  A chunk's counts are a summary from
+   which nothing was taken, so a phrase that a third of all rows hold moves as
+   one row per chunk.
+2. Pairs with a rare word and triples with a rare pair are left out, as they
+   are rare themselves.  Tasks tell by a filter of ``FILTER_BITS`` bits: its
+   size is fixed, and where it is full it lets rare ones pass, which costs time
+   only.
+3. Phrases are dealt out to hash partitions of about ``PARTITION_MASS``
    occurrences.  Each partition merges the chunks' counts into one Misra-Gries
    summary: beyond its capacity the count of the next largest is taken from
    all.  Its capacity exceeds the partition's mass divided by ``least``, so
    less than ``least`` is taken in all and every candidate survives.  Should
    the hash deal a partition more than its share, its capacity grows before
    that much is taken.
-3. The second pass reads the same exchange again (Spark reuses it), keeps the
+4. The second pass reads the same exchange again (Spark reuses it), keeps the
    survivors' rows and counts them exactly.
-4. Words, the counts of a candidate's parts and the longer candidates around
+5. Words, the counts of a candidate's parts and the longer candidates around
    it are joined by hash.  Products are 38-digit decimals.
 
 Exact but for collisions of 64-bit hashes.
@@ -46,6 +51,7 @@ FOLDED = bytes(
 
 CHUNK_WORDS = 1_000_000
 PARTITION_MASS = 10_000_000  # phrase occurrences of a hash partition, at most about
+FILTER_BITS = 1 << 27  # 16 MB
 GRAM = ["h1", "h2", "h3"]
 
 
@@ -90,25 +96,52 @@ def count_words(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return rows.groupBy("h").agg(F.min("lang").alias("lang"), F.min("word").alias("word"), F.sum("n").alias("n"))
 
 
-def count_chunks(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """``h1, h2, h3, n``: the phrases of each chunk of documents; ``h3`` is 0 for two words."""
-    schema = pa.schema([(c, pa.int64()) for c in [*GRAM, "n"]])
+def phrase_key(parts: list[np.ndarray]) -> np.ndarray:
+    """One hash of the hashes of a phrase's words."""
+    key = mixed(parts[0].view(np.uint64))
+    for p in parts[1:]:
+        key = mixed(key + p.view(np.uint64))
+    return key
+
+
+class Filter:
+    """Bits of the phrases of a table (``GRAM`` columns): ``holds`` is never false for one of them."""
+
+    def __init__(self, phrases: DataFrame) -> None:
+        bits, names = FILTER_BITS, phrases.columns
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                at = phrase_key([c.to_numpy() for c in b.columns]) % np.uint64(bits)
+                columns = [(at >> np.uint64(5)).astype(np.int64), np.left_shift(1, (at & np.uint64(31)).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "bit"])
+
+        rows = phrases.select(*[F.col(c) for c in names]).mapInArrow(place, "place long, bit long")
+        rows = rows.groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()  # FILTER_BITS / 32 rows at most
+        self.words = np.zeros(-(-bits // 32), np.uint32)
+        self.words[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+        self.bits = bits
+
+    def holds(self, parts: list[np.ndarray]) -> np.ndarray:
+        at = phrase_key(parts) % np.uint64(self.bits)
+        return (self.words[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & 1 == 1
+
+
+def count_chunks(docs: DataFrame, size: int, parts: Filter, lang_col: str, text_col: str) -> DataFrame:
+    """``h1, .., n``: the phrases of ``size`` words of each chunk of documents.
+
+    ``parts`` holds the frequent phrases of one word less.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(parts)  # of fixed size
+    names = [*GRAM[:size], "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
         number: dict[str, dict[bytes, int]] = {}
         following = count()
-        hashes: list[int] = []
         sequences: list[np.ndarray] = []
         held = 0
 
-        def numbers_of(lang: str) -> dict[bytes, int]:
-            def fresh(word_numbers=None):
-                return next(following)
-
-            numbers = defaultdict(fresh)
-            numbers.update({b"": -2, b"\n": -1})
-            return numbers
-
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal following, held
             table = np.zeros(next(following), np.uint64)
@@ -116,30 +149,28 @@ def count_chunks(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
                 for w, i in numbers.items():
                     if i >= 0:
                         table[i] = word_hash(lang, w)
-            words = np.concatenate(sequences) if sequences else np.zeros(0, np.int64)
-            number.clear(), hashes.clear(), sequences.clear()
+            words = np.concatenate([*sequences, np.array([-1])])
+            number.clear(), sequences.clear()
             following, held = count(), 0
-            for size in (2, 3):
-                at = np.flatnonzero(np.logical_and.reduce([words[j : len(words) - size + 1 + j] >= 0 for j in range(size)]))
-                if not len(at):
-                    continue
-                parts = [table[words[at + j]] for j in range(size)]
-                key = mixed(parts[0])
-                for p in parts[1:]:
-                    key = mixed(key + p)
+            last = len(words) - size + 1
+            at = np.flatnonzero(np.logical_and.reduce([words[j : last + j] >= 0 for j in range(size)]))
+            for j in range(2):  # both parts one word shorter
+                at = at[frequent.holds([table[words[at + j + i]] for i in range(size - 1)])]
+            if len(at):
+                columns = [table[words[at + j]] for j in range(size)]
+                key = phrase_key(columns)
                 order = np.argsort(key, kind="stable")
                 ordered = key[order]
                 starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
                 first = order[starts]
-                columns = [p[first].view(np.int64) for p in parts] + [np.zeros(len(first), np.int64)] * (3 - size)
-                times = np.diff(starts, append=len(order))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in [*columns, times]], schema=schema)
+                columns = [*(c[first].view(np.int64) for c in columns), np.diff(starts, append=len(order))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
             release()
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 if lang not in number:
-                    number[lang] = numbers_of(lang)
+                    number[lang] = defaultdict(lambda: next(following), {b"": -2, b"\n": -1})
                 own = np.fromiter(map(number[lang].__getitem__, cut(text.as_py())), np.int64)
                 own = own[own > -2]
                 sequences += [own, np.array([-1])]
@@ -148,15 +179,15 @@ def count_chunks(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return _texts(docs, lang_col, text_col).mapInArrow(run, "h1 long not null, h2 long not null, h3 long not null, n long not null")
+    return _texts(docs, lang_col, text_col).mapInArrow(run, ", ".join(f"{c} long not null" for c in names))
 
 
 class Summary:
     """A Misra-Gries summary of weighted keys; ``taken`` is what every count may lack, always below ``least``."""
 
-    def __init__(self, capacity: int, least: int) -> None:
+    def __init__(self, capacity: int, least: int, size: int) -> None:
         self.capacity, self.least, self.taken = capacity, least, 0
-        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros((0, 3), np.int64)
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros((0, size), np.int64)
         self.counts = np.zeros(0, np.int64)
 
     def merge(self, keys: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> None:
@@ -181,12 +212,12 @@ class Summary:
 
 
 def survivors(dealt: DataFrame, least: int) -> DataFrame:
-    """``h1, h2, h3`` of the phrases that may have ``least`` occurrences, by one summary per partition."""
+    """The phrases that may have ``least`` occurrences, by one summary per partition."""
     capacity = PARTITION_MASS // least + 1
-    schema = pa.schema([(c, pa.int64()) for c in GRAM])
+    names = dealt.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary = Summary(capacity, least)
+        summary = Summary(capacity, least, len(names))
         waiting: list[tuple] = []
         held = 0
 
@@ -198,30 +229,30 @@ def survivors(dealt: DataFrame, least: int) -> DataFrame:
             held = 0
 
         for b in batches:
-            h1, h2, h3, n = (b.column(i).to_numpy() for i in range(4))
-            key = mixed(mixed(mixed(h1.view(np.uint64)) + h2.view(np.uint64)) + h3.view(np.uint64))
-            waiting.append((key, np.stack([h1, h2, h3], axis=1), n))
+            *parts, n = (c.to_numpy() for c in b.columns)
+            waiting.append((phrase_key(parts), np.stack(parts, axis=1), n))
             held += len(n)
             if held >= capacity:
                 merge()
         merge()
         rows = summary.survivors()
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, j])) for j in range(3)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names=names)
         release()
 
-    return dealt.mapInArrow(run, "h1 long not null, h2 long not null, h3 long not null")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long not null" for c in names))
 
 
-def frequent(docs: DataFrame, least: int, lang_col: str, text_col: str) -> DataFrame:
-    """``h1, h2, h3, a``: the exact counts of the phrases with at least ``least`` occurrences."""
-    size = docs.agg(F.sum(F.octet_length(col(text_col)))).first()[0] or 0
-    # A word takes two bytes with what follows it, and opens at most two phrases.
+def frequent(docs: DataFrame, size: int, parts: Filter, least: int, lang_col: str, text_col: str) -> DataFrame:
+    """``h1, .., a``: the exact counts of the phrases of ``size`` words with at least ``least`` occurrences."""
+    total = docs.agg(F.sum(F.octet_length(col(text_col)))).first()[0] or 0
+    # A word takes two bytes with what follows it, and opens at most one phrase.
+    enough = -(-total // (2 * PARTITION_MASS))
     # With fewer partitions than the session's the join would deal the rows anew.
-    partitions = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_MASS))
-    dealt = count_chunks(docs, lang_col, text_col).repartition(partitions, *GRAM)
+    partitions = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), enough)
+    dealt = count_chunks(docs, size, parts, lang_col, text_col).repartition(partitions, *GRAM[:size])
     # An inner join (survivors are distinct): a semi join would move below the exchange, which then could not be reused.
-    held = dealt.join(survivors(dealt, least).hint("shuffle_hash"), GRAM)
-    return held.groupBy(*GRAM).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    held = dealt.join(survivors(dealt, least).hint("shuffle_hash"), GRAM[:size])
+    return held.groupBy(*GRAM[:size]).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -251,16 +282,17 @@ def mine(
     * A table without candidates, an empty one too, gives no rows.
     """
     words = written(count_words(docs, lang_col, text_col), "words")
-    found = written(frequent(docs, least, lang_col, text_col), "frequent")
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     known = words.where(F.col("n") >= least)  # every part of a candidate is as frequent
+    pairs = written(frequent(docs, 2, Filter(known.select("h")), least, lang_col, text_col), "pairs")
+    triples = written(frequent(docs, 3, Filter(pairs.select("h1", "h2")), least, lang_col, text_col), "triples")
+    found = pairs.select("h1", "h2", F.lit(0).cast("long").alias("h3"), "a").union(triples)
 
     def word(i: int) -> DataFrame:
         more = [F.col("lang")] if i == 1 else []
         return known.select(F.col("h").alias(f"h{i}"), F.col("word").alias(f"w{i}"), F.col("n").alias(f"n{i}"), *more)
 
     spelled = found.join(word(1), "h1").join(word(2), "h2").join(word(3), "h3", "left")
-    pairs, triples = found.where("h3 = 0"), found.where("h3 != 0")
     named = lambda first, second, c: pairs.select(F.col("h1").alias(first), F.col("h2").alias(second), F.col("a").alias(c))
     inside = triples.select("h1", "h2", "a").union(triples.select("h2", "h3", "a"))
     inside = inside.groupBy("h1", "h2").agg(F.max("a").alias("around")).withColumn("h3", F.lit(0).cast("long"))

@@ -62,9 +62,10 @@ def run(spark, docs, **options):
     return sorted(tuple(r) for r in got.collect())
 
 
-@pytest.mark.parametrize("mass,chunk", [(10_000_000, 1_000_000), (600, 100)])
-def test_equals_brute_force(spark, monkeypatch, mass, chunk):
-    """Once with room for all, once with small chunks and summaries that overflow."""
+@pytest.mark.parametrize("mass,chunk,bits", [(10_000_000, 1_000_000, 1 << 27), (600, 100, 64)])
+def test_equals_brute_force(spark, monkeypatch, mass, chunk, bits):
+    """Once with room for all, once with small chunks, summaries that overflow and a full filter."""
+    monkeypatch.setattr(collocations, "FILTER_BITS", bits)
     monkeypatch.setattr(collocations, "PARTITION_MASS", mass)
     monkeypatch.setattr(collocations, "CHUNK_WORDS", chunk)
     docs = corpus(random.Random(mass), 150)
@@ -90,7 +91,7 @@ def test_summaries_keep_every_frequent_key():
         least = rng.randint(2, 12)
         capacity = sum(stream.values()) // least + 1
         tight = rng.random() < 0.3
-        summary = Summary(max(1, capacity // 6) if tight else capacity, least)
+        summary = Summary(max(1, capacity // 6) if tight else capacity, least, 3)
         for c in chunks:
             keys = np.array(list(c), np.uint64)
             summary.merge(keys, np.stack([keys.astype(np.int64)] * 3, axis=1), np.array(list(c.values())))
@@ -115,7 +116,8 @@ def test_large_products(spark):
 
 def test_exchange_is_read_twice(spark):
     df = spark.createDataFrame([(*d, 0, "p") for d in corpus(random.Random(1), 20)], DOCS)
-    found = collocations.frequent(df, 10, "lang", "text")
+    words = collocations.Filter(collocations.count_words(df, "lang", "text").select("h"))
+    found = collocations.frequent(df, 2, words, 10, "lang", "text")
     found.collect()
     assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
 
