@@ -20,7 +20,7 @@ from snapflow.operators.flatten import flatten_structs
 from snapflow.operators.grouped import count_rows, count_where, grouped_stats
 from snapflow.operators.latest import latest_per_key
 from snapflow.plans import gold, insights
-from snapflow.plans.feeds import bronze_file_listing, conversations_as_runs, events_as_bronze
+from snapflow.plans.feeds import bronze_file_listing, conversations_as_runs, events_as_bronze, with_repeats
 from snapflow.plans.quality import silver_quality_report, silver_violations
 from snapflow.plans.retention import plan_mtime_expiry, plan_partition_expiry
 from snapflow.plans.runlog import run_status, run_status_text, run_step_status
@@ -46,6 +46,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_bronze(table(spark, sf_dir, "events"))
 
 
+def bronze_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_bronze(with_repeats(table(spark, sf_dir, "events")))
+
+
 def silver(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return build_silver(bronze(spark, sf_dir), cfg)
 
@@ -120,7 +124,7 @@ def q_bronze_retention(spark: SparkSession, d: str) -> DataFrame:
 def q_incremental_silver(spark: SparkSession, d: str) -> DataFrame:
     from snapflow.streaming.incremental import replay_incrementally
 
-    return replay_incrementally(spark, bronze(spark, d), files_per_trigger=16)
+    return replay_incrementally(spark, bronze_with_repeats(spark, d), files_per_trigger=16)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +182,7 @@ def q_stored_silver_after_expiry(spark: SparkSession, d: str) -> DataFrame:
     from snapflow.sources.lake import list_files, read_silver
 
     cfg = PipelineConfig(root=scratch_path(spark, "lake"))
-    rows = bronze(spark, d)
+    rows = bronze_with_repeats(spark, d)
     rows.hint("rebalance", "date").write.partitionBy("date").parquet(cfg.bronze_path)
     refresh_silver(spark, cfg)
     expiry = plan_partition_expiry(list_files(spark, cfg.bronze_path), CLEANUP_AT, cfg.bronze_days)
@@ -196,8 +200,8 @@ def _with_silver(fn: Callable[[DataFrame], DataFrame], cfg: PipelineConfig = DEF
 
 
 QUERIES: dict[str, Query] = {
-    "silver": _with_silver(lambda s: s),
-    "silver_hot_key_slices": _with_silver(lambda s: s, SLICED),
+    "silver": lambda spark, d: build_silver(bronze_with_repeats(spark, d), DEFAULT),
+    "silver_hot_key_slices": lambda spark, d: build_silver(bronze_with_repeats(spark, d), SLICED),
     "stations_at_risk": _with_silver(lambda s: gold.stations_at_risk(s, AS_OF)),
     "stations_empty_duration": _with_cleaned(lambda s: gold.stations_empty_duration(s, AS_OF)),
     "district_stats": _with_cleaned(lambda s: gold.district_stats(s, AS_OF)),

@@ -61,6 +61,14 @@ def events_as_bronze(events: DataFrame) -> DataFrame:
     return out  # column names, order and types are those of BRONZE (checked in tests)
 
 
+REPEAT_EVERY = 40
+
+
+def with_repeats(events: DataFrame) -> DataFrame:
+    """The feed as a careless poller delivers it: every 40th record stands twice in its poll."""
+    return events.union(events.where(F.col("event_id") % REPEAT_EVERY == 0))
+
+
 def bronze_file_listing(bronze: DataFrame, prefix: str = "bronze") -> DataFrame:
     """The files a one-file-per-poll writer would have produced for ``bronze``:
     ``<prefix>/date=YYYY-MM-DD/HH-mm-ss.parquet`` stamped with the poll time."""

@@ -38,8 +38,15 @@ def day(silver: DataFrame, as_of) -> DataFrame:
 
 
 def latest_of_day(silver: DataFrame, as_of) -> DataFrame:
-    """Newest snapshot of each station on ``as_of``."""
-    return latest_per_key(day(silver, as_of), ["station_code"], latest_order())
+    """Newest snapshot of each station on ``as_of``.
+
+    Of a snapshot delivered several times the copy that carries the change
+    since the one before counts: the others follow it by no minutes.
+    """
+    order = latest_order()
+    if "minutes_since_last_snapshot" in silver.columns:
+        order.append(F.col("minutes_since_last_snapshot").desc_nulls_first())
+    return latest_per_key(day(silver, as_of), ["station_code"], order)
 
 
 def stations_at_risk(silver: DataFrame, as_of=None, risk_minutes: float = RISK_MINUTES) -> DataFrame:

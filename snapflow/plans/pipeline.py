@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 
 from snapflow.config import GOLD_TABLES, PipelineConfig
 from snapflow.functions.exprs import utc_now
+from snapflow.operators.lag import heavy_keys, key_sketches
 from snapflow.plans import gold as gold_plans
 from snapflow.plans import insights
 from snapflow.plans.quality import gate_silver
 from snapflow.plans.runlog import RunRecorder
 from snapflow.plans.silver import build_silver, build_silver_after
-from snapflow.schemas import GOLD_SCHEMAS, SILVER
+from snapflow.schemas import GOLD_SCHEMAS, POSITIONS, SILVER, SKETCHES, SOURCE_COLUMNS
 from snapflow.sources.lake import bronze_dates, list_files, read_bronze, read_silver
 from snapflow.sources.landing import read_landed_json, to_bronze
 from snapflow.sources.sinks import append_snapshot, stage, write_json
-from snapflow.sources.tables import partitions, publish, read_table
+from snapflow.sources.tables import partitions, publish, read_side, read_table
 
 
 def ingest(
@@ -42,16 +43,27 @@ def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
     """Full rebuild of silver from all bronze, tested on the staged copy, then published.
 
     Days whose bronze has expired keep their silver rows, and serve as
-    predecessors of the rebuilt days: expiry changes no LAG value.
+    predecessors of the rebuilt days: expiry changes no LAG value.  The
+    heavy-hitter sketches of the days, kept with the table, tell the next
+    rebuild which stations to split.  The position table of the merge no
+    longer holds; the next merge makes it anew.
     """
-    bronze, days = read_bronze(spark, cfg.bronze_path), bronze_dates(spark, cfg.bronze_path)
-    silver = build_silver(bronze, cfg)
+    bronze, days = read_bronze(spark, cfg.bronze_path, sources=True), bronze_dates(spark, cfg.bronze_path)
+    sketches = read_side(spark, cfg.silver_path, SKETCHES)
+    hot = heavy_keys(sketches, "station_code") if sketches is not None else None
     if days and any(p < f"date={days[0].isoformat()}" for p in partitions(spark, cfg.silver_path)):
         history = read_silver(spark, cfg.silver_path).where(F.col("date") < F.lit(days[0]))
-        silver = build_silver_after(history, bronze, cfg)
+        silver = build_silver_after(history, bronze, cfg, SOURCE_COLUMNS, hot)
+    else:
+        silver = build_silver(bronze, cfg, SOURCE_COLUMNS, hot)
     staged = stage(silver, cfg.staging_path, partition_by="date", sort_by=["station_code"])
-    report = gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
-    publish(spark, staged, cfg.silver_path, partitioned=True)
+    built = spark.read.schema(SILVER).option("basePath", staged).parquet(staged)
+    report = gate_silver(built)
+    fresh = key_sketches(built, "station_code", ["date"])
+    if sketches is not None:  # days without bronze keep theirs
+        fresh = fresh.unionByName(sketches.join(fresh.select("date"), "date", "left_anti"))
+    side = {SKETCHES: stage(fresh, cfg.staging_path)}
+    publish(spark, staged, cfg.silver_path, partitioned=True, side=side, stale=[POSITIONS])
     return report
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +22,25 @@ TIEBREAK = ("ingested_at",)
 CLEANED_COLUMNS = SILVER_COLUMNS[:17]
 
 
-def position() -> Column:
-    """Sort position of a row under ``ORDER BY last_reported, ingested_at`` (NULLS LAST)."""
-    lr, ing = F.col(TIME_COL), F.col("ingested_at")
-    return F.struct(lr.isNull().alias("a"), lr.alias("b"), ing.isNull().alias("c"), ing.alias("d"))
+def position(of: str = "") -> Column:
+    """Sort position of a row under ``ORDER BY last_reported, ingested_at`` (NULLS LAST), hash as tie-break.
+
+    ``of`` names a struct column that holds the row.
+    """
+    c = (lambda n: F.col(f"{of}.{n}")) if of else F.col
+    lr, ing = c(TIME_COL), c("ingested_at")
+    tie = F.xxhash64(*[c(n) for n in CLEANED_COLUMNS])
+    return F.struct(lr.isNull().alias("a"), lr.alias("b"), ing.isNull().alias("c"), ing.alias("d"), tie.alias("e"))
 
 
 def newest_first() -> list[Column]:
-    """The reverse of ``position``, with the tie-break of ``enrich``."""
+    """The reverse of ``position``."""
     tie = F.xxhash64(*CLEANED_COLUMNS)
     return [F.col(TIME_COL).desc_nulls_first(), F.col("ingested_at").desc_nulls_first(), tie.desc()]
 
 
-def clean(bronze: DataFrame) -> DataFrame:
-    """Keep installed stations with a code, a name and capacity; rename and type."""
+def clean(bronze: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Keep installed stations with a code, a name and capacity; rename and type (``extra`` columns stay)."""
     kept = bronze.where(
         (F.col("is_installed") == "OUI")
         & F.col("stationcode").isNotNull()
@@ -59,14 +66,17 @@ def clean(bronze: DataFrame) -> DataFrame:
         F.col("duedate").cast("timestamp_ntz").alias("last_reported"),
         F.col("ingested_at"),
         F.col("date"),
+        *extra,
     )
 
 
-def enrich(cleaned: DataFrame, cfg: PipelineConfig | None = None, extra: list[str] | None = None) -> DataFrame:
+def enrich(
+    cleaned: DataFrame, cfg: PipelineConfig | None = None, extra: Sequence[str] = (), hot: DataFrame | None = None
+) -> DataFrame:
     """LAG over *all* rows of a station (across days), then change per minute.
 
-    Rows equal in every cleaned column are one row: a record delivered twice,
-    in one file or in two, counts once, in a rebuild and in a merge alike.
+    Every row stays, rows equal in all columns too.  ``hot`` is a kept
+    statistic of the stations with most rows (``operators.lag.heavy_keys``).
     """
     rows_per_slice = cfg.rows_per_slice if cfg else None
     broadcast_max = cfg.broadcast_max_rows if cfg else 1_000_000
@@ -84,31 +94,39 @@ def enrich(cleaned: DataFrame, cfg: PipelineConfig | None = None, extra: list[st
         rows_per_slice=rows_per_slice,
         broadcast_max_rows=broadcast_max,
         tie_cols=CLEANED_COLUMNS,
-        drop_repeats=True,
+        hot=hot,
     )
-    if out.columns == [*SILVER_COLUMNS, *(extra or [])]:
+    if out.columns == [*SILVER_COLUMNS, *extra]:
         return out
-    return out.select(*SILVER_COLUMNS, *(extra or []))
+    return out.select(*SILVER_COLUMNS, *extra)
 
 
-def build_silver(bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
+def build_silver(
+    bronze: DataFrame, cfg: PipelineConfig | None = None, extra: Sequence[str] = (), hot: DataFrame | None = None
+) -> DataFrame:
     """Full silver from every bronze row.  Filter ``date`` only on the result:
     a day's first snapshot takes its predecessor from the day before."""
-    return enrich(clean(bronze), cfg)
+    return enrich(clean(bronze, extra), cfg, extra, hot)
 
 
-def build_silver_after(history: DataFrame, bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
+def build_silver_after(
+    history: DataFrame,
+    bronze: DataFrame,
+    cfg: PipelineConfig | None = None,
+    extra: Sequence[str] = (),
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Silver of the bronze rows when earlier bronze has expired.
 
     ``history`` holds the kept silver rows of the expired days.  They only
     serve as predecessors (four of their columns are read, and of each station
     only rows that can matter); they are not part of the result.
     """
-    new = clean(bronze)
+    new = clean(bronze, extra)
     low = new.groupBy(F.col("station_code").alias("__station")).agg(F.min(position()).alias("__low"))
     kept = history.select(*CLEANED_COLUMNS).join(low, F.col("station_code") == F.col("__station"))
     before = latest_per_key(kept.where(position() < F.col("__low")), ["station_code"], newest_first())
     after = kept.where(position() >= F.col("__low"))
     old = before.select(*CLEANED_COLUMNS).unionByName(after.select(*CLEANED_COLUMNS))
-    both = old.withColumn("__old", F.lit(True)).unionByName(new.withColumn("__old", F.lit(False)))
-    return enrich(both, cfg, extra=["__old"]).where(~F.col("__old")).drop("__old")
+    both = old.withColumn("__old", F.lit(True)).unionByName(new.withColumn("__old", F.lit(False)), allowMissingColumns=True)
+    return enrich(both, cfg, [*extra, "__old"], hot).where(~F.col("__old")).drop("__old")

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapflow.schemas import BRONZE, FILE_LISTING, SILVER
+from snapflow.schemas import BRONZE, FILE_LISTING, SILVER, SOURCE_COLUMNS, STORED_SILVER
 from snapflow.sources.tables import read_table
 
 
@@ -32,17 +32,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def read_bronze(spark: SparkSession, root: str, extra: Sequence[str] = ()) -> DataFrame:
+def source_columns() -> list[Column]:
+    """``SOURCE_COLUMNS`` of a Parquet scan of bronze, batch or stream."""
+    path = F.regexp_extract(F.col("_metadata.file_path"), "(date=[^/]+/.+)$", 1)
+    return [path.alias("__source"), F.col("_metadata.row_index").alias("__row")]
+
+
+def read_bronze(spark: SparkSession, root: str, extra: Sequence[str] = (), sources: bool = False) -> DataFrame:
     """All bronze snapshots under ``root`` (``date=YYYY-MM-DD`` partitions).
 
     Reading the root and filtering ``date`` prunes partitions and works on an
     empty day, where a path glob would fail.  ``extra`` names further columns
-    of the feed, kept as text; snapshots without them give NULL.
+    of the feed, kept as text; snapshots without them give NULL.  With
+    ``sources`` each row says where it comes from.
     """
     schema = T.StructType([*BRONZE.fields, *[T.StructField(n, T.StringType(), True) for n in extra]])
     if not path_exists(spark, root):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(root).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
+        return spark.createDataFrame([], T.StructType([*schema.fields, *[STORED_SILVER[c] for c in SOURCE_COLUMNS if sources]]))
+    scan = spark.read.schema(schema).option("basePath", root).parquet(root)
+    return scan.select(*[F.col(f"`{n}`") for n in schema.fieldNames()], *(source_columns() if sources else []))
 
 
 def bronze_dates(spark: SparkSession, root: str) -> list[dt.date]:
@@ -61,6 +69,11 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, SILVER)
 
 
+def read_stored_silver(spark: SparkSession, root: str) -> DataFrame:
+    """The published silver rows with their sources."""
+    return read_table(spark, root, STORED_SILVER)
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """File listing as a DataFrame: path, modificationTime, length.
 

@@ -3,151 +3,201 @@
 A file-source stream over bronze (``trigger(availableNow=True)``) hands each
 micro-batch of new files to ``merge_batch``:
 
-1. the new rows are cleaned (same filter and projection as the batch build)
-   and staged once;
-2. per touched station ``low`` is its earliest new position (``last_reported``,
-   ``ingested_at``, NULLs last);
-3. from stored silver come the station's rows from ``low`` on and the single
-   row before it (the predecessor that seeds LAG).  For stations whose ``low``
-   is near the newest one the read is bounded by report time, a literal that
-   reaches the Parquet reader.  Stations far behind (a stuck clock, a late
-   file, new or long silent) do not widen that bound: their rows are read by
-   station, which the reader prunes too, since silver files are sorted by it;
-4. LAG is recomputed over these few rows.  A stored row changes only if a new
-   row came in right before it, so the rows to write are the new ones and
-   those stored rows whose derived values differ;
-5. only the ``date`` partitions of the rows to write are rewritten: their other
+1. The new rows are cleaned (same filter and projection as the batch build) and
+   staged once, each with its source: the bronze file and its place in it.
+   Rows of a file that stored silver already holds are left out, so a file is
+   merged exactly once, however often a batch is replayed.  Equal rows of
+   different sources all stay.
+2. Each station's place in time is kept in the position table, a side table of
+   silver with one row per station: ``cur``, its most recently ingested row,
+   and ``next``, the stored row that follows ``cur`` in report time, if any (a
+   fast clock leaves such rows behind).  As long as the new rows fall between
+   the two, the predecessor of the first is ``cur``, the only stored row whose
+   LAG changes is ``next``, and no silver is read to know it.  That holds for
+   clocks that run fast, slow or not at all, from their second report on.
+3. Only for stations whose new rows fall elsewhere (a late file, a clock that
+   has just jumped) the stored rows from the first of them on and the one
+   before it are read, by station; silver files are sorted by it.
+4. LAG is recomputed over these few rows.  The rows to write are the new ones
+   and those stored rows whose derived values differ.
+5. Only the ``date`` partitions of the rows to write are rewritten: their other
    rows are copied through, the result is staged, passed through the silver
-   data tests (the gate), then published.
+   data tests (the gate), then published, and the position table with it.
 
-A row that is stored already, equal in every cleaned column, is not added
-again: a replayed batch or file is a no-op.  The full rebuild applies the same
-rule (``plans.silver.enrich``).
+A full rebuild leaves no position table; the next merge makes it from silver.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapflow.config import PipelineConfig
-from snapflow.functions.exprs import ntz_literal
 from snapflow.operators.latest import latest_per_key
 from snapflow.plans.quality import gate_silver
 from snapflow.plans.silver import CLEANED_COLUMNS, clean, enrich, newest_first, position
-from snapflow.schemas import BRONZE, SILVER, SILVER_COLUMNS
+from snapflow.schemas import BRONZE, POSITIONS, SILVER, SILVER_COLUMNS, SOURCE_COLUMNS, STORED_SILVER
 from snapflow.session import scratch_path
-from snapflow.sources.lake import read_silver
-from snapflow.sources.sinks import remove, stage
-from snapflow.sources.tables import exists, publish
+from snapflow.sources.lake import read_silver, read_stored_silver, source_columns
+from snapflow.sources.sinks import remove, stage, staged_dates
+from snapflow.sources.tables import exists, publish, read_side
 
-# Stations whose earliest new report lies further back than this behind the
-# newest one are read by station; the others by time, this far back.
-LOOKBACK = dt.timedelta(days=1)
 # So many station codes at most become a pushed-down list; more are joined.
 LISTED_STATIONS = 1000
 DERIVED = SILVER_COLUMNS[len(CLEANED_COLUMNS) :]
-CLEANED = T.StructType([SILVER[c] for c in CLEANED_COLUMNS])
+STORED_COLUMNS = [*SILVER_COLUMNS, *SOURCE_COLUMNS]
 SEED, STORED, NEW = 0, 1, 2
 
 
-def _row_id() -> Column:
-    return F.xxhash64(*CLEANED_COLUMNS)
+def _with_sources(bronze: DataFrame) -> DataFrame:
+    """Rows without a source (not read from a file) get one of their own: they are never a replay."""
+    if set(SOURCE_COLUMNS) <= set(bronze.columns):
+        return bronze
+    return bronze.withColumns({"__source": F.lit(f"batch-{uuid.uuid4().hex}"), "__row": F.monotonically_increasing_id()})
+
+
+def _of_days(days: list[dt.date | None]) -> Column:
+    named = F.col("date").isin([d for d in days if d is not None])
+    return named | F.col("date").isNull() if None in days else named
 
 
 def _stage_silver(cfg: PipelineConfig, silver: DataFrame) -> str:
-    return stage(silver.select(*SILVER_COLUMNS), cfg.staging_path, partition_by="date", sort_by=["station_code"])
+    return stage(silver.select(*STORED_COLUMNS), cfg.staging_path, partition_by="date", sort_by=["station_code"])
 
 
-def _publish_tested(spark: SparkSession, cfg: PipelineConfig, staged: str, gate: bool) -> None:
-    """Run the silver data tests on the staged partitions, then publish them.
+def _publish_tested(spark: SparkSession, cfg: PipelineConfig, staged: str, positions: str, gate: bool) -> None:
+    """Run the silver data tests on the staged partitions, then publish them with the position table.
 
     A failing error-severity test raises before anything is published, so the
     stream stops on that batch and stored silver stays as it was.
     """
     if gate:
         gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
-    publish(spark, staged, cfg.silver_path, partitioned=True)
+    publish(spark, staged, cfg.silver_path, partitioned=True, side={POSITIONS: positions})
 
 
 def _around(existing: DataFrame, low: DataFrame) -> DataFrame:
     """Stored rows from each station's ``low`` on, and the one before it, marked in ``__src``."""
-    rows = existing.join(low, "station_code")
-    before = latest_per_key(rows.where(position() < F.col("__low")), ["station_code"], newest_first())
-    after = rows.where(position() >= F.col("__low"))
-    columns = [*SILVER_COLUMNS]
-    return before.select(*columns, F.lit(SEED).alias("__src")).unionByName(after.select(*columns, F.lit(STORED).alias("__src")))
-
-
-def neighbours(spark: SparkSession, cfg: PipelineConfig, new: DataFrame, lookback: dt.timedelta) -> tuple[DataFrame, list[str]]:
-    """The stored rows that matter for a batch (see module doc, 3), and the staging folders they lie in."""
-    existing, lr = read_silver(spark, cfg.silver_path), F.col("last_reported")
-    low = new.groupBy("station_code").agg(F.min(position()).alias("__low"))
-    newest = low.agg(F.max(F.col("__low")["b"])).first()[0]
-    at = F.col("__low")["b"]
-    folders = []
-    near = None
-    far_low = low
-    if newest is not None:
-        current = at >= ntz_literal(newest - lookback)
-        bounded = existing.where((lr >= ntz_literal(newest - 2 * lookback)) | lr.isNull())
-        folders.append(stage(_around(bounded, low.where(current)), cfg.staging_path))
-        near = spark.read.parquet(folders[-1])
-        # No predecessor in the window: it is older, or there is none.
-        found = near.where(F.col("__src") == SEED).select("station_code")
-        far_low = low.join(found, "station_code", "left_anti")
-    listed = [r[0] for r in far_low.select("station_code").limit(LISTED_STATIONS + 1).collect()]
-    if not listed:
-        return near, folders
-    by_station = existing.where(F.col("station_code").isin(listed)) if len(listed) <= LISTED_STATIONS else existing
-    folders.append(stage(_around(by_station, far_low), cfg.staging_path))
-    far = spark.read.parquet(folders[-1])
-    if near is None:
-        return far, folders
-    return near.join(far_low.select("station_code"), "station_code", "left_anti").unionByName(far), folders
-
-
-def merge_batch(
-    spark: SparkSession,
-    cfg: PipelineConfig,
-    new_bronze: DataFrame,
-    lookback: dt.timedelta = LOOKBACK,
-    gate: bool = True,
-) -> list[dt.date | None]:
+    rows = existing.join(low.select("station_code", "low"), "station_code")
+    before = latest_per_key(rows.where(position() < F.col("low")), ["station_code"], newest_first())
+    after = rows.where(position() >= F.col("low"))
+    return _marked(before, SEED).unionByName(_marked(after, STORED))
+
+
+def _marked(rows: DataFrame, src: int) -> DataFrame:
+    return rows.select(*STORED_COLUMNS, F.lit(src).alias("__src"))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """``station_code, cur, cur_pos``: each station's most recently ingested row and its position (``__pos``)."""
+    recent = F.struct(F.col("ingested_at").isNotNull(), "ingested_at", "__pos")
+    return rows.groupBy("station_code").agg(
+        F.max_by(F.struct(*STORED_COLUMNS), recent).alias("cur"), F.max_by("__pos", recent).alias("cur_pos")
+    )
+
+
+def _with_next(cur: DataFrame, rows: DataFrame) -> DataFrame:
+    """Append ``next, next_pos`` from the rows that may follow ``cur``; of one row's versions that with the smallest ``__age``."""
+    above = rows.join(cur.select("station_code", "cur_pos"), "station_code").where(F.col("__pos") > F.col("cur_pos"))
+    first = above.groupBy("station_code").agg(
+        F.min_by(F.struct(*STORED_COLUMNS), F.struct("__pos", "__age")).alias("next"), F.min("__pos").alias("next_pos")
+    )
+    return cur.join(first, "station_code", "left")
+
+
+def positions_of(silver: DataFrame) -> DataFrame:
+    """The position table of whole silver: ``station_code, cur, cur_pos, next, next_pos``."""
+    rows = silver.select(*STORED_COLUMNS, position().alias("__pos"), F.lit(0).alias("__age"))
+    return _with_next(_latest(rows), rows)
+
+
+def _moved(positions: DataFrame, rows: DataFrame) -> DataFrame:
+    """The position table after a merge whose rows (all that were looked at, with ``__pos``) are ``rows``."""
+    new = rows.where(F.col("__src") == NEW)
+    touched = new.select("station_code").distinct()
+    old = positions.join(touched, "station_code", "left_semi")
+    cur = _latest(new.select(*STORED_COLUMNS, "__pos").unionByName(old.select("cur.*", F.col("cur_pos").alias("__pos"))))
+    after = rows.select(*STORED_COLUMNS, "__pos", F.lit(0).alias("__age"))
+    after = after.unionByName(old.where("next is not null").select("next.*", F.col("next_pos").alias("__pos"), F.lit(1).alias("__age")))
+    return positions.join(touched, "station_code", "left_anti").unionByName(_with_next(cur, after))
+
+
+def neighbours(
+    spark: SparkSession, cfg: PipelineConfig, added: DataFrame, positions: DataFrame
+) -> tuple[DataFrame, bool, list[str]]:
+    """The stored rows that matter for new ones (see module doc, 2 and 3), whether they are few, and staging folders."""
+    span = added.groupBy("station_code").agg(
+        F.min("__pos").alias("low"), F.max("__pos").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    placed = span.join(positions, "station_code")
+    between = (F.col("low") > F.col("cur_pos")) & (F.col("next").isNull() | (F.col("high") <= F.col("next_pos")))
+    placed = placed.withColumn("between", between)
+    elsewhere, most = span.join(placed.select("station_code", "between"), "station_code", "left").agg(
+        F.count_if(~F.col("between")), F.max("n")
+    ).first()
+    near = placed.where("between")
+    seeds = _marked(near.select("cur.*"), SEED).unionByName(_marked(near.where("next is not null").select("next.*"), STORED))
+    few = (most or 0) + 2 <= cfg.rows_per_slice
+    if not elsewhere:
+        return seeds, few, []
+    far = placed.where(~F.col("between"))
+    existing = read_stored_silver(spark, cfg.silver_path)
+    if elsewhere <= LISTED_STATIONS:
+        existing = existing.where(F.col("station_code").isin([r[0] for r in far.select("station_code").collect()]))
+    folder = stage(_around(existing, far), cfg.staging_path)
+    return seeds.unionByName(spark.read.parquet(folder)), False, [folder]
+
+
+def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame, gate: bool = True) -> list[dt.date | None]:
     """Merge one batch of bronze rows into stored silver (see module doc).
 
-    Returns the ``date`` partitions that were rewritten.
+    ``new_bronze`` holds whole files (with ``SOURCE_COLUMNS``) or rows of no
+    file.  Returns the ``date`` partitions that were rewritten.
     """
-    npath = stage(clean(new_bronze), cfg.staging_path)
-    new = spark.read.schema(CLEANED).parquet(npath)
-    folders = [npath]
+    cleaned = clean(_with_sources(new_bronze), SOURCE_COLUMNS).withColumn("__pos", position())
+    folders = [stage(cleaned, cfg.staging_path, partition_by="date")]
+    days = staged_dates(spark, folders[0])
+    if not days:  # no row is left after cleaning
+        remove(spark, folders[0])
+        return []
+    new = spark.read.schema(cleaned.schema).option("basePath", folders[0]).parquet(folders[0]).select(*cleaned.columns)
     if not exists(spark, cfg.silver_path):
-        dates = [r[0] for r in new.select("date").distinct().collect()]
-        _publish_tested(spark, cfg, _stage_silver(cfg, enrich(new, cfg)), gate)
-        remove(spark, npath)
-        return dates
-    old, more = neighbours(spark, cfg, new, lookback)
+        staged = _stage_silver(cfg, enrich(new.drop("__pos"), cfg, SOURCE_COLUMNS))
+        built = spark.read.schema(STORED_SILVER).option("basePath", staged).parquet(staged)
+        _publish_tested(spark, cfg, staged, stage(positions_of(built.select(*STORED_COLUMNS)), cfg.staging_path), gate)
+        remove(spark, folders[0])
+        return days
+    positions = read_side(spark, cfg.silver_path, POSITIONS)
+    if positions is None:
+        folders.append(stage(positions_of(read_stored_silver(spark, cfg.silver_path)), cfg.staging_path))
+        positions = spark.read.parquet(folders[-1])
+    stored = read_stored_silver(spark, cfg.silver_path)
+    merged = stored.where(_of_days(days)).select("__source").distinct()  # one row a file
+    added = new.join(merged, "__source", "left_anti")
+    old, few, more = neighbours(spark, cfg, added, positions)
     folders += more
-    added = new.join(old.where(F.col("__src") == STORED).select(_row_id().alias("__id")), _row_id() == F.col("__id"), "left_anti")
     kept_values = F.struct(*DERIVED)
-    rows = old.select(*CLEANED_COLUMNS, "__src", kept_values.alias("__was")).unionByName(
-        added.withColumns({"__src": F.lit(NEW), "__was": F.lit(None).cast(old.select(kept_values.alias("x")).schema["x"].dataType)})
+    was = old.select(kept_values.alias("x")).schema["x"].dataType
+    rows = old.select(*CLEANED_COLUMNS, *SOURCE_COLUMNS, "__src", kept_values.alias("__was")).unionByName(
+        added.drop("__pos").withColumns({"__src": F.lit(NEW), "__was": F.lit(None).cast(was)})
     )
+    # Few rows a station need no look for hot ones.
+    computed = enrich(rows, None if few else cfg, [*SOURCE_COLUMNS, "__src", "__was"])
+    # Written once to staging (lineage ends there; it is read several times below).
+    computed = computed.withColumn("__pos", position())
+    folders.append(stage(computed, cfg.staging_path))
+    computed = spark.read.schema(computed.schema).parquet(folders[-1])
     changed = (F.col("__src") == NEW) | ((F.col("__src") == STORED) & ~F.struct(*DERIVED).eqNullSafe(F.col("__was")))
-    out = enrich(rows, cfg, extra=["__src", "__was"]).where(changed)
-    # Written once to staging (lineage ends there; it is read three times below).
-    folders.append(stage(out, cfg.staging_path))
-    out = spark.read.parquet(folders[-1])
+    out = computed.where(changed)
     dates = [r[0] for r in out.select("date").distinct().collect()]  # a handful
     if dates:
-        days = F.col("date").isin([d for d in dates if d is not None])
-        touched = read_silver(spark, cfg.silver_path).where(days | F.col("date").isNull() if None in dates else days)
-        replaced = out.where(F.col("__src") == STORED).select(_row_id().alias("__id"))
-        kept = touched.join(replaced, _row_id() == F.col("__id"), "left_anti")
-        _publish_tested(spark, cfg, _stage_silver(cfg, kept.unionByName(out.select(*SILVER_COLUMNS))), gate)
+        replaced = out.where(F.col("__src") == STORED).select(*SOURCE_COLUMNS)
+        kept = stored.where(_of_days(dates)).join(replaced, SOURCE_COLUMNS, "left_anti")
+        staged = _stage_silver(cfg, kept.select(*STORED_COLUMNS).unionByName(out.select(*STORED_COLUMNS)))
+        _publish_tested(spark, cfg, staged, stage(_moved(positions, computed), cfg.staging_path), gate)
     for folder in folders:
         remove(spark, folder)
     return dates
@@ -169,7 +219,7 @@ def start_incremental(
     reader = spark.readStream.schema(BRONZE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = reader.parquet(cfg.bronze_path)
+    stream = reader.parquet(cfg.bronze_path).select(*[F.col(f"`{f.name}`") for f in BRONZE.fields], *source_columns())
     query = (
         stream.writeStream.foreachBatch(lambda batch, _id: merge_batch(spark, cfg, batch, gate=gate))
         .option("checkpointLocation", cfg.stream_checkpoint_path)
@@ -194,4 +244,4 @@ def replay_incrementally(spark: SparkSession, bronze: DataFrame, files_per_trigg
     return read_silver(spark, cfg.silver_path)
 
 
-__all__ = ["merge_batch", "neighbours", "replay_incrementally", "start_incremental"]
+__all__ = ["merge_batch", "neighbours", "positions_of", "replay_incrementally", "start_incremental"]

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from snapflow.config import PipelineConfig
 from snapflow.plans import gold
 from snapflow.plans.pipeline import read_gold, read_gold_ordered, refresh_gold, refresh_silver
-from snapflow.plans.silver import build_silver, clean
-from snapflow.schemas import BRONZE
-from snapflow.sources.lake import read_silver
+from snapflow.plans.silver import build_silver, clean, position
+from snapflow.schemas import BRONZE, POSITIONS, SOURCE_COLUMNS
+from snapflow.sources.lake import read_silver, read_stored_silver
 from snapflow.sources.sinks import append_snapshot
-from snapflow.streaming.incremental import merge_batch, neighbours, start_incremental
+from snapflow.sources.tables import read_side
+from snapflow.streaming.incremental import merge_batch, neighbours, positions_of, start_incremental
 
 D, H, DAY = dt.datetime, dt.timedelta(hours=1), dt.timedelta(days=1)
 
@@ -26,6 +27,24 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def merge_file(spark, cfg, name, rows, gate=True):
+    """Merge rows as one bronze file of that name."""
+    at = "date=x/" + name
+    batch = spark.createDataFrame(rows, BRONZE).coalesce(1).withColumns({"__source": F.lit(at), "__row": F.monotonically_increasing_id()})
+    return merge_batch(spark, cfg, batch, gate=gate)
+
+
+def stored_files_read(spark, cfg, batch):
+    """The silver files a merge of ``batch`` looks at to find neighbours."""
+    positions = read_side(spark, cfg.silver_path, POSITIONS)
+    added = clean(spark.createDataFrame(batch, BRONZE).withColumns({"__source": F.lit("n"), "__row": F.lit(0).cast("long")}), SOURCE_COLUMNS).withColumn("__pos", position())
+    rows, _, folders = neighbours(spark, cfg, added, positions)
+    found = rows.count()
+    silver = [f for f in rows.inputFiles() if "/silver/date=" in f]
+    assert not silver  # what was read is staged
+    return found, bool(folders)
+
+
 def land_files(spark, bronze, cfg, groups):
     """Write each group of rows as one bronze file, in the given order (mtime order)."""
     for g in groups:
@@ -49,14 +68,30 @@ def test_stream_equals_batch_with_late_file(spark, golden_bronze, tmp_root):
     assert rows_of(got) == rows_of(build_silver(golden_bronze))
 
 
-def test_replayed_batch_is_a_noop(spark, golden_bronze, tmp_root):
+def test_replayed_file_is_a_noop(spark, golden_bronze, tmp_root):
     cfg = PipelineConfig(root=tmp_root)
-    merge_batch(spark, cfg, golden_bronze)
+    rows = [tuple(r) for r in golden_bronze.collect()]
+    merge_file(spark, cfg, "a", rows[:10])
+    merge_file(spark, cfg, "b", rows[10:])
     first = rows_of(read_silver(spark, cfg.silver_path))
-    merge_batch(spark, cfg, golden_bronze.where(F.col("stationcode") == "A"))
+    assert merge_file(spark, cfg, "a", rows[:10]) == []
     assert rows_of(read_silver(spark, cfg.silver_path)) == first
 
 
+def test_lost_checkpoint_merges_nothing_twice(spark, golden_bronze, tmp_root):
+    """A stream that starts over reads every file again; so does one after a rebuild."""
+    rows = [tuple(r) for r in golden_bronze.collect()]
+    cfg = PipelineConfig(root=tmp_root)
+    land_files(spark, golden_bronze, cfg, [rows[:12], rows[12:]])
+    want = rows_of(build_silver(golden_bronze))
+    refresh_silver(spark, cfg)
+    start_incremental(spark, cfg, files_per_trigger=2)  # new checkpoint, all files known
+    assert rows_of(read_silver(spark, cfg.silver_path)) == want
+    shutil.move(cfg.stream_checkpoint_path, os.path.join(tmp_root, "lost"))
+    start_incremental(spark, cfg)
+    assert rows_of(read_silver(spark, cfg.silver_path)) == want
+
+
 def test_restart_resumes_from_checkpoint(spark, golden_bronze, tmp_root):
     rows = [tuple(r) for r in golden_bronze.collect()]
     cfg = PipelineConfig(root=tmp_root)
@@ -68,19 +103,6 @@ def test_restart_resumes_from_checkpoint(spark, golden_bronze, tmp_root):
     assert os.path.isdir(cfg.stream_checkpoint_path)
 
 
-def test_short_lookback_falls_back_to_full_history(spark, golden_bronze, tmp_root):
-    """With a 1-minute look-back most predecessors lie outside the window; the
-    fallback search over the full history keeps the result exact."""
-    import datetime as dt
-
-    rows = [tuple(r) for r in golden_bronze.collect()]
-    rows.sort(key=lambda r: (r[15], r[0] or ""))
-    cfg = PipelineConfig(root=tmp_root)
-    for chunk in (rows[:8], rows[8:16], rows[16:]):
-        merge_batch(spark, cfg, spark.createDataFrame(chunk, BRONZE), lookback=dt.timedelta(minutes=1))
-    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(golden_bronze))
-
-
 @pytest.mark.parametrize("seed", [11, 12])
 def test_random_splits_equal_rebuild(spark, golden_bronze, tmp_root, seed):
     """Any split of bronze into batches, in any arrival order, with a replayed
@@ -90,10 +112,12 @@ def test_random_splits_equal_rebuild(spark, golden_bronze, tmp_root, seed):
     rnd.shuffle(rows)
     cuts = sorted(rnd.sample(range(1, len(rows)), 2))
     chunks = [rows[: cuts[0]], rows[cuts[0] : cuts[1]], rows[cuts[1] :]]
-    chunks.insert(2, chunks[rnd.randrange(2)])  # a replay of an earlier batch
+    names = ["a", "b", "c"]
+    again = rnd.randrange(2)  # a replay of an earlier file
+    chunks.insert(2, chunks[again]), names.insert(2, names[again])
     cfg = PipelineConfig(root=tmp_root)
-    for chunk in chunks:
-        merge_batch(spark, cfg, spark.createDataFrame(chunk, BRONZE))
+    for name, chunk in zip(names, chunks):
+        merge_file(spark, cfg, name, chunk)
     assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(golden_bronze))
 
 
@@ -102,18 +126,31 @@ def station(code, due, bikes, ingested, name=None):
     return (code, name or code, "Paris", "75056", bikes, bikes, 0, 20 - bikes, 20, "OUI", "OUI", "OUI", 1.0, 2.0, text, ingested, ingested.date())
 
 
-def test_repeated_records_count_once_in_both_paths(spark, tmp_root):
-    """Equal records are one row; records that differ in anything stay, ties included."""
+def test_repeated_records_all_stay_in_both_paths(spark, tmp_root):
+    """Equal records of one poll, or of two files, are as many silver rows, in a rebuild and in a merge."""
     t = D(2024, 5, 2, 8)
-    rows = [station("A", t, 5, t), station("A", t, 5, t), station("A", t, 9, t), station("A", t + H, 7, t + H)]
+    rows = [station("A", t, 5, t), station("A", t, 5, t), station("A", t, 9, t), station("A", t + H, 7, t + H), station("A", t - H, 4, t)]
+    rows += [station("A", t + H, 7, t + H), station("A", t, 5, t)]
     full = build_silver(spark.createDataFrame(rows, BRONZE))
-    assert full.count() == 3
+    assert full.count() == len(rows)
     cfg = PipelineConfig(root=tmp_root)
-    for chunk in (rows[:1], rows[1:3], rows[2:]):
-        merge_batch(spark, cfg, spark.createDataFrame(chunk, BRONZE))
+    for name, chunk in zip("abcde", (rows[:2], rows[2:4], rows[4:5], rows[5:6], rows[6:])):
+        merge_file(spark, cfg, name, chunk)
+        merge_file(spark, cfg, name, chunk)
     assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(full)
 
 
+def test_row_before_two_equal_rows_keeps_both(spark, tmp_root):
+    """One of two rows equal in every silver column changes; the other stays."""
+    t = D(2024, 5, 2, 8)
+    rows = [station("A", t, 5, t - H), station("A", t, 5, t), station("A", t, 5, t)]
+    late = station("A", t, 8, t - H / 2)
+    cfg = PipelineConfig(root=tmp_root)
+    merge_file(spark, cfg, "a", rows)
+    merge_file(spark, cfg, "b", [late])
+    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame([*rows, late], BRONZE)))
+
+
 def test_late_row_rewrites_two_days_at_most(spark, tmp_root):
     start = D(2024, 5, 1, 12)
     rows = [station(c, start + k * DAY, 10 - k % 3, start + k * DAY) for k in range(20) for c in ("A", "B")]
@@ -125,20 +162,54 @@ def test_late_row_rewrites_two_days_at_most(spark, tmp_root):
     assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame([*rows, late], BRONZE)))
 
 
-def test_stuck_clock_does_not_widen_the_read(spark, tmp_root):
+@pytest.mark.parametrize("days", [6, 18])
+def test_odd_clocks_read_no_stored_files(spark, tmp_root, days):
+    """One station 75 years ahead, one stuck in 2018, one silent for long, one new: whatever the
+    length of the history, their next reports look at no silver file."""
     start, old = D(2024, 5, 1, 12), D(2018, 1, 1)
-    codes = [f"s{i}" for i in range(8)]
-    rows = [station(c, start + k * DAY, 9, start + k * DAY) for k in range(20) for c in codes]
-    rows += [station("stuck", old, 4 + k % 2, start + k * DAY) for k in range(20)]
+    codes = [f"s{i}" for i in range(6)]
+    rows = [station(c, start + k * DAY, 9, start + k * DAY) for k in range(days) for c in codes]
+    rows += [station("stuck", old, 4 + k % 2, start + k * DAY) for k in range(days)]
+    rows += [station("fast", (start + k * DAY).replace(year=2099 if k % 3 == 1 else 2024), 3 + k % 4, start + k * DAY) for k in range(days)]
+    rows += [station("silent", start, 2, start)]
     cfg = PipelineConfig(root=tmp_root)
     merge_batch(spark, cfg, spark.createDataFrame(rows, BRONZE))
-    now = start + 20 * DAY
-    batch = [station(c, now, 8, now) for c in codes] + [station("stuck", old, 6, now)]
-    new = clean(spark.createDataFrame(batch, BRONZE))
-    held, _ = neighbours(spark, cfg, new, dt.timedelta(days=1))
-    assert held.count() == len(codes) + 1  # one predecessor each
-    merge_batch(spark, cfg, spark.createDataFrame(batch, BRONZE))
-    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame(rows + batch, BRONZE)))
+    every = list(rows)
+    for turn in range(3):
+        now = start + days * DAY + turn * H
+        batch = [station(c, now, 8 - turn, now) for c in codes]
+        batch += [station("stuck", old, 6 + turn, now), station("fast", now, 5 + turn, now), station("silent", now, 4, now), station(f"new{turn}", now, 1, now)]
+        found, read = stored_files_read(spark, cfg, batch)
+        if turn:  # on the first the clock of "fast" may just have jumped back
+            assert not read
+        merge_file(spark, cfg, f"t{turn}", batch)
+        every += batch
+        assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame(every, BRONZE)))
+        assert found <= 2 * (len(codes) + 4) or not turn
+    held = read_side(spark, cfg.silver_path, POSITIONS)
+    assert held.count() == len(codes) + 6
+    assert rows_of(held) == rows_of(positions_of(read_stored_silver(spark, cfg.silver_path)))
+
+
+def test_position_table_follows_late_files(spark, tmp_root):
+    """Random report times, late files and repeats: the kept table equals one made from scratch."""
+    rnd = random.Random(6)
+    cfg = PipelineConfig(root=tmp_root)
+    every = []
+    for turn in range(5):
+        now = D(2024, 5, 1, 12) + turn * H
+        batch = [
+            station(c, None if rnd.random() < 0.1 else now + rnd.choice([0, 0, -3, 3, -9]) * H, rnd.randrange(9), now - rnd.choice([0, 0, 5]) * H)
+            for c in "ABCD" for _ in range(rnd.randint(0, 2))
+        ]
+        batch += rnd.sample(every, min(2, len(every)))
+        every += batch
+        if batch:
+            merge_file(spark, cfg, f"t{turn}", batch, gate=False)  # NULL report times
+    assert rows_of(read_silver(spark, cfg.silver_path)) == rows_of(build_silver(spark.createDataFrame(every, BRONZE)))
+    columns = ["station_code", *[F.col(f"{p}.{c}").alias(f"{p}_{c}") for p in ("cur", "next") for c in ("last_reported", "ingested_at", "bikes_available")]]
+    held = read_side(spark, cfg.silver_path, POSITIONS).select(*columns)
+    assert rows_of(held) == rows_of(positions_of(read_stored_silver(spark, cfg.silver_path)).select(*columns))
 
 
 def test_backlog_is_drained_in_capped_batches(spark, golden_bronze, tmp_root):

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapflow.operators.lag import hot_keys, sliced, with_lag
+from snapflow.operators.lag import heavy_keys, hot_keys, key_sketches, ranges, with_lag
 
 SCHEMA = "k string, t timestamp_ntz, tb long, v long"
 
@@ -78,14 +78,15 @@ def test_hot_key_spread_over_tasks(spark):
 
 
 def test_slices_stay_even_on_uneven_times(spark):
-    """One outlier time, many equal times and many NULL times: no slice above twice the aim."""
+    """One outlier time, many equal times and many NULL times: no range above twice its share."""
     base = dt.datetime(2024, 1, 1)
     rows = [("hot", base + dt.timedelta(seconds=i), i, i) for i in range(6000)]
     rows += [("hot", dt.datetime(2014, 1, 1), 6000, 0)]
     rows += [("hot", base, 7000 + i, i) for i in range(3000)] + [("hot", None, 10_000 + i, i) for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    parts = sliced(df, ["k"], ["t", "tb"], len(rows), 1000)
-    assert max(r["count"] for r in parts.groupBy("__s").count().collect()) <= 2000
+    parts = ranges(df, ["k"], ["t", "tb"], len(rows), 1000)
+    sizes = [r["count"] for r in parts.groupBy("__s").count().collect()]
+    assert max(sizes) <= 2 * len(rows) / 8 and len(sizes) <= 8
     got = with_lag(df, ["k"], ["t", "tb"], ["v", "t"], rows_per_slice=1000)
     assert {(r.k, r.tb): (r.prev_v, r.prev_t) for r in got.collect()} == brute_lag(rows)
 
@@ -101,3 +102,27 @@ def test_full_ties_are_ordered_alike_in_both_forms(spark):
 def test_no_cached_tables_stay_behind(spark):
     with_lag(spark.createDataFrame(make_rows(5), SCHEMA), ["k"], ["t", "tb"], ["v"], rows_per_slice=20).count()
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_never_more_ranges_than_shuffle_partitions(spark):
+    """A tiny slice size asks for thousands of slices; they share the session's partitions."""
+    rows = [(f"k{i % 3}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    parts = ranges(df, ["k"], ["t", "tb"], len(rows), 1)
+    assert len(parts.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = with_lag(df, ["k"], ["t", "tb"], ["v", "t"], rows_per_slice=1)
+    assert {(r.k, r.tb): (r.prev_v, r.prev_t) for r in got.collect()} == brute_lag(rows)
+
+
+def test_kept_statistic_in_place_of_the_count(spark):
+    """Sketches per day, merged, name the hot keys; a wrong statistic changes no value."""
+    rows = make_rows(21, 900)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("day", F.to_date("t"))
+    sketches = key_sketches(df, "k", ["day"])
+    assert sketches.count() == 4  # three days and the rows without a time
+    heavy = heavy_keys(sketches, "k")
+    assert {r["k"]: r["__n"] for r in heavy.where("__n > 100").collect()} == {"hot": sum(r[0] == "hot" for r in rows)}
+    wrong = spark.createDataFrame([("k1", 10**9), ("nobody", 10**9)], "k string, __n long")
+    for hot in (heavy, wrong, heavy.limit(0)):
+        got = with_lag(df.drop("day"), ["k"], ["t", "tb"], ["v", "t"], rows_per_slice=100, hot=hot)
+        assert {(r.k, r.tb): (r.prev_v, r.prev_t) for r in got.collect()} == brute_lag(rows)
