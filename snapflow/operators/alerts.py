@@ -53,7 +53,7 @@ def time_since_last(
     """
     keys = list(keys)
     shown = [c for c in output_cols if c not in keys]
-    order = F.struct(*[F.col(c) for c in latest_by], *[F.col(c) for c in shown])
+    order = F.struct(*[F.col(c) for c in latest_by], *[F.col(c) for c in shown], current_when.alias("__current"))
     latest = F.struct(*[F.col(c) for c in shown], F.col(time_col).alias("__t"), current_when.alias("__current"))
     per_key = rows.groupBy(*keys).agg(
         F.max(F.when(seen_when, F.col(time_col))).alias(seen_col), F.max_by(latest, order).alias("__latest")

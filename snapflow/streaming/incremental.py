@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,15 +70,31 @@ def _stage_silver(cfg: PipelineConfig, silver: DataFrame) -> str:
     return stage(silver.select(*STORED_COLUMNS), cfg.staging_path, partition_by="date", sort_by=["station_code"])
 
 
-def _publish_tested(spark: SparkSession, cfg: PipelineConfig, staged: str, positions: str, gate: bool) -> None:
-    """Run the silver data tests on the staged partitions, then publish them with the position table.
+def _publish_tested(
+    spark: SparkSession, cfg: PipelineConfig, write: Callable[[], str], positions: Callable[[], DataFrame], gate: bool
+) -> None:
+    """Stage silver (``write``), run its data tests on the staged partitions, publish them with the position table.
 
-    A failing error-severity test raises before anything is published, so the
-    stream stops on that batch and stored silver stays as it was.
+    The position table is staged beside the tests, by a second thread: both
+    are small jobs.  A failing error-severity test raises before anything is
+    published, so the stream stops on that batch and stored silver stays as it
+    was.
     """
-    if gate:
-        gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
-    publish(spark, staged, cfg.silver_path, partitioned=True, side={POSITIONS: positions})
+
+    def tested() -> str:
+        staged = write()
+        if gate:
+            gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
+        return staged
+
+    with ThreadPoolExecutor(1) as other:
+        side = other.submit(lambda: stage(positions(), cfg.staging_path))
+        try:
+            staged = tested()
+        except BaseException:
+            remove(spark, side.result())
+            raise
+        publish(spark, staged, cfg.silver_path, partitioned=True, side={POSITIONS: side.result()})
 
 
 def _around(existing: DataFrame, low: DataFrame) -> DataFrame:
@@ -148,7 +166,8 @@ def neighbours(
     if elsewhere <= LISTED_STATIONS:
         existing = existing.where(F.col("station_code").isin([r[0] for r in far.select("station_code").collect()]))
     folder = stage(_around(existing, far), cfg.staging_path)
-    return seeds.unionByName(spark.read.parquet(folder)), False, [folder]
+    found = spark.read.parquet(folder)
+    return seeds.unionByName(found), few and found.count() + most <= cfg.rows_per_slice, [folder]
 
 
 def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame, gate: bool = True) -> list[dt.date | None]:
@@ -167,7 +186,7 @@ def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame,
     if not exists(spark, cfg.silver_path):
         staged = _stage_silver(cfg, enrich(new.drop("__pos"), cfg, SOURCE_COLUMNS))
         built = spark.read.schema(STORED_SILVER).option("basePath", staged).parquet(staged)
-        _publish_tested(spark, cfg, staged, stage(positions_of(built.select(*STORED_COLUMNS)), cfg.staging_path), gate)
+        _publish_tested(spark, cfg, lambda: staged, lambda: positions_of(built), gate)
         remove(spark, folders[0])
         return days
     positions = read_side(spark, cfg.silver_path, POSITIONS)
@@ -196,8 +215,8 @@ def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame,
     if dates:
         replaced = out.where(F.col("__src") == STORED).select(*SOURCE_COLUMNS)
         kept = stored.where(_of_days(dates)).join(replaced, SOURCE_COLUMNS, "left_anti")
-        staged = _stage_silver(cfg, kept.select(*STORED_COLUMNS).unionByName(out.select(*STORED_COLUMNS)))
-        _publish_tested(spark, cfg, staged, stage(_moved(positions, computed), cfg.staging_path), gate)
+        rows = kept.select(*STORED_COLUMNS).unionByName(out.select(*STORED_COLUMNS))
+        _publish_tested(spark, cfg, lambda: _stage_silver(cfg, rows), lambda: _moved(positions, computed), gate)
     for folder in folders:
         remove(spark, folder)
     return dates
