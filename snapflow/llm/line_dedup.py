@@ -10,13 +10,18 @@ union-find joins the verified links.
 The result is that of all pairs of every bucket.  First every line of a bucket
 is compared with a leader, and the lines left out choose a leader among
 themselves while leaders take a fair part of their bucket: this joins large
-families with one pair per line.  Then all pairs of a bucket that are in
-different components are compared, block by block, so no task holds a bucket.
-Pairs whose set sizes rule the similarity out are not verified.  A bucket of
-many lines that are not similar costs all its pairs.
+families with one pair per line.  Then the pairs of a bucket that are in
+different components are looked at, block by block, so no task holds a bucket.
+
+Before any text is read for a pair, two exact bounds are asked: the set sizes,
+and the parity bits of the sets.  Each shingle flips one of ``64 * WORDS`` bits
+of its line, so two lines differ in at least as many shingles as bits, and a
+similarity of 0.8 allows a ninth of both sets to differ.  Lines of one template
+that differ in more than that never leave the join: only the few words of a
+block's pairs are compared for them, and its rows grow with the lines.
 
 Of each component, exact copies included, the first line by (doc_id, line
-number) stays.
+number, text hash) stays.
 
 Everything is a DataFrame expression.  The text is shuffled once, to find the
 distinct lines; later steps move line ids (64-bit hashes).
@@ -31,7 +36,9 @@ from snapflow.llm.common import col, written
 from snapflow.llm.components import connected_components
 
 
-BROADCAST_ROWS = 1_000_000  # of two or three numbers each
+BROADCAST_ROWS = 250_000  # of one or two numbers each
+WORDS = 4  # of 64 parity bits
+MEASURES = ["n", *[f"p{k}" for k in range(WORDS)]]  # size and parity bits of a line's set
 BLOCK = 64  # lines of a bucket per block
 FAIR = 8  # a leader that takes less than 1/FAIR of its bucket is the bucket's last
 
@@ -96,22 +103,39 @@ def verified(pairs: DataFrame, lines: DataFrame, size: int, similarity: float) -
     return sets.where(F.col("shared") >= F.lit(similarity) * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
 
 
+def measures(texts: DataFrame, size: int) -> DataFrame:
+    """``id`` and ``MEASURES`` of the lines in ``texts`` (``id, wide``); the shingles are combined where they are made."""
+    each = texts.select("id", F.explode(_shingle_set("wide", size)).alias("h"))
+    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(WORDS - 1)
+    parity = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(WORDS)]
+    return each.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("n"), *parity)
+
+
+def possible(x: str, y: str, similarity: float) -> Column:
+    """False only if the measures of two lines (columns with these prefixes) rule the similarity out."""
+    own = lambda side, c: F.col(f"{side}{c}")
+    nx, ny = own(x, "n"), own(y, "n")
+    differing = sum((F.bit_count(own(x, f"p{k}").bitwiseXOR(own(y, f"p{k}"))) for k in range(WORDS)), F.lit(0))
+    allowed = F.lit((1 - similarity) / (1 + similarity)) * (nx + ny) + F.lit(1e-6)
+    return (F.least(nx, ny) >= F.lit(similarity) * F.greatest(nx, ny)) & (differing <= allowed)
+
+
 def open_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: the pairs of each bucket that are in different parts and whose set sizes allow the similarity.
+    """``a, b``: the pairs of each bucket that are in different parts and whose measures allow the similarity.
 
-    ``members``: ``band, id, part, n``.  A bucket is cut into blocks and every two blocks meet under a key of their own.
+    ``members``: ``band, id, part`` and ``MEASURES``.  A bucket is cut into blocks and every two blocks meet under a
+    key of their own.
     """
     buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("lines"), F.min("part").alias("p"), F.max("part").alias("q"))
     buckets = buckets.where("p != q").select("band", F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks"))
     placed = members.join(buckets, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    side = lambda i: [F.col(c).alias(f"{c}_{i}") for c in ("id", "part", "n")]
-    x = placed.select("band", *side("x"), F.col("block").alias("u"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("v"))
-    y = placed.select("band", *side("y"), F.explode(F.sequence(F.lit(0), "block")).alias("u"), F.col("block").alias("v"))
-    once = F.expr("part_x != part_y and (u < v or id_x < id_y)")
-    # The similarity is at most the smaller set's size by the larger's.
-    possible = F.least("n_x", "n_y") >= F.lit(similarity) * F.greatest("n_x", "n_y")
-    pairs = x.join(y, ["band", "u", "v"]).where(once & possible)
-    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+    side = lambda i: [F.col(c).alias(f"{i}{c}") for c in ("id", "part", *MEASURES)]
+    x = placed.select("band", *side("x_"), F.col("block").alias("u"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("v"))
+    y = placed.select("band", *side("y_"), F.explode(F.sequence(F.lit(0), "block")).alias("u"), F.col("block").alias("v"))
+    once = F.expr("x_part != y_part and (u < v or x_id < y_id)")
+    pairs = x.join(y, ["band", "u", "v"]).where(once & possible("x_", "y_", similarity))
+    return pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
 
 def similar_lines(
@@ -128,17 +152,20 @@ def similar_lines(
     ids = written(shared.select("id").distinct(), "candidate-ids")
     candidates = lines.join(_small(ids), "id", "left_semi")
     texts = candidates.groupBy("id").agg(F.min("line").alias("line")).select("id", _wide(F.col("line")).alias("wide"))
-    texts = written(texts.withColumn("n", F.size(_shingle_set("wide", size))), "candidates")
+    texts = written(texts, "candidates")
+    members = written(shared.join(measures(texts, size), "id"), "members")  # band, id and measures
 
-    open_, links, compared = shared, None, None
+    open_, links, compared = members, None, None
     turn = 0
     while True:
         # Every bucket has an order of its own: a line that shares several buckets meets several leaders.
         order = F.xxhash64(F.col("band"), F.lit(turn), F.col("id"))
-        leaders = open_.groupBy("band").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("leader"))).alias("first"))
-        led = open_.join(leaders.select("band", "first.leader"), "band").where("id != leader")
-        led = written(led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")}), "led")
-        pairs = led.select("a", "b").distinct()
+        leaders = open_.groupBy("band").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("leader"), *MEASURES)).alias("first"))
+        leaders = leaders.select("band", "first.leader", *[F.col(f"first.{m}").alias(f"l_{m}") for m in MEASURES])
+        led = open_.join(leaders, "band").where("id != leader")
+        led = led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader"), "maybe": possible("", "l_", similarity)})
+        led = written(led.drop("leader", *[f"l_{m}" for m in MEASURES]), "led")
+        pairs = led.where("maybe").select("a", "b").distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -150,15 +177,15 @@ def similar_lines(
         out = led.join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
         fair = out.groupBy("band").agg(F.count(F.lit(1)).alias("all"), F.count("linked").alias("taken"))
         fair = fair.where((F.col("taken") * FAIR >= F.col("all")) & (F.col("all") - F.col("taken") > FAIR)).select("band")
-        open_ = written(out.where("linked is null").join(fair, "band", "left_semi").select("band", "id"), "left-out")
+        open_ = written(out.where("linked is null").join(fair, "band", "left_semi").select("band", "id", *MEASURES), "left-out")
         if open_.isEmpty():
             break
         turn += 1
 
     parts = written(connected_components(links), "parts")
-    members = shared.join(texts.select("id", "n"), "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
-    members = written(members.select("band", "id", F.coalesce("component", "id").alias("part"), "n"), "members")
-    pairs = written(open_pairs(members, similarity).join(compared, ["a", "b"], "left_anti"), "open-pairs")
+    placed = members.join(parts.withColumnRenamed("node", "id"), "id", "left")
+    placed = written(placed.select("band", "id", F.coalesce("component", "id").alias("part"), *MEASURES), "placed")
+    pairs = written(open_pairs(placed, similarity).join(compared, ["a", "b"], "left_anti"), "open-pairs")
     found = written(verified(pairs, texts, size, similarity), "open-links")
     if found.isEmpty():
         return parts
@@ -171,7 +198,7 @@ def line_verdicts(
     *,
     size: int = 8,
     similarity: float = 0.8,
-    bands: int = 8,
+    bands: int = 10,
     rows: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -180,7 +207,7 @@ def line_verdicts(
     found = occurrences(docs, id_col, text_col)
     # One shuffle of the text: distinct lines, and on the same partitioning their band keys.
     distinct = found.groupBy("id").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("line").alias("line")
+        F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("line").alias("line")
     )
     keyed = distinct.select("id", "first", "n").join(band_keys(distinct.select("id", "line"), size, bands, rows), "id", "left")
     lines = written(keyed, "lines")
@@ -194,14 +221,14 @@ def line_verdicts(
     kept = grouped.groupBy("part").agg(F.min("first").alias("kept"))
     verdict = grouped.join(kept, "part").select("id", "kept")
     where = found.select("doc_id", "text_hash", "line_no", "id").join(verdict, "id")
-    gone = where.where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("kept")))
+    gone = where.where(~F.struct("doc_id", "line_no", "text_hash").eqNullSafe(F.col("kept")))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 
 def _with_verdicts(docs: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
     verdicts = written(line_verdicts(docs, id_col=id_col, text_col=text_col, **options), "line-verdicts")
     figures = verdicts.agg(F.count(F.lit(1)), F.sum(F.size("removed"))).first()
-    few = figures[0] + (figures[1] or 0) <= 4 * BROADCAST_ROWS  # single numbers
+    few = figures[0] + (figures[1] or 0) <= 4 * BROADCAST_ROWS  # single numbers, up to a few MB
     verdicts = F.broadcast(verdicts) if few else verdicts
     named = verdicts.select(F.col("doc_id").alias("_llm_id"), F.col("text_hash").alias("_llm_hash"), F.col("removed").alias("_llm_removed"))
     same = (F.xxhash64(col(text_col)) == F.col("_llm_hash")) & col(id_col).eqNullSafe(F.col("_llm_id"))
@@ -212,11 +239,12 @@ def dedup_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """One row per document: ``doc_id, n_lines, n_removed, removed`` (line numbers from 0, ascending).
 
     * Of similar lines, exact copies included, the one with the smallest
-      (doc_id, line number) stays; a NULL doc_id is smallest.
+      (doc_id, line number) stays; a NULL doc_id is smallest.  Where one doc_id
+      has several texts the text's hash decides between them.
     * Blank lines are neither compared nor removed; lines shorter than a
       shingle are compared exactly.  A NULL text has no lines, an empty one a
       blank line.
-    * Rows repeated under one doc_id stand for one document: both keep what
+    * Rows of one doc_id and one text stand for one document: both keep what
       the first occurrence keeps.  Other columns are not read.
     * An empty table gives no rows.
     """
