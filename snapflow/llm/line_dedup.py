@@ -37,7 +37,7 @@ from snapflow.llm.components import connected_components
 
 
 BROADCAST_ROWS = 250_000  # of one or two numbers each
-WORDS = 4  # of 64 parity bits
+WORDS = 16  # of 64 parity bits
 MEASURES = ["n", *[f"p{k}" for k in range(WORDS)]]  # size and parity bits of a line's set
 BLOCK = 64  # lines of a bucket per block
 FAIR = 8  # a leader that takes less than 1/FAIR of its bucket is the bucket's last
@@ -47,12 +47,10 @@ def _wide(line: Column) -> Column:
     return F.encode(line, "UTF-16BE")
 
 
-def _shingle_set(wide: str, size: int) -> Column:
-    """The set of hashes of a line's shingles; ``wide`` is a stored column, so each slice costs the same."""
+def _shingles(wide: str, size: int) -> Column:
+    """The hashes of a line's shingles; ``wide`` is a stored column, so each slice costs the same."""
     last = (F.length(wide) / 2).cast("int") - size
-    return F.array_distinct(
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(F.col(wide), i * 2 + 1, F.lit(2 * size))))
-    )
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(F.col(wide), i * 2 + 1, F.lit(2 * size))))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -92,20 +90,18 @@ def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, lines: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` of line ids whose shingle sets are similar enough.  ``lines``: ``id, wide``."""
+    """The pairs ``a, b`` of line ids whose shingle sets, of ``na`` and ``nb``, are similar enough.  ``lines``: ``id, wide``."""
     text = lambda name: lines.select(F.col("id").alias(name), F.col("wide").alias(f"{name}_wide"))
     both = pairs.join(text("a"), "a").join(text("b"), "b")
-    sets = F.struct(_shingle_set("a_wide", size).alias("x"), _shingle_set("b_wide", size).alias("y"))
-    # Generated, so that each set is made once however often it is used below.
-    sets = both.select("a", "b", F.explode(F.array(sets)).alias("s")).select(
-        "a", "b", F.size("s.x").alias("nx"), F.size("s.y").alias("ny"), F.size(F.array_intersect("s.x", "s.y")).alias("shared")
-    )
-    return sets.where(F.col("shared") >= F.lit(similarity) * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
+    shared = F.size(F.array_intersect(_shingles("a_wide", size), _shingles("b_wide", size)))
+    # Generated, so that it is made once however often it is used below.
+    sets = both.select("a", "b", "na", "nb", F.explode(F.array(shared)).alias("shared"))
+    return sets.where(F.col("shared") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
 def measures(texts: DataFrame, size: int) -> DataFrame:
     """``id`` and ``MEASURES`` of the lines in ``texts`` (``id, wide``); the shingles are combined where they are made."""
-    each = texts.select("id", F.explode(_shingle_set("wide", size)).alias("h"))
+    each = texts.select("id", F.explode(F.array_distinct(_shingles("wide", size))).alias("h"))
     bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
     word = F.shiftrightunsigned("h", 6).bitwiseAND(WORDS - 1)
     parity = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(WORDS)]
@@ -122,7 +118,7 @@ def possible(x: str, y: str, similarity: float) -> Column:
 
 
 def open_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: the pairs of each bucket that are in different parts and whose measures allow the similarity.
+    """``a, b, na, nb``: the pairs of each bucket that are in different parts and whose measures allow the similarity.
 
     ``members``: ``band, id, part`` and ``MEASURES``.  A bucket is cut into blocks and every two blocks meet under a
     key of their own.
@@ -135,7 +131,14 @@ def open_pairs(members: DataFrame, similarity: float) -> DataFrame:
     y = placed.select("band", *side("y_"), F.explode(F.sequence(F.lit(0), "block")).alias("u"), F.col("block").alias("v"))
     once = F.expr("x_part != y_part and (u < v or x_id < y_id)")
     pairs = x.join(y, ["band", "u", "v"]).where(once & possible("x_", "y_", similarity))
-    return pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
+    return _ordered(pairs, "x_id", "y_id", "x_n", "y_n").distinct()
+
+
+def _ordered(pairs: DataFrame, x: str, y: str, nx: str, ny: str) -> DataFrame:
+    """``a, b, na, nb``: the smaller id first."""
+    turned = F.col(x) > F.col(y)
+    pick = lambda first, second: F.when(turned, F.col(second)).otherwise(F.col(first))
+    return pairs.select(pick(x, y).alias("a"), pick(y, x).alias("b"), pick(nx, ny).alias("na"), pick(ny, nx).alias("nb"))
 
 
 def similar_lines(
@@ -164,14 +167,15 @@ def similar_lines(
         leaders = leaders.select("band", "first.leader", *[F.col(f"first.{m}").alias(f"l_{m}") for m in MEASURES])
         led = open_.join(leaders, "band").where("id != leader")
         led = led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader"), "maybe": possible("", "l_", similarity)})
-        led = written(led.drop("leader", *[f"l_{m}" for m in MEASURES]), "led")
-        pairs = led.where("maybe").select("a", "b").distinct()
+        led = written(led.drop(*[f"l_p{k}" for k in range(WORDS)]), "led")
+        pairs = _ordered(led.where("maybe"), "id", "leader", "n", "l_n").distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, texts, size, similarity), "links")
         # One table each, whatever the number of rounds.
-        compared = pairs if compared is None else written(compared.union(pairs).distinct(), "compared")
+        seen = pairs.select("a", "b")
+        compared = seen if compared is None else written(compared.union(seen).distinct(), "compared")
         links = found if links is None else written(links.union(found).distinct(), "all-links")
         # Lines that their leader left out lead one another in the next round, in buckets whose leader took a fair part.
         out = led.join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
