@@ -38,7 +38,7 @@ from snapflow.llm.components import connected_components
 
 BROADCAST_ROWS = 250_000  # of one or two numbers each
 WORDS = 16  # of 64 parity bits
-MEASURES = ["n", *[f"p{k}" for k in range(WORDS)]]  # size and parity bits of a line's set
+MEASURES = ["n", "parity"]  # size and parity bits (an array of words) of a line's set
 BLOCK = 64  # lines of a bucket per block
 FAIR = 8  # a leader that takes less than 1/FAIR of its bucket is the bucket's last
 
@@ -105,14 +105,16 @@ def measures(texts: DataFrame, size: int) -> DataFrame:
     bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
     word = F.shiftrightunsigned("h", 6).bitwiseAND(WORDS - 1)
     parity = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(WORDS)]
-    return each.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("n"), *parity)
+    found = each.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("n"), *parity)
+    return found.select("id", "n", F.array(*[f"p{k}" for k in range(WORDS)]).alias("parity"))
 
 
 def possible(x: str, y: str, similarity: float) -> Column:
     """False only if the measures of two lines (columns with these prefixes) rule the similarity out."""
     own = lambda side, c: F.col(f"{side}{c}")
     nx, ny = own(x, "n"), own(y, "n")
-    differing = sum((F.bit_count(own(x, f"p{k}").bitwiseXOR(own(y, f"p{k}"))) for k in range(WORDS)), F.lit(0))
+    word = lambda side, k: F.get(own(side, "parity"), F.lit(k))
+    differing = sum((F.bit_count(word(x, k).bitwiseXOR(word(y, k))) for k in range(WORDS)), F.lit(0))
     allowed = F.lit((1 - similarity) / (1 + similarity)) * (nx + ny) + F.lit(1e-6)
     return (F.least(nx, ny) >= F.lit(similarity) * F.greatest(nx, ny)) & (differing <= allowed)
 
@@ -167,7 +169,7 @@ def similar_lines(
         leaders = leaders.select("band", "first.leader", *[F.col(f"first.{m}").alias(f"l_{m}") for m in MEASURES])
         led = open_.join(leaders, "band").where("id != leader")
         led = led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader"), "maybe": possible("", "l_", similarity)})
-        led = written(led.drop(*[f"l_p{k}" for k in range(WORDS)]), "led")
+        led = written(led.drop("l_parity"), "led")
         pairs = _ordered(led.where("maybe"), "id", "leader", "n", "l_n").distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
