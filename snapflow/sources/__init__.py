@@ -8,10 +8,11 @@ from snapflow.sources.lake import (
 )
 from snapflow.sources.landing import LandingError, normalize_records, read_landed_json, stamp_ingestion, to_bronze
 from snapflow.sources.sinks import append_snapshot, stage, write_json
-from snapflow.sources.tables import PublishError, publish, read_table
+from snapflow.sources.tables import PublishConflict, PublishError, publish, read_table
 
 __all__ = [
     "LandingError",
+    "PublishConflict",
     "PublishError",
     "append_snapshot",
     "list_files",

@@ -2,15 +2,18 @@
 
 import datetime as dt
 import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
 from snapflow.config import PipelineConfig
 from snapflow.schemas import BRONZE, SILVER
 from snapflow.sources.lake import list_files, object_store_conf, partition_date, read_bronze, read_silver
 from snapflow.sources import tables
 from snapflow.sources.sinks import append_snapshot, stage
-from snapflow.sources.tables import PublishError, drop_partitions, publish, read_table
+from snapflow.sources.tables import PublishConflict, PublishError, drop_partitions, publish, read_table
 
 
 def test_missing_roots_read_as_empty(spark, tmp_root):
@@ -104,16 +107,88 @@ def test_rename_that_reports_false_is_an_error(spark, tmp_root):
         tables.rename(spark, Store(), "a", "b")
 
 
-def test_reader_of_the_previous_version_can_finish(spark, golden_bronze, tmp_root):
+def test_reader_of_an_older_version_can_finish(spark, golden_bronze, tmp_root):
+    """Within the grace time a reader opened three publishes ago finishes; then the folders go."""
     path = os.path.join(tmp_root, "t")
     stage_root = os.path.join(tmp_root, "s")
     publish(spark, stage(golden_bronze.limit(5), stage_root), path)
     old = read_table(spark, path, BRONZE)
-    publish(spark, stage(golden_bronze.limit(2), stage_root), path)
-    assert old.count() == 5 and read_table(spark, path, BRONZE).count() == 2
-    publish(spark, stage(golden_bronze.limit(1), stage_root), path)
+    for n in (2, 3, 4):
+        publish(spark, stage(golden_bronze.limit(n), stage_root), path, grace=600)
+    assert old.count() == 5 and read_table(spark, path, BRONZE).count() == 4
+    hour_ago = time.time() - 3600
+    manifests = os.path.join(path, tables.MANIFESTS)
+    for name in sorted(os.listdir(manifests))[:3]:  # the first two were replaced an hour ago
+        os.utime(os.path.join(manifests, name), (hour_ago, hour_ago))
+    publish(spark, stage(golden_bronze.limit(1), stage_root), path, grace=600)
     versions = [d for d in os.listdir(path) if not d.startswith(("_", "."))]
-    assert len(versions) == 2 and read_table(spark, path, BRONZE).count() == 1
+    assert len(versions) == 3 and len(os.listdir(manifests)) == 3
+    publish(spark, stage(golden_bronze.limit(6), stage_root), path, grace=0)
+    versions = [d for d in os.listdir(path) if not d.startswith(("_", "."))]
+    assert len(versions) == 1 and read_table(spark, path, BRONZE).count() == 6
+
+
+def one_day(df, day):
+    return df.where(F.col("date") == F.lit(day))
+
+
+DAY1, DAY2 = dt.date(2024, 5, 1), dt.date(2024, 5, 2)
+
+
+def test_interleaved_publishes_of_two_days_both_stand(spark, golden_bronze, tmp_root):
+    path, stage_root = os.path.join(tmp_root, "t"), os.path.join(tmp_root, "s")
+    publish(spark, stage(golden_bronze, stage_root, "date"), path, partitioned=True)
+    base = tables.manifest(spark, path)  # both writers begin here
+    first = stage(one_day(golden_bronze, DAY1).limit(1), stage_root, "date")
+    second = stage(one_day(golden_bronze, DAY2).limit(2), stage_root, "date")
+    publish(spark, first, path, partitioned=True, base=base)
+    publish(spark, second, path, partitioned=True, base=base)
+    counts = {r["date"]: r["count"] for r in read_table(spark, path, BRONZE).groupBy("date").count().collect()}
+    assert counts == {DAY1: 1, DAY2: 2}
+
+
+@pytest.mark.parametrize("by", ["partition", "side", "depends"])
+def test_interleaved_publishes_of_one_day_raise(spark, golden_bronze, tmp_root, by):
+    path, stage_root = os.path.join(tmp_root, "t"), os.path.join(tmp_root, "s")
+    publish(spark, stage(golden_bronze, stage_root, "date"), path, partitioned=True)
+    base = tables.manifest(spark, path)
+    side = {"_side": stage(golden_bronze.limit(1), stage_root)}
+    publish(spark, stage(one_day(golden_bronze, DAY1).limit(1), stage_root, "date"), path, partitioned=True, base=base, side=side)
+    staged = stage(one_day(golden_bronze, DAY1 if by == "partition" else DAY2).limit(2), stage_root, "date")
+    other = stage(golden_bronze.limit(4), stage_root)
+    with pytest.raises(PublishConflict):
+        publish(
+            spark, staged, path, partitioned=True, base=base,
+            side={"_side": other} if by == "side" else None, depends=["date=2024-05-01"] if by == "depends" else [],
+        )
+    assert one_day(read_table(spark, path, BRONZE), DAY1).count() == 1
+    assert spark.read.parquet(staged).count() == 2 and spark.read.parquet(other).count() == 4
+    assert tables.read_side(spark, path, "_side").count() == 1
+
+
+@pytest.mark.parametrize("store", ["link", "rename", "upload"])
+def test_a_manifest_number_is_taken_once(spark, tmp_root, monkeypatch, store):
+    """The three ways of creating a manifest, all tried on local files."""
+    if store == "upload":
+        monkeypatch.setattr(tables, "UPLOADS", ("file",))
+    if store == "rename":
+        monkeypatch.setattr(tables, "LINKS", ())
+    path = os.path.join(tmp_root, "t")
+    body = {"number": 1, "parts": {"": "a"}, "writer": "one"}
+    assert tables._taken(spark, path, body)
+    assert not tables._taken(spark, path, {**body, "parts": {"": "b"}, "writer": "two"})
+    assert tables._taken(spark, path, body)  # an answer lost on the way counts as done
+    assert tables.manifest(spark, path)["parts"] == {"": "a"}
+    assert [f for f in os.listdir(os.path.join(path, tables.MANIFESTS)) if f.endswith(".tmp")] == []
+
+
+def test_writers_at_once_lose_no_commit(spark, golden_bronze, tmp_root):
+    path, stage_root = os.path.join(tmp_root, "t"), os.path.join(tmp_root, "s")
+    sides = {f"_side{k}": stage(golden_bronze.limit(k + 1), stage_root) for k in range(6)}
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda kv: publish(spark, None, path, partitioned=True, side=dict([kv])), sides.items()))
+    assert sorted(tables.manifest(spark, path)["parts"]) == sorted(sides)
+    assert tables.manifest(spark, path)["number"] == 6
 
 
 def test_dropped_partition_is_gone(spark, golden_bronze, tmp_root):
