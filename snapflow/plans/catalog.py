@@ -25,6 +25,7 @@ from snapflow.plans.quality import silver_quality_report, silver_violations
 from snapflow.plans.retention import plan_mtime_expiry, plan_partition_expiry
 from snapflow.plans.runlog import run_status, run_status_text, run_step_status
 from snapflow.plans.silver import build_silver, clean
+from snapflow.schemas import GOLD_SCHEMAS, SILVER_COLUMNS
 from snapflow.session import scratch_path
 from snapflow.sources.landing import read_landed_json, to_bronze
 
@@ -191,6 +192,29 @@ def q_stored_silver_after_expiry(spark: SparkSession, d: str) -> DataFrame:
     return read_silver(spark, cfg.silver_path)
 
 
+def q_latest_stations(spark: SparkSession, d: str) -> DataFrame:
+    """Each day's newest row per station, as kept by the merge of the whole feed."""
+    from snapflow.plans.latest import read_all_newest
+    from snapflow.streaming.incremental import replayed
+
+    cfg = replayed(spark, bronze_with_repeats(spark, d), files_per_trigger=16)
+    return read_all_newest(spark, cfg).select(*SILVER_COLUMNS)
+
+
+def q_exported_district_list(spark: SparkSession, d: str) -> DataFrame:
+    """Stored marts read back, served, exported as JSON, and the exported district list read again."""
+    from snapflow.plans.pipeline import export_insights, refresh_gold, refresh_silver
+
+    cfg = PipelineConfig(root=scratch_path(spark, "lake"))
+    rows = bronze_with_repeats(spark, d)
+    rows.hint("rebalance", "date").write.partitionBy("date").parquet(cfg.bronze_path)
+    refresh_silver(spark, cfg)
+    refresh_gold(spark, cfg, AS_OF)
+    paths = export_insights(spark, cfg, AS_OF, f"{cfg.root}/api")
+    schema = T.StructType([T.StructField("rank", T.IntegerType()), *GOLD_SCHEMAS["district_stats"].fields])
+    return spark.read.schema(schema).json(next(p for p in paths if p.endswith("/districts")))
+
+
 def _with_cleaned(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: fn(cleaned(spark, d))
 
@@ -221,6 +245,8 @@ QUERIES: dict[str, Query] = {
     "order_gap_alerts": q_order_gap_alerts,
     "run_step_status": q_run_step_status,
     "incremental_silver": q_incremental_silver,
+    "latest_stations": q_latest_stations,
+    "exported_district_list": q_exported_district_list,
     "stored_silver_after_expiry": q_stored_silver_after_expiry,
     "landed_roundtrip": q_landed_roundtrip,
     "snapshot_metrics_listing": q_snapshot_metrics_listing,

@@ -37,16 +37,18 @@ def day(silver: DataFrame, as_of) -> DataFrame:
     return silver.where(F.col("date") == as_date(as_of))
 
 
-def latest_of_day(silver: DataFrame, as_of) -> DataFrame:
-    """Newest snapshot of each station on ``as_of``.
-
-    Of a snapshot delivered several times the copy that carries the change
-    since the one before counts: the others follow it by no minutes.
-    """
+def latest_order_of(silver: DataFrame) -> list[Column]:
+    """``latest_order``, and of a snapshot delivered several times the copy that
+    carries the change since the one before: the others follow it by no minutes."""
     order = latest_order()
     if "minutes_since_last_snapshot" in silver.columns:
         order.append(F.col("minutes_since_last_snapshot").desc_nulls_first())
-    return latest_per_key(day(silver, as_of), ["station_code"], order)
+    return order
+
+
+def latest_of_day(silver: DataFrame, as_of) -> DataFrame:
+    """Newest snapshot of each station on ``as_of``."""
+    return latest_per_key(day(silver, as_of), ["station_code"], latest_order_of(silver))
 
 
 def stations_at_risk(silver: DataFrame, as_of=None, risk_minutes: float = RISK_MINUTES) -> DataFrame:
@@ -54,7 +56,11 @@ def stations_at_risk(silver: DataFrame, as_of=None, risk_minutes: float = RISK_M
 
     No ``is_renting`` filter here: every latest snapshot is considered.
     """
-    latest = latest_of_day(silver, as_of)
+    return at_risk_of(latest_of_day(silver, as_of), risk_minutes)
+
+
+def at_risk_of(latest: DataFrame, risk_minutes: float = RISK_MINUTES) -> DataFrame:
+    """The same from the newest row per station."""
     risky = time_to_zero(latest, "bikes_available", "depletion_rate_per_minute", risk_minutes)
     return risky.select(
         "station_code",
@@ -97,7 +103,11 @@ def stations_empty_duration(
 
 def district_stats(silver: DataFrame, as_of=None) -> DataFrame:
     """Per-district totals over each station's latest snapshot of the day."""
-    latest = latest_of_day(silver, as_of)
+    return district_stats_of(latest_of_day(silver, as_of))
+
+
+def district_stats_of(latest: DataFrame) -> DataFrame:
+    """The same from the newest row per station."""
     return grouped_stats(
         latest,
         ["arrondissement"],
@@ -115,14 +125,14 @@ def district_stats(silver: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def build_gold(silver: DataFrame, name: str, as_of, cfg: PipelineConfig) -> DataFrame:
-    """One mart with the thresholds of ``cfg``."""
+def build_gold(silver: DataFrame, latest: DataFrame, name: str, as_of, cfg: PipelineConfig) -> DataFrame:
+    """One mart with the thresholds of ``cfg``, from the day's newest rows (``latest``) where they are enough."""
     if name == "stations_at_risk":
-        return stations_at_risk(silver, as_of, cfg.risk_minutes)
+        return at_risk_of(latest, cfg.risk_minutes)
     if name == "stations_empty_duration":
         return stations_empty_duration(silver, as_of, cfg.empty_minutes)
     if name == "district_stats":
-        return district_stats(silver, as_of)
+        return district_stats_of(latest)
     raise ValueError(f"unknown mart {name!r}")
 
 

@@ -51,7 +51,11 @@ def snapshot_metrics(snapshots: DataFrame, silver: DataFrame, as_of=None) -> Dat
 
 def network_summary(silver: DataFrame, as_of=None) -> DataFrame:
     """Global totals over each station's latest snapshot of the day (always one row)."""
-    latest = latest_of_day(silver, as_of)
+    return network_summary_of(latest_of_day(silver, as_of))
+
+
+def network_summary_of(latest: DataFrame) -> DataFrame:
+    """The same from the newest row per station."""
     totals = global_stats(
         latest,
         [
@@ -96,8 +100,13 @@ def top_at_risk(at_risk: DataFrame, n: int = TOP_AT_RISK, with_rank: bool = Fals
 
 def top_depletion(silver: DataFrame, as_of=None, n: int = TOP_DEPLETION, with_rank: bool = False) -> DataFrame:
     """The ``n`` fastest-emptying stations (latest snapshot, rate < 0; bikes may be 0)."""
-    latest = latest_of_day(silver, as_of).where(F.col("depletion_rate_per_minute") < 0)
-    best = ranked(latest, n, [F.col("depletion_rate_per_minute").asc_nulls_last(), F.col("station_code")])
+    return top_depletion_of(latest_of_day(silver, as_of), n, with_rank)
+
+
+def top_depletion_of(latest: DataFrame, n: int = TOP_DEPLETION, with_rank: bool = False) -> DataFrame:
+    """The same from the newest row per station."""
+    emptying = latest.where(F.col("depletion_rate_per_minute") < 0)
+    best = ranked(emptying, n, [F.col("depletion_rate_per_minute").asc_nulls_last(), F.col("station_code")])
     return best.select(
         *_position(with_rank),
         "station_name",

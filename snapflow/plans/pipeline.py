@@ -17,14 +17,15 @@ from snapflow.functions.exprs import utc_now
 from snapflow.operators.lag import heavy_keys, key_sketches
 from snapflow.plans import gold as gold_plans
 from snapflow.plans import insights
+from snapflow.plans.latest import keep_newest, read_newest
 from snapflow.plans.quality import gate_silver
 from snapflow.plans.runlog import RunRecorder
 from snapflow.plans.silver import build_silver, build_silver_after
-from snapflow.schemas import GOLD_SCHEMAS, POSITIONS, SILVER, SKETCHES, SOURCE_COLUMNS
+from snapflow.schemas import GOLD_SCHEMAS, LATEST, POSITIONS, SILVER, SKETCHES, SOURCE_COLUMNS
 from snapflow.sources.lake import bronze_dates, list_files, read_bronze, read_silver
 from snapflow.sources.landing import read_landed_json, to_bronze
-from snapflow.sources.sinks import append_snapshot, stage, write_json
-from snapflow.sources.tables import partitions, publish, read_side, read_table
+from snapflow.sources.sinks import append_snapshot, stage, staged_dates, write_json
+from snapflow.sources.tables import manifest, partitions, publish, read_side, read_table, side_of
 
 
 def ingest(
@@ -45,9 +46,11 @@ def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
     Days whose bronze has expired keep their silver rows, and serve as
     predecessors of the rebuilt days: expiry changes no LAG value.  The
     heavy-hitter sketches of the days, kept with the table, tell the next
-    rebuild which stations to split.  The position table of the merge no
-    longer holds; the next merge makes it anew.
+    rebuild which stations to split.  The position table of the merge and the
+    newest rows of the rebuilt days no longer hold; they are made anew when next
+    needed.  Raises ``PublishConflict`` if a merge publishes meanwhile.
     """
+    base = manifest(spark, cfg.silver_path)
     bronze, days = read_bronze(spark, cfg.bronze_path, sources=True), bronze_dates(spark, cfg.bronze_path)
     sketches = read_side(spark, cfg.silver_path, SKETCHES)
     hot = heavy_keys(sketches, "station_code") if sketches is not None else None
@@ -63,16 +66,19 @@ def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
     if sketches is not None:  # days without bronze keep theirs
         fresh = fresh.unionByName(sketches.join(fresh.select("date"), "date", "left_anti"))
     side = {SKETCHES: stage(fresh, cfg.staging_path)}
-    publish(spark, staged, cfg.silver_path, partitioned=True, side=side, stale=[POSITIONS])
+    newest = [side_of(LATEST, str(d)) for d in staged_dates(spark, staged)]
+    publish(spark, staged, cfg.silver_path, partitioned=True, side=side, stale=[POSITIONS, *newest], base=base)
     return report
 
 
 def refresh_gold(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) -> None:
     """Each mart has one row per station or district; a rebalance makes its files, after the work is done in parallel."""
-    silver = read_silver(spark, cfg.silver_path)
+    keep_newest(spark, cfg, as_of)
+    silver, latest = read_silver(spark, cfg.silver_path), read_newest(spark, cfg, as_of)
     for name in GOLD_TABLES:
-        out = gold_plans.build_gold(silver, name, as_of, cfg)
-        publish(spark, stage(out, cfg.staging_path), cfg.gold_path(name))
+        base = manifest(spark, cfg.gold_path(name))
+        out = gold_plans.build_gold(silver, latest, name, as_of, cfg)
+        publish(spark, stage(out, cfg.staging_path), cfg.gold_path(name), base=base)
 
 
 def run_pipeline(
@@ -122,8 +128,8 @@ def read_gold_ordered(spark: SparkSession, cfg: PipelineConfig, name: str) -> Da
 
 
 def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) -> dict[str, DataFrame]:
-    """The insight queries over the stored layers (silver pruned to one date partition)."""
-    silver = read_silver(spark, cfg.silver_path)
+    """The insight queries over the stored layers (silver pruned to one date partition, or its newest rows)."""
+    silver, latest = read_silver(spark, cfg.silver_path), read_newest(spark, cfg, as_of)
     return {
         # Only the day's folder is listed, not the whole bronze tree.
         "snapshot_metrics": insights.snapshot_metrics(
@@ -131,10 +137,10 @@ def serve_insights(spark: SparkSession, cfg: PipelineConfig, as_of: dt.date) ->
             silver,
             as_of,
         ),
-        "summary": insights.network_summary(silver, as_of),
+        "summary": insights.network_summary_of(latest),
         "at_risk": insights.top_at_risk(read_gold(spark, cfg, "stations_at_risk"), cfg.top_at_risk, with_rank=True),
         "districts": insights.ordered_districts(read_gold(spark, cfg, "district_stats")),
-        "top_depletion": insights.top_depletion(silver, as_of, cfg.top_depletion, with_rank=True),
+        "top_depletion": insights.top_depletion_of(latest, cfg.top_depletion, with_rank=True),
         "empty_duration": insights.top_empty(read_gold(spark, cfg, "stations_empty_duration"), cfg.top_empty, with_rank=True),
     }
 

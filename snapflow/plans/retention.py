@@ -80,7 +80,7 @@ def apply_expiry(spark: SparkSession, plan: DataFrame, root: str, dry_run: bool
     rest = plan.where("expired").where(~inside.isin(list(folders)) if folders else F.lit(True))
     # The listing is lazy, so it is read to the end before any folder goes.
     _delete(spark, (r["path"] for r in rest.select("path").toLocalIterator()), False)
-    current = set(partitions(spark, root))
+    current = set(manifest(spark, root)["parts"])
     drop_partitions(spark, root, {f for f in folders if f in current})
     _delete(spark, (f"{root.rstrip('/')}/{f}" for f in folders), True)
     return n

@@ -63,8 +63,9 @@ SILVER_COLUMNS = [f.name for f in SILVER.fields]
 # Where a row comes from: the bronze file (from ``date=`` on) and the row's place in it.  Stored beside
 # each silver row, read only by the merge.
 SOURCE_COLUMNS = ["__source", "__row"]
-# Side tables of silver: each station's place in time, and the heavy stations of each day.
-POSITIONS, SKETCHES = "_positions", "_sketches"
+# Side tables of silver: each station's place in time, the heavy stations of each day, and (one table a
+# day) each station's newest row.
+POSITIONS, SKETCHES, LATEST = "_positions", "_sketches", "_latest"
 STORED_SILVER = T.StructType([*SILVER.fields, T.StructField("__source", T.StringType()), T.StructField("__row", T.LongType())])
 
 AT_RISK = _fields(

@@ -22,9 +22,12 @@ micro-batch of new files to ``merge_batch``:
    and those stored rows whose derived values differ.
 5. Only the ``date`` partitions of the rows to write are rewritten: their other
    rows are copied through, the result is staged, passed through the silver
-   data tests (the gate), then published, and the position table with it.
+   data tests (the gate), then published, and with it the position table and
+   each station's newest row of the days written (``plans.latest``).
 
 A full rebuild leaves no position table; the next merge makes it from silver.
+If another writer publishes meanwhile, the merge is worked out again from the
+table as it then is.
 """
 
 from __future__ import annotations
@@ -39,19 +42,22 @@ from pyspark.sql import functions as F
 
 from snapflow.config import PipelineConfig
 from snapflow.operators.latest import latest_per_key
+from snapflow.plans.latest import after_merge, newest_of_days, staged_newest
 from snapflow.plans.quality import gate_silver
 from snapflow.plans.silver import CLEANED_COLUMNS, clean, enrich, newest_first, position
 from snapflow.schemas import BRONZE, POSITIONS, SILVER, SILVER_COLUMNS, SOURCE_COLUMNS, STORED_SILVER
 from snapflow.session import scratch_path
 from snapflow.sources.lake import read_silver, read_stored_silver, source_columns
 from snapflow.sources.sinks import remove, stage, staged_dates
-from snapflow.sources.tables import exists, publish, read_side
+from snapflow.sources.tables import PublishConflict, exists, manifest, publish, read_side
 
 # So many station codes at most become a pushed-down list; more are joined.
 LISTED_STATIONS = 1000
 DERIVED = SILVER_COLUMNS[len(CLEANED_COLUMNS) :]
 STORED_COLUMNS = [*SILVER_COLUMNS, *SOURCE_COLUMNS]
 SEED, STORED, NEW = 0, 1, 2
+# How often a merge is worked out anew when another writer was quicker.
+MERGE_TRIES = 3
 
 
 def _with_sources(bronze: DataFrame) -> DataFrame:
@@ -71,12 +77,18 @@ def _stage_silver(cfg: PipelineConfig, silver: DataFrame) -> str:
 
 
 def _publish_tested(
-    spark: SparkSession, cfg: PipelineConfig, write: Callable[[], str], positions: Callable[[], DataFrame], gate: bool
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    base: dict,
+    write: Callable[[], str],
+    positions: Callable[[], DataFrame],
+    newest: Callable[[], DataFrame],
+    gate: bool,
 ) -> None:
-    """Stage silver (``write``), run its data tests on the staged partitions, publish them with the position table.
+    """Stage silver (``write``), run its data tests on the staged partitions, publish them with the side tables.
 
-    The position table is staged beside the tests, by a second thread: both
-    are small jobs.  A failing error-severity test raises before anything is
+    The side tables are staged beside the tests, by other threads: all are
+    small jobs.  A failing error-severity test raises before anything is
     published, so the stream stops on that batch and stored silver stays as it
     was.
     """
@@ -87,14 +99,19 @@ def _publish_tested(
             gate_silver(spark.read.schema(SILVER).option("basePath", staged).parquet(staged))
         return staged
 
-    with ThreadPoolExecutor(1) as other:
-        side = other.submit(lambda: stage(positions(), cfg.staging_path))
+    with ThreadPoolExecutor(2) as others:
+        places = others.submit(lambda: stage(positions(), cfg.staging_path))
+        latest = others.submit(lambda: staged_newest(spark, cfg, newest()))
         try:
             staged = tested()
+            folder, sides = latest.result()
+            sides = {POSITIONS: places.result(), **sides}
+            publish(spark, staged, cfg.silver_path, partitioned=True, side=sides, base=base)
         except BaseException:
-            remove(spark, side.result())
+            remove(spark, places.result())
+            remove(spark, latest.result()[0])
             raise
-        publish(spark, staged, cfg.silver_path, partitioned=True, side={POSITIONS: side.result()})
+        remove(spark, folder)
 
 
 def _around(existing: DataFrame, low: DataFrame) -> DataFrame:
@@ -174,8 +191,19 @@ def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame,
     """Merge one batch of bronze rows into stored silver (see module doc).
 
     ``new_bronze`` holds whole files (with ``SOURCE_COLUMNS``) or rows of no
-    file.  Returns the ``date`` partitions that were rewritten.
+    file.  Returns the ``date`` partitions that were rewritten.  Raises
+    ``PublishConflict`` when other writers were quicker every time.
     """
+    for left in reversed(range(MERGE_TRIES)):
+        try:
+            return _merge_once(spark, cfg, new_bronze, gate)
+        except PublishConflict:
+            if not left:
+                raise
+
+
+def _merge_once(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame, gate: bool) -> list[dt.date | None]:
+    base = manifest(spark, cfg.silver_path)
     cleaned = clean(_with_sources(new_bronze), SOURCE_COLUMNS).withColumn("__pos", position())
     folders = [stage(cleaned, cfg.staging_path, partition_by="date")]
     days = staged_dates(spark, folders[0])
@@ -186,7 +214,7 @@ def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame,
     if not exists(spark, cfg.silver_path):
         staged = _stage_silver(cfg, enrich(new.drop("__pos"), cfg, SOURCE_COLUMNS))
         built = spark.read.schema(STORED_SILVER).option("basePath", staged).parquet(staged)
-        _publish_tested(spark, cfg, lambda: staged, lambda: positions_of(built), gate)
+        _publish_tested(spark, cfg, base, lambda: staged, lambda: positions_of(built), lambda: newest_of_days(built), gate)
         remove(spark, folders[0])
         return days
     positions = read_side(spark, cfg.silver_path, POSITIONS)
@@ -216,7 +244,15 @@ def merge_batch(spark: SparkSession, cfg: PipelineConfig, new_bronze: DataFrame,
         replaced = out.where(F.col("__src") == STORED).select(*SOURCE_COLUMNS)
         kept = stored.where(_of_days(dates)).join(replaced, SOURCE_COLUMNS, "left_anti")
         rows = kept.select(*STORED_COLUMNS).unionByName(out.select(*STORED_COLUMNS))
-        _publish_tested(spark, cfg, lambda: _stage_silver(cfg, rows), lambda: _moved(positions, computed), gate)
+        _publish_tested(
+            spark,
+            cfg,
+            base,
+            lambda: _stage_silver(cfg, rows),
+            lambda: _moved(positions, computed),
+            lambda: after_merge(spark, cfg.silver_path, dates, replaced, out.select(*STORED_COLUMNS)),
+            gate,
+        )
     for folder in folders:
         remove(spark, folder)
     return dates
@@ -256,11 +292,16 @@ def replay_incrementally(spark: SparkSession, bronze: DataFrame, files_per_trigg
     The folder is scratch: the result is read from it, so it goes with the
     checkpoint area, not here.
     """
+    return read_silver(spark, replayed(spark, bronze, files_per_trigger).silver_path)
+
+
+def replayed(spark: SparkSession, bronze: DataFrame, files_per_trigger: int = 8) -> PipelineConfig:
+    """The same, returning where the lake is."""
     cfg = PipelineConfig(root=scratch_path(spark, "incremental"))
     landed = bronze.select(*[F.col(f"`{f.name}`") for f in BRONZE.fields]).hint("rebalance", "date")
     landed.write.partitionBy("date").parquet(cfg.bronze_path)
     start_incremental(spark, cfg, files_per_trigger)
-    return read_silver(spark, cfg.silver_path)
+    return cfg
 
 
-__all__ = ["merge_batch", "neighbours", "positions_of", "replay_incrementally", "start_incremental"]
+__all__ = ["merge_batch", "neighbours", "positions_of", "replay_incrementally", "replayed", "start_incremental"]
