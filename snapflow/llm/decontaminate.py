@@ -15,7 +15,8 @@ the window have masks made for their length and the substitutions it allows
 enumeration in the tests.
 
 Seeds are made by code-generated expressions over one array of tokens per
-text; only hits leave the scan.  The seed table of the benchmark is broadcast
+text; only hits leave the scan.  A hit takes along the tokens that its item is
+laid over, never the whole text.  The seed table of the benchmark is broadcast
 if it has at most ``broadcast_seeds`` rows, and joined by shuffle otherwise.
 """
 
@@ -114,20 +115,26 @@ def overlaps(
         own = short_masks(n, share)
         marks = marks.union(seeds(numbered.where(F.size("tokens") == n), "item_key", sorted(own)))
         tried_masks |= own
-    marks = written(marks.select("item_key", F.col("at").alias("item_at"), "seed").distinct(), "benchmark-seeds")
+    lengths = numbered.select("item_key", F.size("tokens").alias("item_n")).distinct()
+    marks = marks.select("item_key", F.col("at").alias("item_at"), "seed").distinct().join(lengths, "item_key")
+    marks = written(marks, "benchmark-seeds")
     few = marks.count() <= broadcast_seeds
 
     texts = docs.select(F.xxhash64(col(text_col)).alias("text_hash"), tokens(col(text_col)).alias("tokens"))
     tried = seeds(texts, "text_hash", sorted(tried_masks))
     hits = tried.join(F.broadcast(marks) if few else marks, "seed")
-    hits = written(hits.select("text_hash", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
+    hits = written(hits.select("text_hash", "item_key", "item_n", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
 
     # Only texts with a hit are read again.
     held = docs.select(F.xxhash64(col(text_col)).alias("text_hash"), col(text_col).alias("text"))
     held = held.join(hits.select("text_hash").distinct(), "text_hash", "left_semi")
     held = held.groupBy("text_hash").agg(F.min("text").alias("text")).select("text_hash", tokens(F.col("text")).alias("tokens"))
     agrees, sums = _agreement(window, share)
-    aligned = hits.join(held, "text_hash").join(
+    # The span under the item; an item that begins before the text keeps a negative shift.
+    before = F.least("shift", F.lit(0))
+    span = F.slice("tokens", F.greatest("shift", F.lit(0)) + 1, F.col("item_n") + before)
+    spans = hits.join(held, "text_hash").select("text_hash", "item_key", before.alias("shift"), span.alias("tokens"))
+    aligned = spans.distinct().join(
         numbered.select("item_key", "item_id", F.col("tokens").alias("item")).distinct(), "item_key"
     )
     return aligned.withColumn("sums", sums).where(agrees).select("text_hash", "item_id").distinct()
