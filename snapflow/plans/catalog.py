@@ -153,13 +153,12 @@ def q_mtime_retention(spark: SparkSession, d: str) -> DataFrame:
     return plan.withColumn("modificationTime", F.col("modificationTime").cast("timestamp_ntz"))
 
 
-def q_landed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Land the feed as JSON, coordinates nested in half of the records and flat
-    in the others, with keys that bronze does not declare; read it back as bronze."""
-    rows = bronze(spark, d).drop("ingested_at", "date")
+def _feed_records(rows: DataFrame) -> DataFrame:
+    """The feed's records, coordinates nested in half of them and flat in the
+    others, with keys that bronze does not declare."""
     lat, lon = F.col("`coordonnees_geo.lat`"), F.col("`coordonnees_geo.lon`")
     nested = F.floor(lon * 1000) % 2 == 0
-    landed = rows.withColumns(
+    return rows.withColumns(
         {
             "coordonnees_geo": F.when(nested, F.struct(lat.alias("lat"), lon.alias("lon"))),
             "coordonnees_geo.lat": F.when(~nested, lat),
@@ -171,11 +170,28 @@ def q_landed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
             "tags": F.array("is_renting", "is_returning"),
         }
     )
+
+
+def q_landed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Land the feed as JSON, one record per line; read it back as bronze."""
     path = scratch_path(spark, "landed")
-    landed.write.json(path)
+    _feed_records(bronze(spark, d).drop("ingested_at", "date")).write.json(path)
     return to_bronze(read_landed_json(spark, path, layout="lines"), CLEANUP_AT)
 
 
+def q_landed_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Land the feed as the feed is served, an array of records per file (the
+    polls of an hour); read it back as bronze."""
+    rows = bronze(spark, d)
+    hour = F.date_trunc("hour", "ingested_at").alias("hour")
+    records = _feed_records(rows.drop("date")).select(hour, F.struct("*").alias("record"))
+    records = records.withColumn("record", F.col("record").dropFields("ingested_at"))
+    files = records.groupBy("hour").agg(F.to_json(F.collect_list("record")).alias("value")).select("value")
+    path = scratch_path(spark, "landed-arrays")
+    files.write.option("maxRecordsPerFile", 1).text(path)
+    return to_bronze(read_landed_json(spark, path, layout="array"), CLEANUP_AT)
+
+
 def q_stored_silver_after_expiry(spark: SparkSession, d: str) -> DataFrame:
     """Stored tables through a retention cycle: build, publish, expire bronze, rebuild, read."""
     from snapflow.plans.pipeline import refresh_silver
@@ -249,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "exported_district_list": q_exported_district_list,
     "stored_silver_after_expiry": q_stored_silver_after_expiry,
     "landed_roundtrip": q_landed_roundtrip,
+    "landed_arrays": q_landed_arrays,
     "snapshot_metrics_listing": q_snapshot_metrics_listing,
     "run_status": q_run_status,
     "mtime_retention": q_mtime_retention,

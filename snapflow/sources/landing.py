@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
-from collections.abc import Callable
+import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,27 +18,31 @@ class LandingError(ValueError):
     """A landed file does not have the announced layout."""
 
 
-def _root_values() -> Callable[[Column], Column]:
-    """Number of JSON values at the top level of a text; -1 if it is not JSON."""
+def _parsed(texts: DataFrame) -> DataFrame:
+    """``ok, pos, record``: the records of each text as VARIANT; ``ok`` is whether the text is one JSON value.
 
-    # Nested, so that it travels with the task and workers need no copy of the library.
-    @F.pandas_udf("int")
-    def count(texts: pd.Series) -> pd.Series:
-        decoder = json.JSONDecoder()
-
-        def one(text: str) -> int:
-            at, n = 0, 0
-            try:
-                while rest := text[at:].lstrip():
-                    at = decoder.raw_decode(text, len(text) - len(rest))[1]
-                    n += 1
-            except ValueError:
-                return -1
-            return n
+    Spark's JSON functions stop at the end of the first value.  Between brackets
+    a text counts as one element, and as two with a further one behind it; what
+    follows a first value breaks the syntax or one of the two counts.
+    """
+    text = F.col("value")
+    one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    two = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
+    # Each record of an array is a VARIANT of its own, so a file may exceed the size limit of one.
+    many = F.ltrim(F.regexp_replace(F.substring(text, 1, 64), r"\s+", " ")).startswith("[")
+    records = F.when(many, F.from_json(text, "array<variant>")).otherwise(F.array(F.try_parse_json(text)))
+    ok = F.coalesce(one & two, F.lit(False))
+    return (
+        texts.select(ok.alias("ok"), F.when(ok, records).alias("records"))
+        .select((F.col("ok") & F.col("records").isNotNull()).alias("ok"), F.posexplode_outer("records").alias("pos", "record"))
+    )
 
-        return texts.map(one)
 
-    return count
+def _struct_of(variant_schema: str) -> T.StructType:
+    """The type that ``schema_of_variant_agg`` names; a key that is always null is text."""
+    quoted = variant_schema.split("`")  # odd places hold quoted names
+    quoted[::2] = [re.sub(r"\bVOID\b", "STRING", part.replace("OBJECT<", "STRUCT<")) for part in quoted[::2]]
+    return T.DataType.fromDDL("`".join(quoted))
 
 
 def read_landed_json(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
@@ -49,23 +51,38 @@ def read_landed_json(spark: SparkSession, path: str, layout: str = "array") -> D
     ``layout="array"``: a file is one JSON value, an array of records or one
     record; a file with several values (one record per line, say) raises
     ``LandingError``, since only the first would be read.  ``layout="lines"``:
-    one record per line.  Values are read as text, so a key whose type changes
-    between snapshots keeps every value; objects stay nested.  A malformed
-    file fails the read.
+    one record per line, blank lines left out.
+
+    Records are read as VARIANT, in the JVM.  A key takes the narrowest type
+    that holds all its values: numbers stay numbers, objects and lists nested.
+    A key whose kind changes between records is a VARIANT column, with every
+    value.  Malformed text and records that are not objects raise
+    ``LandingError``.  Files without records give a frame without columns; so do
+    files of no bytes, which Spark's readers pass over.
     """
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
-    if layout == "array":
-        # A landed file is one poll of the feed, so it is small.
-        roots = _root_values()
-        wrong = spark.read.text(path, wholetext=True).select(roots(F.col("value")).alias("n")).where("n != 1").count()
-        if wrong:
-            raise LandingError(f"{wrong} file(s) at {path} do not hold exactly one JSON value; one record per line is layout='lines'")
-    return (
-        spark.read.option("multiLine", layout == "array")
-        .option("primitivesAsString", True)
-        .option("mode", "FAILFAST")
-        .json(path)
+    texts = spark.read.text(path, wholetext=layout == "array")
+    if layout == "lines":
+        texts = texts.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+    parsed = _parsed(texts)
+    is_object = F.coalesce(F.schema_of_variant("record").startswith("OBJECT<"), F.lit(False))
+    malformed, others, schema = parsed.agg(
+        F.count_if(~F.col("ok")),
+        F.count_if(F.col("pos").isNotNull() & ~is_object),
+        F.schema_of_variant_agg("record"),
+    ).first()
+    if malformed:
+        what = "file(s)" if layout == "array" else "line(s)"
+        raise LandingError(f"{malformed} {what} at {path} do not hold exactly one JSON value; one record per line is layout='lines'")
+    if others:
+        raise LandingError(f"{others} value(s) at {path} are not records")
+    records = parsed.where(F.col("pos").isNotNull())
+    if schema is None or not schema.startswith("OBJECT<"):
+        return records.select()
+    kind = _struct_of(schema)
+    return records.select(F.col("record").cast(kind).alias("record")).select(
+        *[F.col("record").getField(f).alias(f) for f in kind.fieldNames()]
     )
 
 
@@ -91,9 +108,11 @@ def _pair(records: DataFrame, parent: str, children: tuple[str, ...]) -> DataFra
 def normalize_records(records: DataFrame) -> DataFrame:
     """Flatten nested objects to dotted names; coordinates nested or flat, never both."""
     parent = "coordonnees_geo"
-    if parent in records.columns and isinstance(records.schema[parent].dataType, T.StringType):
-        # Not an object in every record: the text of an object still gives its fields.
-        records = records.withColumn(parent, F.from_json(parent, COORDINATES))
+    kind = records.schema[parent].dataType if parent in records.columns else None
+    if isinstance(kind, T.VariantType):  # objects in some records, other values in others
+        records = records.withColumn(parent, F.from_json(F.to_json(parent), COORDINATES))
+    elif kind is not None and not isinstance(kind, T.StructType):  # an object in no record
+        records = records.withColumn(parent, F.lit(None).cast(COORDINATES))
     return flatten_structs(_pair(records, parent, ("lat", "lon")))
 
 
@@ -105,7 +124,7 @@ def stamp_ingestion(records: DataFrame, ingested_at: dt.datetime) -> DataFrame:
 
 
 def _text(c: Column, kind: T.DataType) -> Column:
-    return c if isinstance(kind, T.StringType) else F.to_json(c)
+    return F.to_json(c) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
 
 
 def to_bronze(records: DataFrame, ingested_at: dt.datetime) -> DataFrame:

@@ -96,6 +96,40 @@ def test_malformed_input_fails(spark, tmp_root, text):
         read_landed_json(spark, land(tmp_root, text)).collect()
 
 
+@pytest.mark.parametrize("text", [" ", "3", "[1]", "[null]", '{"a":1}] rest', '{"a":1},0] rest', '{"a":1},{"a":2}', '[[{"a":1}]]', '{"a":1,"a":2}'])
+def test_other_than_one_value_of_records_fails(spark, tmp_root, text):
+    with pytest.raises(LandingError):
+        read_landed_json(spark, land(tmp_root, text))
+
+
+def test_line_with_two_values_fails_and_blank_lines_do_not_count(spark, tmp_root):
+    with pytest.raises(LandingError):
+        read_landed_json(spark, land(tmp_root, '{"a":1}\n{"a":2} {"a":3}\n'), "lines")
+    rows = read_landed_json(spark, land(tmp_root, '{"a":1}\n\n  \t\n{"a":2}\n'), "lines")
+    assert sorted(r["a"] for r in rows.collect()) == [1, 2]
+
+
+def test_values_keep_their_kind(spark, tmp_root):
+    records = [
+        {"n": 3, "x": 1.5, "b": True, "s": "7", "never": None, "tags": [1, 2], "o": {"OBJECT<a": 1, "void": None}, "mixed": 4},
+        {"n": 2**40, "x": 2, "b": False, "s": "x", "never": None, "tags": [], "o": {"OBJECT<a": 2}, "mixed": {"k": [1]}},
+    ]
+    df = read_landed_json(spark, land(tmp_root, "\n " + json.dumps(records, indent=1)))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert (kinds["n"], kinds["b"], kinds["s"], kinds["never"], kinds["tags"], kinds["mixed"]) == (
+        "bigint", "boolean", "string", "string", "array<bigint>", "variant")
+    assert "OBJECT<a" in df.schema["o"].dataType.fieldNames()
+    got = sorted(df.selectExpr("n", "double(x) x", "b", "s", "tags", "o.`OBJECT<a` a", "string(mixed) mixed").collect(), key=lambda r: r["n"])
+    assert [tuple(r) for r in got] == [(3, 1.5, True, "7", [1, 2], 1, "4"), (2**40, 2.0, False, "x", [], 2, '{"k":[1]}')]
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_records(spark, tmp_root):
+    for text in ("", "[]", "[{}]"):
+        df = bronze(spark, tmp_root, text)
+        assert df.columns == BRONZE.fieldNames() and df.count() == (text == "[{}]")
+
+
 def test_unknown_layout(spark, tmp_root):
     with pytest.raises(ValueError):
         read_landed_json(spark, land(tmp_root, [NESTED]), "csv")
