@@ -144,8 +144,8 @@ def search(
     sample_per_list: int = 32,
     replicas: int = 4,
     boundary: float = 1.1,
-    ratio: float = 1.15,
-    min_lists: int = 48,
+    ratio: float = 1.12,
+    min_lists: int = 24,
     max_lists: int = 160,
 ) -> DataFrame:
     """The ``k`` nearest found of every row that ``is_query`` marks:
@@ -186,7 +186,10 @@ def search(
     reach = math.sqrt(square)
     # As many lists as vectors in a list, so that neither side of the search outgrows the other.
     lists = max(1, min(max_centroids, lists or math.ceil(math.sqrt(count))))
-    picked = index.select("v").orderBy(F.xxhash64("v"), "v").limit(sample_per_list * lists).collect()
+    # Chosen by hash below a threshold, so that all partitions together offer little more than the sample.
+    wish, space = sample_per_list * lists, 1 << 30
+    reached = F.pmod(F.xxhash64("v"), F.lit(space)) < min(space, math.ceil(space * (1.2 * wish + 500) / count))
+    picked = index.select("v").where(reached).orderBy(F.xxhash64("v"), "v").limit(wish).collect()
     sample = np.array([r[0] for r in picked], dtype=np.float64)
     centroids = fit_centroids(_extended(sample, reach), lists)
     shared = spark.sparkContext.broadcast((centroids, link_centroids(centroids)))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from snapflow.llm.ann import CentroidGraph, fit_centroids, link_centroids, search
@@ -27,12 +28,13 @@ def run(spark, rows, **options):
     return got
 
 
-def test_recall_and_scores(spark):
+@pytest.mark.parametrize("options", [{}, {"lists": 90, "min_lists": 12}])
+def test_recall_and_scores(spark, options):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 24))
     rows = [(i, (centres[i % 40] + 0.7 * rng.normal(size=24)).astype(np.float32).tolist()) for i in range(3000)]
     rows += [(5000 + i, rows[0][1]) for i in range(300)]  # a crowd of copies
-    got = run(spark, rows, lists=90, min_lists=12)
+    got = run(spark, rows, **options)
     want = brute(rows, lambda i: i % 20 == 0, 20)
     assert got.keys() == want.keys()
     hit = 0
