@@ -41,7 +41,8 @@ class PipelineConfig:
     handles; keys above it are split into time slices (see ``operators.lag``).
     ``broadcast_max_rows`` is the checked size under which a derived side
     table is broadcast; above it the join falls back to a shuffle join with
-    AQE skew splitting.
+    AQE skew splitting.  With ``stop_on_failed_tests`` off the data tests
+    still run, but a failing one is only logged.
     """
 
     root: str
@@ -56,6 +57,7 @@ class PipelineConfig:
     top_empty: int = TOP_EMPTY
     rows_per_slice: int = 2_000_000
     broadcast_max_rows: int = 1_000_000
+    stop_on_failed_tests: bool = True
 
     def _join(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])

@@ -61,7 +61,7 @@ def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
         silver = build_silver(bronze, cfg, SOURCE_COLUMNS, hot)
     staged = stage(silver, cfg.staging_path, partition_by="date", sort_by=["station_code"])
     built = spark.read.schema(SILVER).option("basePath", staged).parquet(staged)
-    report = gate_silver(built)
+    report = gate_silver(built, cfg.stop_on_failed_tests)
     fresh = key_sketches(built, "station_code", ["date"])
     if sketches is not None:  # days without bronze keep theirs
         fresh = fresh.unionByName(sketches.join(fresh.select("date"), "date", "left_anti"))
