@@ -18,7 +18,7 @@ from snapflow.operators.lag import heavy_keys, key_sketches
 from snapflow.plans import gold as gold_plans
 from snapflow.plans import insights
 from snapflow.plans.latest import keep_newest, read_newest
-from snapflow.plans.quality import gate_silver
+from snapflow.plans.quality import gate_silver, log_silver
 from snapflow.plans.runlog import RunRecorder
 from snapflow.plans.silver import build_silver, build_silver_after
 from snapflow.schemas import GOLD_SCHEMAS, LATEST, POSITIONS, SILVER, SKETCHES, SOURCE_COLUMNS
@@ -61,7 +61,7 @@ def refresh_silver(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
         silver = build_silver(bronze, cfg, SOURCE_COLUMNS, hot)
     staged = stage(silver, cfg.staging_path, partition_by="date", sort_by=["station_code"])
     built = spark.read.schema(SILVER).option("basePath", staged).parquet(staged)
-    report = gate_silver(built, cfg.stop_on_failed_tests)
+    report = gate_silver(built) if cfg.stop_on_failed_tests else log_silver(built)
     fresh = key_sketches(built, "station_code", ["date"])
     if sketches is not None:  # days without bronze keep theirs
         fresh = fresh.unionByName(sketches.join(fresh.select("date"), "date", "left_anti"))

@@ -52,6 +52,11 @@ def silver_violations(silver: DataFrame) -> DataFrame:
     return violations(silver, SILVER_CHECKS, SHOW)
 
 
-def gate_silver(silver: DataFrame, stop: bool = True) -> list[dict]:
-    """Run the data tests; raise ``QualityGateError`` when an error-severity check fails, or log it without ``stop``."""
-    return assert_passed(silver_quality_report(silver), stop)
+def gate_silver(silver: DataFrame) -> list[dict]:
+    """Raise ``QualityGateError`` when an error-severity check fails."""
+    return assert_passed(silver_quality_report(silver))
+
+
+def log_silver(silver: DataFrame) -> list[dict]:
+    """Run the same checks; a failing one is only logged."""
+    return assert_passed(silver_quality_report(silver), stop=False)
