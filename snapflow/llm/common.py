@@ -33,10 +33,24 @@ def count_words(c: Column) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage where its heap has grown past half of its limit.
+
+    Spark drops the shuffle files and broadcasts of finished steps once the
+    driver has collected their handles, and only a full collection lets the
+    heap shrink again.  Chains of many steps ask for it between two of them.
+    """
+    java = spark.sparkContext._jvm.java.lang
+    heap = java.Runtime.getRuntime()
+    if 2 * heap.totalMemory() > heap.maxMemory():
+        java.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back (lineage ends here)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    tidy(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,0 +1,21 @@
+from types import SimpleNamespace
+
+import pytest
+
+from snapflow.llm import common
+
+
+@pytest.mark.parametrize("used,collected", [(40, 0), (60, 1)])
+def test_garbage_is_collected_where_the_heap_has_grown(used, collected):
+    calls = []
+    heap = SimpleNamespace(totalMemory=lambda: used, maxMemory=lambda: 100)
+    java = SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda: heap), System=SimpleNamespace(gc=lambda: calls.append(1)))
+    common.tidy(SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(lang=java)))))
+    assert len(calls) == collected
+
+
+def test_each_written_step_asks_for_it(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "tidy", lambda session: seen.append(session))
+    assert common.written(spark.range(3), "asked").count() == 3
+    assert len(seen) == 1
