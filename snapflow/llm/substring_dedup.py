@@ -170,7 +170,8 @@ class Runs:
         run = np.cumsum(begins) - 1
         self.count = np.bincount(run[inside], minlength=len(self.start))
         self.doc = doc[self.start]
-        self.anchor = seeds[at[self.start]]
+        # Least hashes are small numbers: mixed again they spread evenly over the shards.
+        self.anchor = mixed(seeds[at[self.start]])
         self.content = mixed(self.hash_of(self.start, self.count + window - 1) ^ mixed(self.anchor))
         # Where the anchor stands in the run tells runs of equal words and different extent apart.
 

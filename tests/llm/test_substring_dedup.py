@@ -1,7 +1,9 @@
 import hashlib
 import random
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
 from snapflow.llm import blocks, substring_dedup
@@ -86,3 +88,15 @@ def test_spans():
     assert list(maximal_spans(iter([1, 2, 3, 4, 0, 1, 3, 3]), 3)) == [(0, 8)]
     assert list(maximal_spans(iter([1, 2, 3, 0, 1, 2, 3, 4]), 3)) == [(0, 3), (4, 8)]
     assert list(maximal_spans(iter([]), 3)) == []
+
+
+def test_anchors_spread_evenly_over_the_shards():
+    """Anchors are least hashes; dealt by range as they are, nearly all went to the first shard."""
+    rng = np.random.default_rng(3)
+    block = SimpleNamespace(
+        words=rng.integers(0, 5000, 20000), lengths=np.array([12000, 8000]),
+        word_hashes=lambda: blocks.mixed(np.arange(1, 5001, dtype=np.uint64)),
+    )
+    anchors = substring_dedup.Runs(block, 35, 12).anchor
+    shares = np.bincount((anchors >> np.uint64(61)).astype(np.int64), minlength=8) / len(anchors)
+    assert len(anchors) > 1000 and shares.max() < 0.2 and shares.min() > 0.06
