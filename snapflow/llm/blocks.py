@@ -131,6 +131,14 @@ class Block:
         return np.array([h(w) for w in self.vocabulary], dtype=np.uint64)
 
 
+def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one; the memory of each goes back before the next."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+            release()
+
+
 def doc_ids(ids: bytes, no_id: bytes) -> pa.Array:
     return pa.array(unpack(ids, np.int64), pa.int64(), mask=unpack(no_id, np.int8).astype(bool))
 
@@ -168,21 +176,19 @@ def ask(
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("block", pa.string()), ("keys", pa.binary()),
                             ("values", pa.list_(pa.binary()))])
-        for b in batches:
-            for row in b.to_pylist():
-                block = Block(row)
-                for kind, keys, values in question(block):
-                    place = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                    cuts = np.searchsorted(place, np.arange(shards + 1).astype(np.uint64))
-                    out = []
-                    for s in range(shards):
-                        lo, hi = cuts[s], cuts[s + 1]
-                        if hi > lo:
-                            cells = [pack(v[lo:hi].astype(t)) for v, t in zip(values, value_types)]
-                            out.append((s, kind, block.name, pack_keys(keys[lo:hi]), cells))
-                    if out:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                release()
+        for row in block_rows(batches):
+            block = Block(row)
+            for kind, keys, values in question(block):
+                place = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+                cuts = np.searchsorted(place, np.arange(shards + 1).astype(np.uint64))
+                out = []
+                for s in range(shards):
+                    lo, hi = cuts[s], cuts[s + 1]
+                    if hi > lo:
+                        cells = [pack(v[lo:hi].astype(t)) for v, t in zip(values, value_types)]
+                        out.append((s, kind, block.name, pack_keys(keys[lo:hi]), cells))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     def answered(pdf: pd.DataFrame) -> pd.DataFrame:
         kind = int(pdf["kind"].iloc[0])

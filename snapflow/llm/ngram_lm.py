@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.blocks import Block, ask, doc_ids, gathered, make_blocks, mixed, no_rows, pack, release, shard_count, unpack
+from snapflow.llm.blocks import Block, ask, block_rows, doc_ids, gathered, make_blocks, mixed, no_rows, pack, release, shard_count, unpack
 from snapflow.llm.common import col, written
 
 END, START = 1, 2  # stand-ins for word hashes
@@ -32,6 +32,7 @@ BUCKETS = 40
 BIN = 16  # bins per natural logarithm
 NONE = -32768  # bin of an estimate of zero
 WORD, PAIR = 1, 2
+SLICE = 1 << 17  # tokens of a block that are worked on at once, about
 
 
 class Grams:
@@ -175,33 +176,42 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     train_docs, n_train = (x or 0 for x in figures.agg(F.sum("docs"), F.sum("tokens")).first())
     uniform = 1.0 / (v + 1)
 
-    def unpacked(row: dict) -> tuple:
+    def slices(row: dict, *more: str) -> Iterator[tuple]:
+        """Of consecutive documents: where they stand, their lengths and first tokens, the tokens' counts, contexts and ``more``."""
         lengths = unpack(row["lengths"], np.int32).astype(np.int64)
-        first = np.cumsum(lengths) - lengths
-        c1, c2 = unpack(row["c1"], np.uint32).astype(np.int64), unpack(row["c2"], np.uint32).astype(np.int64)
-        context = np.empty_like(c1)
-        context[1:] = c1[:-1]
-        context[first] = train_docs  # every training document starts once
-        return lengths, first, c1, c2, context
+        counts = [unpack(row[c], np.uint32) for c in ("c1", "c2", *more)]
+        ends = np.cumsum(lengths)
+        starts = np.flatnonzero(np.diff((ends - 1) // SLICE, prepend=-1))
+        for lo, hi in zip(starts, [*starts[1:], len(lengths)]):
+            own = lengths[lo:hi]
+            first = np.cumsum(own) - own
+            c1, *rest = (c[ends[lo] - lengths[lo] : ends[hi - 1]].astype(np.int64) for c in counts)
+            context = np.empty_like(c1)
+            context[1:] = c1[:-1]
+            context[first] = train_docs  # every training document starts once
+            yield slice(lo, hi), own, first, context, c1, *rest
 
     def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("r2", pa.int32()), ("r1", pa.int32()), ("n", pa.int64())])
-        for b in batches:
-            for row in b.to_pylist():
-                lengths, first, c1, c2, context = unpacked(row)
-                own1, own2 = unpack(row["own1"], np.uint32).astype(np.int64), unpack(row["own2"], np.uint32).astype(np.int64)
+        for row in block_rows(batches):
+            flags = unpack(row["flags"], np.int8).astype(bool)
+            found = []
+            for place, lengths, first, context, c1, c2, own1, own2 in slices(row, "own1", "own2"):
                 before = np.empty_like(own1)
                 before[1:] = own1[:-1]
                 before[first] = 1
                 doc = np.repeat(np.arange(len(lengths)), lengths)
-                train = ~unpack(row["flags"], np.int8).astype(bool)[doc]
+                train = ~flags[place][doc]
                 c, n_left = (context - before)[train], (n_train - lengths[doc])[train]
                 p2 = np.where(c > 0, (c2 - own2)[train] / np.maximum(c, 1), 0.0)
                 p1 = np.where(n_left > 0, (c1 - own1)[train] / np.maximum(n_left, 1), 0.0)
                 k = (bucket(c) << 40) + ((_bins(p2, uniform) + 32768) << 20) + (_bins(p1, uniform) + 32768)
-                k, n = np.unique(k, return_counts=True)
-                columns = [k >> 40, ((k >> 20) & 0xFFFFF) - 32768, (k & 0xFFFFF) - 32768, n]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+                found.append(np.unique(k, return_counts=True))
+            k, at = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+            n = np.zeros(len(k), np.int64)
+            np.add.at(n, at, np.concatenate([x for _, x in found]))
+            columns = [k >> 40, ((k >> 20) & 0xFFFFF) - 32768, (k & 0xFFFFF) - 32768, n]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
     cells = counted.mapInArrow(ratios, "bucket int, r2 int, r1 int, n long").groupBy("bucket", "r2", "r1").agg(F.sum("n").alias("n"))
     # Bounded by buckets x bins, whatever the corpus.
@@ -210,16 +220,16 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        for b in batches:
-            for row in b.to_pylist():
-                lengths, first, c1, c2, context = unpacked(row)
+        for row in block_rows(batches):
+            ids, flags = doc_ids(row["ids"], row["no_id"]), unpack(row["flags"], np.int8).astype(bool)
+            for place, lengths, first, context, c1, c2 in slices(row):
                 base = np.log10((c1 + 1) / (n_train + v + 1))
                 w = weights[bucket(context)]
                 p = w[:, 0] * (c2 / np.maximum(context, 1)) + w[:, 1] * (c1 / max(n_train, 1)) + w[:, 2] * uniform
                 p = np.log10(p) if n_train else np.zeros(len(c1))
                 per = lambda x: np.add.reduceat(x, first)
                 columns = [
-                    doc_ids(row["ids"], row["no_id"]), unpack(row["flags"], np.int8).astype(bool), lengths, per((c1 > 0).astype(np.int64)), np.full(len(lengths), n_train),
+                    ids[place.start : place.stop], flags[place], lengths, per((c1 > 0).astype(np.int64)), np.full(len(lengths), n_train),
                     per(base), per(p),
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=names)

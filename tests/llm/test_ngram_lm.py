@@ -95,3 +95,13 @@ def test_without_training_rows(spark):
     doc = next(i for i in range(100) if held(i))
     got = score_texts(spark.createDataFrame([(doc, "a b", "", 0)], SCHEMA)).collect()
     assert [tuple(r) for r in got] == [(doc, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_blocks_are_worked_on_in_slices(spark, monkeypatch):
+    """One block, cut after every few documents; a long one stays whole."""
+    df = spark.createDataFrame([(d, t, "", 0) for d, t in corpus()], SCHEMA)
+    rows = lambda: sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in score_texts(df.coalesce(1)).collect())
+    whole = rows()
+    monkeypatch.setattr(ngram_lm, "SLICE", 50)
+    for a, b in zip(rows(), whole, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
