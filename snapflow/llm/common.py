@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from snapflow.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TIDY_S = 10  # seconds between two collections, at least
+_tidied = [float("-inf")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,12 +42,16 @@ def tidy(spark: SparkSession) -> None:
 
     Spark drops the shuffle files and broadcasts of finished steps once the
     driver has collected their handles, and only a full collection lets the
-    heap shrink again.  Chains of many steps ask for it between two of them.
+    heap shrink again.  Chains of many steps ask for it between two of them,
+    short steps not each time.
     """
+    if time.monotonic() < _tidied[0] + TIDY_S:
+        return
     java = spark.sparkContext._jvm.java.lang
     heap = java.Runtime.getRuntime()
     if 2 * heap.totalMemory() > heap.maxMemory():
         java.System.gc()
+        _tidied[0] = time.monotonic()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

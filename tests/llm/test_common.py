@@ -6,11 +6,14 @@ from snapflow.llm import common
 
 
 @pytest.mark.parametrize("used,collected", [(40, 0), (60, 1)])
-def test_garbage_is_collected_where_the_heap_has_grown(used, collected):
+def test_garbage_is_collected_where_the_heap_has_grown(monkeypatch, used, collected):
+    monkeypatch.setattr(common, "_tidied", [float("-inf")])
     calls = []
     heap = SimpleNamespace(totalMemory=lambda: used, maxMemory=lambda: 100)
     java = SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda: heap), System=SimpleNamespace(gc=lambda: calls.append(1)))
-    common.tidy(SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(lang=java)))))
+    session = SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(lang=java))))
+    common.tidy(session)
+    common.tidy(session)  # too soon
     assert len(calls) == collected
 
 
