@@ -48,9 +48,17 @@ def _wide(line: Column) -> Column:
 
 
 def _shingles(wide: str, size: int) -> Column:
-    """The hashes of a line's shingles; ``wide`` is a stored column, so each slice costs the same."""
-    last = (F.length(wide) / 2).cast("int") - size
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(F.col(wide), i * 2 + 1, F.lit(2 * size))))
+    """The hashes of a line's shingles.
+
+    The line goes through a lambda of its own: named inside the inner one, a column of bytes is copied whole for
+    every shingle.
+    """
+    of = lambda w: F.transform(F.sequence(F.lit(0), (F.length(w) / 2).cast("int") - size), lambda i: _shingle(w, i, size))
+    return F.element_at(F.transform(F.array(wide), of), 1)
+
+
+def _shingle(wide: Column, i: Column, size: int) -> Column:
+    return F.xxhash64(F.substring(wide, i * 2 + 1, F.lit(2 * size)))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -74,19 +82,17 @@ def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """
     bins = bands * rows
     wide = lines.select("id", _wide(F.col("line")).alias("wide")).where(F.length("wide") >= 2 * size)
-    shingles = wide.select(
-        "id", "wide", F.explode(F.sequence(F.lit(0), (F.length("wide") / 2).cast("int") - size)).alias("i")
-    ).select("id", F.xxhash64(F.substring(F.col("wide"), F.col("i") * 2 + 1, F.lit(2 * size))).alias("h"))
-    # First one minimum per (line, bin), then one row per line: cheaper than all bins' minima per shingle.
-    placed = shingles.groupBy("id", F.pmod("h", F.lit(bins)).cast("int").alias("bin")).agg(F.min("h").alias("h"))
-    least = placed.groupBy("id").agg(*[F.min(F.when(F.col("bin") == j, F.col("h"))).alias(f"m{j}") for j in range(bins)])
-    keys = []
-    for b in range(bands):
-        own = [F.col(f"m{j}") for j in range(b * rows, (b + 1) * rows)]
-        # An empty bin counts as equal to an empty bin; a band of empty bins says nothing.
-        filled = [F.coalesce(m, F.lit(-1).cast("long")) for m in own]
-        keys.append(F.when(F.coalesce(*own).isNotNull(), F.xxhash64(F.lit(b), *filled)))
-    return least.select("id", F.array_compact(F.array(*keys)).alias("keys"))
+    each = F.explode(F.sequence(F.lit(0), (F.length("wide") / 2).cast("int") - size)).alias("i")
+    shingles = wide.select("id", "wide", each).select("id", _shingle(F.col("wide"), F.col("i"), size).alias("h"))
+    placed = shingles.withColumn("bin", F.pmod("h", F.lit(bins)).cast("int"))
+    placed = placed.select("id", "h", F.expr(f"cast(bin div {rows} as int)").alias("b"), (F.col("bin") % rows).alias("j"))
+    # First one row per (line, band), then one per line: cheaper than all bins' minima in one row.
+    least = placed.groupBy("id", "b").agg(*[F.min(F.when(F.col("j") == j, F.col("h"))).alias(f"m{j}") for j in range(rows)])
+    # An empty bin counts as equal to an empty bin; a band of empty bins has no row.
+    filled = [F.coalesce(f"m{j}", F.lit(-1).cast("long")) for j in range(rows)]
+    keyed = least.select("id", "b", F.xxhash64("b", *filled).alias("key"))
+    keys = keyed.groupBy("id").agg(*[F.max(F.when(F.col("b") == b, F.col("key"))).alias(f"k{b}") for b in range(bands)])
+    return keys.select("id", F.array_compact(F.array(*[f"k{b}" for b in range(bands)])).alias("keys"))
 
 
 def verified(pairs: DataFrame, lines: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -217,9 +223,8 @@ def line_verdicts(
     )
     keyed = distinct.select("id", "first", "n").join(band_keys(distinct.select("id", "line"), size, bands, rows), "id", "left")
     lines = written(keyed, "lines")
-    parts = similar_lines(
-        lines.where("keys is not null").select("id", "keys"), found.select("id", "line"), size=size, similarity=similarity
-    )
+    text = docs.select(F.explode(F.split(col(text_col), "\n")).alias("line")).select(F.xxhash64("line").alias("id"), "line")
+    parts = similar_lines(lines.where("keys is not null").select("id", "keys"), text, size=size, similarity=similarity)
     grouped = lines.select("id", "first", "n").join(parts.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.where("n > 1 or component is not null").select(
         "id", "first", F.coalesce("component", "id").alias("part")

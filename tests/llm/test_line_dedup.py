@@ -1,10 +1,11 @@
 import random
+import time
 from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
-from snapflow.llm.line_dedup import MEASURES, dedup_lines, dedup_report, measures, open_pairs, possible, similar_lines
+from snapflow.llm.line_dedup import MEASURES, dedup_lines, dedup_report, measures, open_pairs, possible, similar_lines, verified
 
 SCHEMA = "doc_id long, text string, id string, first long"
 
@@ -169,3 +170,17 @@ def test_one_doc_id_with_several_texts(spark):
     data = [(1, shared + "\nsomething else entirely, on its own"), (1, shared + "\nand another thing, quite unlike it"), (2, shared)]
     rows = spark.createDataFrame([(d, t, "x", 1) for d, t in data], SCHEMA)
     assert sorted(len(r["removed"]) for r in dedup_report(rows).collect()) == [0, 1, 1]
+
+
+def test_work_on_a_long_line_grows_with_its_length(spark):
+    """A shingle takes its own bytes from the line, which is not copied for each of them."""
+    rng = random.Random(7)
+    line = "".join(rng.choice("abcdefghiklmnoprstuv") for _ in range(600_000))
+    data = [(0, line), (1, "x" + line)]
+    rows = spark.createDataFrame(data, "id long, line string").selectExpr("id", "encode(line, 'UTF-16BE') wide")
+    began = time.monotonic()
+    sizes = {r["id"]: r["n"] for r in measures(rows, 8).collect()}
+    pairs = spark.createDataFrame([(0, 1, sizes[0], sizes[1])], "a long, b long, na int, nb int")
+    assert [tuple(r) for r in verified(pairs, rows, 8, 0.8).collect()] == [(0, 1)]
+    assert sizes == {i: len(shingles(x)) for i, x in data}
+    assert time.monotonic() - began < 45
