@@ -181,10 +181,10 @@ def similar_lines(
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, texts, size, similarity), "links")
-        # One table each, whatever the number of rounds.
+        # No pair comes twice, so the tables of all rounds are read as they are.
         seen = pairs.select("a", "b")
-        compared = seen if compared is None else written(compared.union(seen).distinct(), "compared")
-        links = found if links is None else written(links.union(found).distinct(), "all-links")
+        compared = seen if compared is None else compared.union(seen)
+        links = found if links is None else links.union(found)
         # Lines that their leader left out lead one another in the next round, in buckets whose leader took a fair part.
         out = led.join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
         fair = out.groupBy("band").agg(F.count(F.lit(1)).alias("all"), F.count("linked").alias("taken"))

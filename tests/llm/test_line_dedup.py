@@ -5,6 +5,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
+from snapflow.llm import line_dedup
 from snapflow.llm.line_dedup import MEASURES, dedup_lines, dedup_report, measures, open_pairs, possible, similar_lines, verified
 
 SCHEMA = "doc_id long, text string, id string, first long"
@@ -184,3 +185,20 @@ def test_work_on_a_long_line_grows_with_its_length(spark):
     assert [tuple(r) for r in verified(pairs, rows, 8, 0.8).collect()] == [(0, 1)]
     assert sizes == {i: len(shingles(x)) for i, x in data}
     assert time.monotonic() - began < 45
+
+
+def test_a_round_writes_four_tables(spark, monkeypatch):
+    """Pairs compared and links found stay in the tables of their rounds; nothing is merged again in each of them."""
+    rng = random.Random(8)
+    families = [words(rng, 40) for _ in range(3)]
+    lines = [f"{family} {words(rng, 1)}" for family in families for _ in range(30)]
+    names = []
+    real = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: (names.append(name), real(df, name))[1])
+    keys = spark.createDataFrame([(i, [7]) for i in range(len(lines))], "id long, keys array<long>")
+    rows = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    got = {r["node"]: r["component"] for r in similar_lines(keys, rows, size=8, similarity=0.8).collect()}
+    assert got == {i: i // 30 * 30 for i in range(90)}
+    rounds = names[names.index("led") : names.index("parts")]
+    assert rounds.count("led") > 1
+    assert rounds == ["led", "pairs", "links", "left-out"] * rounds.count("led")
