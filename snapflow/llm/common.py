@@ -62,6 +62,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
+    """An inner join that broadcasts neither side.
+
+    Spark takes a table for the size of its files: it counts one row where ``explode`` makes many, one element in an
+    array, and packed columns as they are packed.  Such a side may pass for small and be many times that on the driver.
+    """
+    return left.join(right.hint("merge"), on)
+
+
 def global_rank(df: DataFrame, order: list[Column], rank: str, within: list[str] | None = None) -> DataFrame:
     """Append ``rank`` = 1-based position by ``order`` (within each ``within`` key).
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapflow.llm.common import col, written
+from snapflow.llm.common import col, shuffled_join, written
 from snapflow.llm.components import connected_components
 
 BITS = 31  # code length of each half
@@ -132,7 +132,7 @@ def _ball_links(fps: DataFrame, radius: int) -> DataFrame:
         "fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("long")) for m in signed])).alias("point")
     )
     least = points.groupBy("point").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return points.join(least, "point").where("fp != a").select("a", F.col("fp").alias("b"))
+    return shuffled_join(points, least, "point").where("fp != a").select("a", F.col("fp").alias("b"))
 
 
 def links(fps: DataFrame, max_bits: int, crowd: int) -> DataFrame:
@@ -142,10 +142,9 @@ def links(fps: DataFrame, max_bits: int, crowd: int) -> DataFrame:
     home = written(anchors(fps, 1), "home")
     reach = anchors(fps, 1 + max_bits // 2)
     counts = written(home.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchors")
-    quiet = home.join(counts.where(F.col("n") <= crowd), "anchor").select(F.col("anchor"), F.col("fp").alias("a"))
+    quiet = shuffled_join(home, counts.where(F.col("n") <= crowd), "anchor").select(F.col("anchor"), F.col("fp").alias("a"))
     compared = (
-        reach.withColumnRenamed("fp", "b")
-        .join(quiet, "anchor")
+        shuffled_join(reach.withColumnRenamed("fp", "b"), quiet, "anchor")
         .where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
         .select("a", "b")
     )

@@ -70,6 +70,13 @@ def test_links_equal_all_pairs(spark):
         assert components(got, fps) == want
 
 
+def test_replicas_are_never_broadcast(spark, tmp_path):
+    # Spark takes the replicas for as many as the fingerprints, and these few are below its limit.
+    spark.createDataFrame([(x,) for x in fps_near(random.Random(4), 500)], "fp long").write.parquet(f"{tmp_path}/fps")
+    plan = links(spark.read.parquet(f"{tmp_path}/fps"), 2, 64)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and "Broadcast" not in plan
+
+
 def test_rows(spark):
     base = " ".join(f"word{i}" for i in range(400))
     data = [(9, base), (4, base + " end"), (4, base + " end"), (None, base), (7, ""), (8, None), (2, "other text here now"),
