@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.common import col, written
+from snapflow.llm.common import col, shuffled_join, written
 from snapflow.llm.components import connected_components
 
 
@@ -159,12 +159,14 @@ def similar_lines(
     entries = keys.select("id", F.explode("keys").alias("band"))
     counts = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     crowded = written(counts, "crowded-bands")
-    shared = written(entries.join(_small(crowded), "band"), "shared-bands")
+    few = crowded.count() <= BROADCAST_ROWS
+    shared = entries.join(F.broadcast(crowded), "band") if few else shuffled_join(entries, crowded, "band")
+    shared = written(shared, "shared-bands")
     ids = written(shared.select("id").distinct(), "candidate-ids")
     candidates = lines.join(_small(ids), "id", "left_semi")
     texts = candidates.groupBy("id").agg(F.min("line").alias("line")).select("id", _wide(F.col("line")).alias("wide"))
     texts = written(texts, "candidates")
-    members = written(shared.join(measures(texts, size), "id"), "members")  # band, id and measures
+    members = written(shuffled_join(shared, measures(texts, size), "id"), "members")  # band, id and measures
 
     open_, links, compared = members, None, None
     turn = 0

@@ -202,3 +202,20 @@ def test_a_round_writes_four_tables(spark, monkeypatch):
     rounds = names[names.index("led") : names.index("parts")]
     assert rounds.count("led") > 1
     assert rounds == ["led", "pairs", "links", "left-out"] * rounds.count("led")
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_band_entries_and_measures_are_never_broadcast(spark, docs, monkeypatch, limit):
+    plans = {}
+    real = line_dedup.written
+
+    def note(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(line_dedup, "written", note)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", limit)
+    line_dedup.line_verdicts(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert "SortMergeJoin" in plans["members"] and "Broadcast" not in plans["members"]
+    # Only the counted list of bands may be sent around.
+    assert ("Broadcast" in plans["shared-bands"]) == (limit > 0)
